@@ -261,7 +261,7 @@ def test_chat(spark):
 
 def brute_spans(docs, sentences, min_words, long_word):
     """First occurrences and removed byte ranges, with the words themselves as keys."""
-    first, later = {}, {}
+    first, later, seen = {}, {}, set()
     every = []
     for key in sorted(docs, key=lambda k: (k[0] is not None, k[0] or 0, k[1])):
         raw = docs[key].encode()
@@ -274,10 +274,9 @@ def brute_spans(docs, sentences, min_words, long_word):
                     every.append((tuple(raw[a:b] for a, b in words[s : ends[v] + 1]), key, words[s][0], words[ends[v]][1]))
                     break
     for gram, key, start, end in every:
-        if gram in first:
+        if first.setdefault(gram, key[0]) != key[0] or (gram, key) in seen:
             later.setdefault(key, []).append((start, end))
-        else:
-            first[gram] = (key, start)
+        seen.add((gram, key))
     return later
 
 

@@ -6,19 +6,20 @@ newline.  As a repeated passage may begin in the middle of a sentence, a word of
 alone, so a passage falls into the same sentences wherever it stands.
 
 From every sentence a span runs over at least ``sentences`` consecutive sentences
-and on until it holds ``min_words`` words; it is hashed with 96 bits of its words.
+and on until it holds ``min_words`` words; it is hashed to 64 bits of its words.
 Spans are joined over all texts, and all sentences covered by a span that is not
 the first of its kind - by document id, then place - are removed.
 
-Plan: the 64-bit hashes are counted with partial aggregates; only spans whose hash
-occurs more than once go on, with their places, to find the first of each kind.
-Ranges to remove are gathered per document and joined to the texts.  No key's rows
-meet in one task except as partial minima; joins are left to skew handling.
+Plan: one aggregate finds, for every hash that occurs again, the smallest document
+that has it; that table is stored and joined back to all spans, and the ranges
+found go to the texts by document.  The plan is the same at every size.  Within a
+document a repetition is seen on the spot.  A hash that fills much of the corpus
+is met by partial aggregates first and by the skew handling of the join after.
 
-Rows: a null text has no spans and stays null; rows with one ``doc_id`` and text
-are one document and keep the same spans; rows with a null ``doc_id`` come first;
-very short texts have no spans; all columns are kept and nothing but ``text`` is
-changed; an empty table gives an empty result.
+Rows: a null text has no spans and stays null; rows with one ``doc_id`` are one
+document (those with a null one too, the first of all): the same span in two of
+them stays in both; very short texts have no spans; all columns are kept and
+nothing but ``text`` is changed; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, small, stash, table
+from .common import stash, table
 from .line_quality import _bytes_of, _parts
 
 SENTENCES, MIN_WORDS, LONG_WORD = 3, 20, 9
@@ -39,9 +40,9 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
-_CODES = np.random.default_rng(20240229).integers(0, 1 << 64, (2, 256), dtype=np.uint64)  # fixed: all workers agree
-_STEP = np.array([0x9E3779B97F4A7C15, 0xD1342543DE82EF95], np.uint64)
-_BACK = np.array([pow(int(s), -1, 1 << 64) for s in _STEP], np.uint64)
+_CODES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, dtype=np.uint64)  # fixed: all workers agree
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 1 << 64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -50,21 +51,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n + 1, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-def _range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
+def _range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Polynomial hashes of values[start:end], the same wherever the range stands."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(_STEP[which], len(values))[:-1], dtype=np.uint64)])
-    back = _powers(_BACK[which], int(start.max(initial=0)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(_STEP, len(values))[:-1], dtype=np.uint64)])
+    back = _powers(_BACK, int(start.max(initial=0)))
     return _mix((sums[end] - sums[start]) * back[start])
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, sentences: int, min_words: int, long_word: int):
-    """Of all rows: span hashes (64 and 32 bits), row, and byte range within the row."""
+    """Of all rows: span hash, whether the row had it before, row, and byte range within the row."""
     blank = _BLANK[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
@@ -73,7 +74,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, sentences: int, min_words: int,
     end = np.flatnonzero(word & np.r_[blank[1:], True] | word & first[1:]) + 1
     if not len(begin):
         none = np.zeros(0, np.int64)
-        return none, none.astype(np.int32), none, none, none
+        return none, none.astype(bool), none, none, none
     row = np.searchsorted(offsets, begin, side="right") - 1
     newlines = np.concatenate([[0], np.cumsum(data == 10)])
     stop = _STOP[data[end - 1]] | (end - begin >= long_word)
@@ -86,37 +87,41 @@ def spans(data: np.ndarray, offsets: np.ndarray, sentences: int, min_words: int,
     fits = to < len(last)
     fits[fits] &= of[to[fits]] == of[fits]
     start, to, of = start[fits], last[to[fits]], of[fits]
-    kinds = [_range_hash(_range_hash(_CODES[k][data], begin, end, k), start, to, k) for k in (0, 1)]
-    return kinds[0].view(np.int64), (kinds[1] >> np.uint64(32)).astype(np.uint32).view(np.int32), of, begin[start] - offsets[of], end[to - 1] - offsets[of]
+    h = _range_hash(_range_hash(_CODES[data], begin, end), start, to).view(np.int64)
+    order = np.lexsort((start, h, of))
+    same = (h[order][1:] == h[order][:-1]) & (of[order][1:] == of[order][:-1])
+    again = np.zeros(len(h), bool)
+    again[order[1:][same]] = True
+    return h, again, of, begin[start] - offsets[of], end[to - 1] - offsets[of]
 
 
 def _ident(docs: DataFrame) -> list:
-    return [F.col("doc_id").cast("long").alias("_doc"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("_tie")]
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return [doc.alias("_doc"), (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)).cast("int").alias("_tie")]
 
 
 def occurrences(docs: DataFrame, sentences: int = SENTENCES, min_words: int = MIN_WORDS, long_word: int = LONG_WORD) -> DataFrame:
-    """Every span: ``h, c`` (its hash), ``_doc, _tie`` (its document), ``start, end`` (bytes)."""
+    """Every span: ``h`` (its hash), ``again`` (its document had it before), ``_doc, _tie`` (the document), ``range`` (first byte << 32 | end)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch, 2):
-                h, c, row, start, end = spans(*_bytes_of(part.column(2)), sentences, min_words, long_word)
+                h, again, row, start, end = spans(*_bytes_of(part.column(2)), sentences, min_words, long_word)
                 at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), part.column(0).take(at), part.column(1).take(at), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["h", "c", "_doc", "_tie", "start", "end"])
+                arrays = [pa.array(h), pa.array(again), part.column(0).take(at), part.column(1).take(at), pa.array(start << 32 | end)]
+                yield pa.RecordBatch.from_arrays(arrays, ["h", "again", "_doc", "_tie", "range"])
 
     rows = docs.select(*_ident(docs), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "h long, c int, _doc long, _tie long, start int, end int")
+    return rows.mapInArrow(run, "h long, again boolean, _doc long, _tie int, range long")
 
 
 def repeats(docs: DataFrame, **how) -> DataFrame:
-    """``_doc, _tie, ranges``: byte ranges to remove from each document that has any."""
+    """``_doc, _tie, ranges``: byte ranges to remove from each document that has any, packed as in :func:`occurrences`."""
     found = occurrences(docs, **how)
-    often = stash(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-hashes")
-    again = stash(found.join(small(often, often.count(), 16), "h"), "repeated-spans")
-    lead = again.groupBy("h", "c").agg(F.min(F.struct("_doc", "_tie", "start")).alias("lead"))
-    late = again.join(lead, ["h", "c"]).where("struct(_doc, _tie, start) > lead")
-    ranges = late.groupBy("_doc", "_tie", "start").agg(F.max("end").alias("end"))
-    return ranges.groupBy("_doc", "_tie").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges"))
+    lead = found.groupBy("h").agg(F.count("*").alias("n"), F.min("_doc").alias("lead")).where("n > 1").select("h", "lead")
+    lead = stash(lead, "leading-documents")
+    late = found.join(lead, "h").where("again or _doc > lead")
+    return late.groupBy("_doc", "_tie").agg(F.sort_array(F.collect_list("range")).alias("ranges"))
 
 
 def without(text: str, ranges: list[tuple[int, int]]) -> str:
@@ -138,12 +143,9 @@ def dedup_spans(docs: DataFrame, removed: str | None = None, **how) -> DataFrame
     if removed and removed in docs.columns:
         raise ValueError(f"the input has a column {removed!r}; name another")
     cut = stash(repeats(docs, **how), "ranges-to-remove")
-    size = cut.agg(F.sum(16 + 8 * F.size("ranges"))).first()[0] or 0
     doc, tie = _ident(docs)
     marked = docs.withColumns({"_doc_": doc, "_tie_": tie})
-    # few ranges go to the texts, else both are dealt by document
-    cut = F.broadcast(cut) if size <= BROADCAST_BYTES else cut
-    same = marked["_doc_"].eqNullSafe(cut["_doc"]) & (marked["_tie_"] == cut["_tie"])
+    same = (marked["_doc_"] == cut["_doc"]) & (marked["_tie_"] == cut["_tie"])
     joined = marked.join(cut, same, "left").select(*[marked[c] for c in docs.columns], cut["ranges"])
     place, names = docs.columns.index("text"), [*docs.columns, *([removed] if removed else [])]
 
@@ -154,7 +156,7 @@ def dedup_spans(docs: DataFrame, removed: str | None = None, **how) -> DataFrame
                 texts = texts.to_pylist()
                 for i, r in enumerate(marks):
                     if r.is_valid and texts[i] is not None:
-                        kept = without(texts[i], [(x["start"], x["end"]) for x in r.as_py()])
+                        kept = without(texts[i], [(x >> 32, x & 0xFFFFFFFF) for x in r.as_py()])
                         gone[i] = len(texts[i].encode("utf-8", "surrogatepass")) - len(kept.encode("utf-8", "surrogatepass"))
                         texts[i] = kept
                 texts = pa.array(texts, batch.schema.field(place).type)
