@@ -353,21 +353,21 @@ def _forecasts(spark, sf_dir):
     return tables.stand_in_forecasts(_bars(spark, sf_dir))
 
 
-@query(f"""WITH {FORECASTS} SELECT ticker, model, forecast_date, round(avg(predicted_close), 3) AS predicted_close, round(avg(lower_bound), 3) AS lower_bound,
-round(avg(upper_bound), 3) AS upper_bound FROM forecasts GROUP BY 1, 2, 3""")
+@query(f"""WITH {FORECASTS} SELECT ticker, model, forecast_date, round(avg(predicted_close), 7) AS predicted_close, round(avg(lower_bound), 7) AS lower_bound,
+round(avg(upper_bound), 7) AS upper_bound FROM forecasts GROUP BY 1, 2, 3""")
 def forecast_avg_runs(spark, sf_dir):
-    return rounded(forecasts.averaged(_forecasts(spark, sf_dir)), predicted_close=3, lower_bound=3, upper_bound=3)
+    return rounded(forecasts.averaged(_forecasts(spark, sf_dir)), predicted_close=7, lower_bound=7, upper_bound=7)
 
 
 LAST_RUN = "lr AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY ticker, model, forecast_date ORDER BY run_at DESC) AS k FROM forecasts) WHERE k = 1)"
 
 
-@query(f"WITH {FORECASTS}, {LAST_RUN} SELECT ticker, model, forecast_date, round(predicted_close, 3) AS predicted_close, run_at FROM lr")
+@query(f"WITH {FORECASTS}, {LAST_RUN} SELECT ticker, model, forecast_date, round(predicted_close, 7) AS predicted_close, run_at FROM lr")
 def latest_run(spark, sf_dir):
-    return rounded(forecasts.latest_run(_forecasts(spark, sf_dir)).select(KEY, "model", "forecast_date", "predicted_close", "run_at"), predicted_close=3)
+    return rounded(forecasts.latest_run(_forecasts(spark, sf_dir)).select(KEY, "model", "forecast_date", "predicted_close", "run_at"), predicted_close=7)
 
 
-@query(f"""WITH {FORECASTS}, {LAST_RUN} SELECT ticker, forecast_date, round(max(predicted_close) FILTER (model = 'm1'), 3) AS m1, round(max(predicted_close) FILTER (model = 'm2'), 3) AS m2,
-round(max(predicted_close) FILTER (model = 'm3'), 3) AS m3, round(max(predicted_close) FILTER (model = 'm4'), 3) AS m4 FROM lr GROUP BY 1, 2 HAVING count(*) = 4""")
+@query(f"""WITH {FORECASTS}, {LAST_RUN} SELECT ticker, forecast_date, round(max(predicted_close) FILTER (model = 'm1'), 7) AS m1, round(max(predicted_close) FILTER (model = 'm2'), 7) AS m2,
+round(max(predicted_close) FILTER (model = 'm3'), 7) AS m3, round(max(predicted_close) FILTER (model = 'm4'), 7) AS m4 FROM lr GROUP BY 1, 2 HAVING count(*) = 4""")
 def forecast_pivot(spark, sf_dir):
-    return rounded(forecasts.pivoted(_forecasts(spark, sf_dir), ["m1", "m2", "m3", "m4"], complete=True), m1=3, m2=3, m3=3, m4=3)
+    return rounded(forecasts.pivoted(_forecasts(spark, sf_dir), ["m1", "m2", "m3", "m4"], complete=True), m1=7, m2=7, m3=7, m4=7)
