@@ -90,17 +90,17 @@ class Indicators(StatefulProcessor):
         self.state = handle.getValueState("recurrences", self.FIELDS)
         self.waiting = handle.getListState("waiting", "ts timestamp, close double")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
             self.waiting.appendList([(t.to_pydatetime(), float(c)) for t, c in zip(frame["ts"], frame["close"])])
             for t in frame["ts"]:
                 self.handle.registerTimer(int(t.timestamp() * 1000))
         return iter([])
 
-    def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         import datetime
 
-        upto = timer_values.getCurrentWatermarkInMs()
+        upto = timerValues.getCurrentWatermarkInMs()
         stamp = lambda t: int(t.replace(tzinfo=datetime.timezone.utc).timestamp() * 1000) if t.tzinfo is None else int(t.timestamp() * 1000)
         held = sorted((r[0], r[1]) for r in self.waiting.get())
         due = [r for r in held if stamp(r[0]) <= upto]
