@@ -106,7 +106,8 @@ class Indicators(StatefulProcessor):
         due = [r for r in held if stamp(r[0]) <= upto]
         if not due:
             return iter([])
-        self.waiting.put([r for r in held if stamp(r[0]) > upto])
+        later = [r for r in held if stamp(r[0]) > upto]
+        self.waiting.put(later) if later else self.waiting.clear()
         state = self.state.get() if self.state.exists() else None
         out = []
         for ts, close in due:
@@ -127,7 +128,7 @@ def step(state: tuple | None, close: float):
     fast, slow = mean(fast, close, 2 / 13), mean(slow, close, 2 / 27)
     gain, loss = mean(gain, max(move, 0.0), 1 / 14), mean(loss, max(-move, 0.0), 1 / 14)
     macd = fast - slow if n >= 26 else None
-    signal = mean(signal, macd, 2 / 10) if macd is not None else None
+    signal = None if macd is None else mean(signal if n > 26 else None, macd, 2 / 10)
     shown = signal if n >= 34 else None
     closes = [*closes, close][-30:]
     rsi = None if n < 14 else 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss)
@@ -140,7 +141,8 @@ def step(state: tuple | None, close: float):
         s = (sum((c - m) ** 2 for c in closes) / 29) ** 0.5
         z = (close - m) / s if s else None
     values = (rsi, macd, shown, None if shown is None else macd - shown, mid, None if sd is None else mid + 2 * sd, None if sd is None else mid - 2 * sd, z)
-    return (n, fast, slow, signal, gain, loss, close, closes), values
+    # stored state has no nulls: before the first MACD the signal is not read
+    return (n, fast, slow, signal or 0.0, gain, loss, close, closes), values
 
 
 def indicators(bars: DataFrame, late: str = LATENESS) -> DataFrame:
