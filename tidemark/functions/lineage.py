@@ -12,7 +12,7 @@ def cut(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not path and not context.master.startswith("local"):
+        if not path and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(path or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
@@ -24,7 +24,7 @@ def scratch(spark, tag: str) -> str:
 
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-")
     path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

@@ -89,3 +89,23 @@ def summary(scored: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
 
 def zone(value: Column, edge: float = 0.1) -> Column:
     return F.when(value > edge, "POSITIVE").when(value < -edge, "NEGATIVE").otherwise("NEUTRAL")
+
+
+def roll_forward(daily_rows: DataFrame, bar_days: DataFrame, time: str = "ds") -> DataFrame:
+    """Daily sentiment moved to the ticker's next day with a bar, so that news of closed days counts on the next one.
+
+    ``bar_days``: ticker and day of every bar.  Means are weighted by articles;
+    news after the last bar has no day yet and is left out.
+    """
+    from pyspark.sql import Window
+
+    marks = bar_days.select("ticker", time, F.col(time).alias("_bar")).distinct()
+    both = daily_rows.withColumn("_bar", F.lit(None).cast(bar_days.schema[time].dataType)).unionByName(marks, allowMissingColumns=True)
+    ahead = Window.partitionBy("ticker").orderBy(F.col(time).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    moved = both.withColumn("_to", F.min("_bar").over(ahead)).where("article_count is not null and _to is not null")
+    return moved.groupBy("ticker", F.col("_to").alias(time)).agg(
+        F.try_divide(F.sum(F.col("sentiment_compound") * F.col("article_count")), F.sum("article_count")).alias("sentiment_compound"),
+        F.sum("pos_count").alias("pos_count"),
+        F.sum("neg_count").alias("neg_count"),
+        F.sum("article_count").alias("article_count"),
+    )

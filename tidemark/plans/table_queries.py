@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.lineage import cut, scratch
 from ..functions.series import KEY
 from ..operators import ensemble, features, forecasts, linear, sentiment, serving, strategy, trees
-from ..sources import keyed, landed, tables
+from ..sources import keyed, landed, stored, tables
 from ..streaming import bars as streams
 from .registry import BARS, DAILY_SENTIMENT, HEADLINES, INTRADAY, query, recurrences, rounded
 from .series_queries import matrix
@@ -134,6 +134,32 @@ def news_json_headlines(spark, sf_dir):
     return landed.news_headlines(payloads, F.lit(AS_OF).cast("timestamp"))
 
 
+@query(f"""WITH {DAILY_SENTIMENT}, {BARS}, to_day AS (SELECT m.*, (SELECT min(b.ds) FROM bars b WHERE b.ticker = m.ticker AND b.ds >= m.ds) AS bar FROM mood m)
+SELECT ticker, bar AS ds, round(sum(sentiment_compound * article_count) / sum(article_count), 8) AS sentiment_compound, sum(pos_count)::bigint AS pos_count, sum(neg_count)::bigint AS neg_count,
+sum(article_count)::bigint AS article_count FROM to_day WHERE bar IS NOT NULL GROUP BY 1, 2""")
+def sentiment_roll_forward(spark, sf_dir):
+    mood = sentiment.daily(sentiment.score(tables.headlines(spark, sf_dir)))
+    return rounded(sentiment.roll_forward(mood, tables.daily_bars(spark, sf_dir).select(KEY, "ds")), sentiment_compound=8)
+
+
+@query(f"WITH {BARS} SELECT ticker, 'one' AS source, '1d' AS interval, CAST(ds AS TIMESTAMP) AS ts, open, high, low, close, volume FROM bars")
+def stored_bars_of_source(spark, sf_dir):
+    """Two sources and two grains in one table; one of each is read."""
+    path = scratch(spark, "stored")
+    bars = tables.daily_bars(spark, sf_dir).withColumn("ts", F.col("ds").cast("timestamp")).drop("ds")
+    kinds = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(i).alias("interval")) for s in ("one", "two") for i in ("1d", "15m")])
+    keyed.save(bars.withColumn("k", F.explode(kinds)).select("*", "k.*").drop("k"), path, ["source", "interval"], [KEY, "ts"])
+    return stored.stored_bars(spark, path, "one", "1d")
+
+
+@query(f"""WITH {HEADLINES} SELECT ticker, upper(ticker) || ' stock' AS keyword, CASE WHEN ticker < '3' THEN 2 ELSE 1 END AS n_feeds, count(*) AS n_headlines
+FROM headlines GROUP BY ticker""")
+def ticker_keywords(spark, sf_dir):
+    rows = [(t, f"{t.upper()} stock", ["a", "b"] if t < "3" else ["a"]) for t in tables.TICKERS]
+    found = stored.with_keyword(tables.headlines(spark, sf_dir), stored.dimension(spark, rows))
+    return found.groupBy(KEY, "keyword", "n_feeds").agg(F.count("*").alias("n_headlines"))
+
+
 # --- models: rows are checked by the tests against closed forms ---
 
 #: Trees of the registered queries; the operators' default is 300.
