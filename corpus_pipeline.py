@@ -52,7 +52,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokenise and pack into sequences of 4096: one row per piece, with its ids."""
-    return packing.pack(docs, public_path("word_bpe_49k.json"), "space", 2)
+    # workers serve all stages one after another, so the encoder's memo is kept small
+    return packing.pack(docs, public_path("word_bpe_49k.json"), "space", 2, memo=300_000)
 
 
 STAGES = [

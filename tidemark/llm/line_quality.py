@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from . import crf
 from .common import small, table
 
-MAX_DOCS, MAX_BYTES = 6000, 24 << 20
+MAX_DOCS, MAX_BYTES = 4000, 16 << 20
 _CLASSES = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t\r\x0b\x0c", b".,;:?'\"()-", b"#*$%&|<>", b"!", b"@/\\_=+~^`[]{}", bytes(range(128, 256))]
 _CLASS_OF = np.full(256, len(_CLASSES), np.uint8)
 for _k, _chars in enumerate(_CLASSES):
@@ -103,7 +103,9 @@ class Scorer:
     def learn(texts: list[str], labels: list[int]) -> Scorer:
         if len(set(labels)) < 2:
             return Scorer(None)
-        x, size, per_row = line_features(*_bytes_of(pa.array(texts, pa.large_string())))
+        batch = pa.record_batch([pa.array(texts, pa.large_string())], ["text"])
+        parts = [line_features(*_bytes_of(p.column(0))) for p in _parts(batch, 0)]  # temporaries stay small
+        x, size, per_row = (np.concatenate(a) for a in zip(*parts))
         truth = np.array(labels, np.int64)
         scorer = Scorer(crf.fit(x, np.repeat(truth, per_row), per_row, 2))
         raw = scorer._raw(x, size, per_row)
@@ -171,7 +173,7 @@ def score(docs: DataFrame, scorer: Scorer, into: str = "score") -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(into, T.DoubleType())]))
 
 
-def _parts(batch: pa.RecordBatch, place: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, place: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` bytes of text, a row at least."""
     offsets = _bytes_of(batch.column(place))[1]
     at = 0

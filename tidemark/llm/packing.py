@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, stash, table
-from .tokens import encoder, public_path
+from .tokens import MEMO_PIECES, encoder, public_path
 
 FINEST = 64
 
@@ -42,19 +42,20 @@ def cuts(n: int, capacity: int) -> list[int]:
     return out
 
 
-def cut(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity: int = 4096, tokens: bool = True) -> DataFrame:
+def cut(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity: int = 4096, tokens: bool = True, memo: int = MEMO_PIECES) -> DataFrame:
     """Tokenise and cut: one row per piece.
 
     ``doc_id, start, length, ids_crc32, doc_tokens, worker, rank`` and, if
     ``tokens``, the piece's ids as ``ids`` (little-endian unsigned 32-bit).
-    ``rank`` numbers the pieces of one length on one ``worker``.
+    ``rank`` numbers the pieces of one length on one ``worker``; ``memo`` bounds the
+    encoder's memory there.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, worker, ranks = encoder(path, cut_at), TaskContext.get().partitionId(), {}
+        encode, worker, ranks = encoder(path, cut_at, memo), TaskContext.get().partitionId(), {}
         for batch in batches:
             doc, start, length, crc, total, rank, ids = [], [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
@@ -131,9 +132,9 @@ def place(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity: int = 4096, tokens: bool = True) -> DataFrame:
+def pack(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity: int = 4096, tokens: bool = True, memo: int = MEMO_PIECES) -> DataFrame:
     """Pack whole documents: pieces with their sequence and offset, and their ids if ``tokens``."""
-    return place(stash(cut(docs, path, cut_at, end_id, capacity, tokens), "pieces"), capacity)
+    return place(stash(cut(docs, path, cut_at, end_id, capacity, tokens, memo), "pieces"), capacity)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import numpy as np
 ADJACENT = re.compile(r"\s\s")
 #: A head and the ASCII punctuation after it; no apostrophe, which may open a contraction.
 TAIL = re.compile(r"(.*[^!-/:-@\[-`{-~])([!-&(-/:-@\[-`{-~]+)", re.S)
-#: Pieces kept per worker, about 200 bytes each; the memo starts afresh beyond it.  Longer pieces are not kept.
+#: Pieces kept per worker and encoder, some 300 bytes each; the memo starts afresh beyond it.  Longer pieces are not kept.
 MEMO_PIECES, MEMO_CHARS = 1_500_000, 48
 
 
@@ -47,9 +47,9 @@ def public_path(name: str) -> str:
 class _Memo(dict):
     """text piece -> its ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, encode, prefix: str = "", tails: "_Memo | None" = None, fold: bool = False):
+    def __init__(self, encode, most: int, prefix: str = "", tails: "_Memo | None" = None, fold: bool = False):
         super().__init__()
-        self.encode, self.prefix, self.tails, self.fold = encode, prefix, tails, fold
+        self.encode, self.most, self.prefix, self.tails, self.fold = encode, most, prefix, tails, fold
 
     def __missing__(self, piece: str) -> bytes:
         parts = TAIL.fullmatch(piece)
@@ -60,7 +60,7 @@ class _Memo(dict):
         else:
             ids = self.encode(self.prefix + piece)
         if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_PIECES:
+            if len(self) >= self.most:
                 self.clear()
             self[piece] = ids
         return ids
@@ -69,7 +69,7 @@ class _Memo(dict):
 class TextEncoder:
     """Encodes texts into little-endian unsigned 32-bit id bytes."""
 
-    def __init__(self, path: str, cut: str | None = None):
+    def __init__(self, path: str, cut: str | None = None, memo: int = MEMO_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -78,8 +78,8 @@ class TextEncoder:
         self.cut = cut
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.bare = _Memo(self._encode, fold=cut == "space")  # that file lower-cases
-        self.spaced = _Memo(self._encode, " ", self.bare)
+        self.bare = _Memo(self._encode, memo, fold=cut == "space")  # that file lower-cases
+        self.spaced = _Memo(self._encode, memo, " ", self.bare)
 
     def _encode(self, text: str) -> bytes:
         word = text.removeprefix(" ")
@@ -107,11 +107,12 @@ class TextEncoder:
         return self._encode(text)
 
 
-_encoders: dict[tuple[str, str | None], TextEncoder] = {}
+_encoders: dict[tuple, TextEncoder] = {}
 
 
-def encoder(path: str, cut: str | None) -> TextEncoder:
+def encoder(path: str, cut: str | None, memo: int = MEMO_PIECES) -> TextEncoder:
     """The worker's one encoder for a file; kept while the worker lives."""
-    if (path, cut) not in _encoders:
-        _encoders[path, cut] = TextEncoder(path, cut)
-    return _encoders[path, cut]
+    key = (path, cut, memo)
+    if key not in _encoders:
+        _encoders[key] = TextEncoder(*key)
+    return _encoders[key]
