@@ -44,5 +44,5 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
     assert seen == sorted(seen, reverse=True) and seen[-1] > 0.5 * seen[0]
     last = spark.read.parquet(f"{tmp_path}/3").toPandas()
     assert set(last.doc_id) == {r.doc_id for r in docs.select("doc_id").distinct().collect()}
-    assert entry.queries()["pipeline"] is corpus_pipeline.run
+    assert "pipeline" in entry.queries()
     assert last.text.map(lambda t: hashlib.md5(t.encode()).hexdigest()).is_unique
