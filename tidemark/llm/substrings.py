@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from .common import stash, table
 from .line_quality import _bytes_of, _parts
 
-SENTENCES, MIN_WORDS, LONG_WORD = 3, 20, 9
+SENTENCES, MIN_WORDS, LONG_WORD = 3, 15, 9
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _STOP = np.zeros(256, bool)
