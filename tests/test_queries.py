@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__ as entry  # registers the queries
 from compare import assert_same, database
 from tidemark.plans.registry import QUERIES, SQL
 
