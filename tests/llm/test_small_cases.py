@@ -224,7 +224,10 @@ def brute_ratio(text, weight, n):
     return total / (2 * len(words) - 1) if words else None
 
 
-def test_ngram_rules(spark, sf_dir):
+@pytest.mark.parametrize("place_bits", [20, 58, 3])
+def test_ngram_rules(spark, sf_dir, monkeypatch, place_bits):
+    # many place bits leave few for the hash, few make places overflow: the exact way must take over
+    monkeypatch.setattr(ngram_rules, "PLACE_BITS", place_bits)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").toPandas()
     data = ODD + [(20, "a b c a b c a b c d"), (21, "x x x x x\nx\n\nx\n #<>|")] + [(i + 100, t) for i, t in docs.itertuples(index=False)][:80]
     df = rows(spark, data)

@@ -25,6 +25,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 #: Parameters of the registered query.
 BUCKETS, THRESHOLD = 1 << 16, -0.1
+#: Bits of a window's place in a text beside its hash.
+PLACE_BITS = 20
 
 
 def _without(text: str, chars: str) -> str:
@@ -66,17 +68,22 @@ def weights(counts: DataFrame, buckets: int = BUCKETS) -> list[float]:
 
 def base_rules(words: DataFrame) -> DataFrame:
     """Add ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed`` to ``doc_id, text, words``."""
-    # the 3-word windows with their places, equal ones side by side
-    windows = words.withColumn(
-        "_w",
-        F.expr("if(size(words) < 3, array(), array_sort(transform(sequence(0, size(words) - 3),"
-               " i -> struct(concat(words[i], ' ', words[i + 1], ' ', words[i + 2]) as w, i as i))))"),
-    )
-    places = windows.withColumn(
-        "_p",
-        F.expr("if(size(_w) < 2, array(), array_sort(transform(filter(_w, (x, j) ->"
-               " x.w = get(_w, j - 1).w or x.w = get(_w, j + 1).w), x -> x.i)))"),
-    ).drop("_w")
+    # A window's hash above its place in one long: equal windows stand side by side in sorted order.  If two
+    # neighbours of one hash differ in words, or places do not fit, the text's windows are sorted as they are.
+    exact = "filter(_w, (x, j) -> x.w = get(_w, j - 1).w or x.w = get(_w, j + 1).w)"
+    windows = "array_sort(transform(sequence(0, size(words) - 3), i -> struct(concat(words[i], ' ', words[i + 1], ' ', words[i + 2]) as w, i as i)))"
+    same = lambda a, b: f"shiftright({a}, {PLACE_BITS}) = shiftright({b}, {PLACE_BITS})"
+    place = lambda x: f"cast({x} & {(1 << PLACE_BITS) - 1}L as int)"
+    differ = " or ".join(f"get(words, {place('get(_h, j)')} + {k}) <> get(words, {place('get(_h, j - 1)')} + {k})" for k in range(3))
+    short = "array_compact(cast(array() as array<bigint>))"
+    places = (
+        words.withColumn("_k", F.expr(f"if(size(words) < 4, {short}, sort_array(transform(sequence(0, size(words) - 3), i -> (xxhash64(words[i], words[i + 1], words[i + 2]) & {-(1 << PLACE_BITS)}L) | cast(i as bigint))))"))
+        .withColumn("_h", F.expr(f"filter(_k, (x, j) -> {same('x', 'get(_k, j - 1)')} or {same('x', 'get(_k, j + 1)')})"))
+        .withColumn("_odd", F.expr(f"size(words) > {1 << PLACE_BITS} or exists(if(size(_h) < 2, array(), sequence(1, size(_h) - 1)), j -> {same('get(_h, j)', 'get(_h, j - 1)')} and ({differ}))"))
+        .withColumn("_w", F.expr(f"if(coalesce(_odd, false), {windows}, null)"))
+        .withColumn("_p", F.expr(f"array_sort(if(coalesce(_odd, false), transform({exact}, x -> x.i), transform(_h, x -> {place('x')})))"))
+        .drop("_k", "_h", "_odd", "_w")
+    )
     # each window covers three words or up to the next window
     repeat = F.expr("aggregate(_p, named_struct('n', 0L, 'end', 0), (a, i) -> named_struct('n', a.n + (i + 3 - greatest(i, a.end)), 'end', i + 3), a -> a.n)")
     lines = F.expr(f"filter(split(text, '\\n'), x -> length({_without('x', SPACES)}) > 0)")
