@@ -198,3 +198,19 @@ def test_plans_have_one_exchange_per_window_chain(spark, sf_dir):
     assert plan.count("Exchange") == 1 and "SinglePartition" not in plan
     scan = daily_bars(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "o_custkey" not in scan and "CartesianProduct" not in scan
+
+
+@pytest.mark.parametrize("block", [19, 64, 10_000])
+def test_blocks_of_a_long_series_are_the_plain_window(spark, block):
+    from tidemark.functions.long_series import numbered, rolling_blocks
+    from tidemark.functions.series import rolling
+
+    df = bars(spark, np.random.default_rng(8).normal(size=400)).union(bars(spark, range(5), "B"))
+    rows = numbered(df, F.date_trunc("month", "ds"), time="ds")
+    assert [r._i for r in rows.where("ticker = 'A'").orderBy("ds").collect()] == list(range(400))
+    got = rolling_blocks(rows, {"m": (F.avg, "close")}, 20, block=block).orderBy("ticker", "ds").collect()
+    want = df.withColumn("m", rolling(F.avg, "close", 20, time="ds")).orderBy("ticker", "ds").collect()
+    assert [r.m is None for r in got] == [r.m is None for r in want]
+    assert np.allclose([r.m or 0 for r in got], [r.m or 0 for r in want])
+    with pytest.raises(ValueError):
+        rolling_blocks(rows, {}, 20, block=5)

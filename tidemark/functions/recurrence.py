@@ -20,15 +20,17 @@ from .series import KEY, TIME, ordered
 REACH = 42
 
 
-def ewm(df: DataFrame, means: dict[str, tuple[str, float]], key: str = KEY, time: str = TIME, block: int = 64) -> DataFrame:
+def ewm(df: DataFrame, means: dict[str, tuple[str, float]], key: str = KEY, time: str = TIME, block: int = 64, index: str | None = None) -> DataFrame:
     """Add one column per entry ``name: (column, alpha)``.
 
     All columns must be null in the same rows; such rows stay null and do not
-    count, so a mean begins at the first value.
+    count, so a mean begins at the first value.  ``index`` names a column that
+    already numbers the rows from 0 (see ``long_series``); values are then not null.
     """
     first = next(iter(means.values()))[0]
     names = df.columns
-    rows = df.withColumn("_i", F.when(F.col(first).isNotNull(), F.count(first).over(ordered(key, time)) - 1))
+    number = F.col(index) if index else F.when(F.col(first).isNotNull(), F.count(first).over(ordered(key, time)) - 1)
+    rows = df.withColumn("_i", number)
     rows = rows.withColumn("_b", F.expr(f"_i div {block}")).withColumn("_j", F.col("_i") % block)
     inside = Window.partitionBy(key, "_b").orderBy("_i")
     local = {}

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import functions as F
 
 from ..functions.lineage import scratch
+from ..functions.long_series import numbered, rolling_blocks
+from ..functions.recurrence import ewm
 from ..functions.series import KEY
 from ..operators import anomalies, forecasts, sentiment, serving
 from ..sources import keyed, tables
@@ -81,3 +83,25 @@ SELECT ticker, ds, close, round(zscore, 6) AS zscore, flag FROM k WHERE back <=
 def anomaly_tail(spark, sf_dir):
     flags = anomalies.zscore_flags(tables.daily_bars(spark, sf_dir), time="ds")
     return rounded(serving.latest(flags, 15, "ds"), zscore=6)
+
+
+def _numbered_ticks(spark, sf_dir):
+    ticks = tables.ticks(tables.table(spark, sf_dir, "events"))
+    return numbered(ticks, F.to_date("ts"), "n", ties=("seq",))
+
+
+@query("""SELECT event_type AS ticker, event_id AS seq, n, CASE WHEN n >= 19 THEN round(avg(value) OVER w, 8) END AS mean_20, CASE WHEN n >= 19 THEN max(value) OVER w END AS max_20
+FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS n FROM events) WINDOW w AS (PARTITION BY event_type ORDER BY n ROWS 19 PRECEDING)""")
+def rolling_ticks(spark, sf_dir):
+    """Rolling statistics over ticks by blocks of numbers: a long series is many tasks."""
+    rows = rolling_blocks(_numbered_ticks(spark, sf_dir), {"mean_20": (F.avg, "price"), "max_20": (F.max, "price")}, 20, "n", block=500)
+    return rounded(rows.select(KEY, "seq", "n", "mean_20", "max_20"), mean_20=8)
+
+
+@query("""WITH RECURSIVE t AS (SELECT event_type AS ticker, event_id AS seq, value AS price, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS n FROM events),
+e AS (SELECT ticker, seq, n, price AS m FROM t WHERE n = 0 UNION ALL SELECT t.ticker, t.seq, t.n, t.price * (2 / 13.0::double) + e.m * (11 / 13.0::double) FROM e JOIN t ON t.ticker = e.ticker AND t.n = e.n + 1)
+SELECT ticker, seq, n, round(m, 8) AS ema_12 FROM e""")
+def ema_ticks(spark, sf_dir):
+    """An exponential mean over ticks with numbers from counts per day."""
+    rows = ewm(_numbered_ticks(spark, sf_dir), {"ema_12": ("price", 2 / 13)}, index="n")
+    return rounded(rows.select(KEY, "seq", "n", "ema_12"), ema_12=8)
