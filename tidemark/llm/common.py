@@ -49,6 +49,11 @@ def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def thinned(df: DataFrame, by: list[str], rows: int):
+    """A condition that keeps about ``rows`` rows of ``df``, by a hash of columns; all rows of a smaller table."""
+    return F.pmod(F.xxhash64(*by, F.lit("sample")), F.lit(max(1, df.count() // rows))) == 0
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of the undirected graph with edges (a, b).
 
