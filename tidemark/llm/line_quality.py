@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import crf
-from .common import small, table
+from .common import small, table, thinned
 
 MAX_DOCS, MAX_BYTES = 4000, 16 << 20
 _CLASSES = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t\r\x0b\x0c", b".,;:?'\"()-", b"#*$%&|<>", b"!", b"@/\\_=+~^`[]{}", bytes(range(128, 256))]
@@ -145,7 +145,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", max_docs:
     The ids of the sample are chosen on ``labels`` alone and then broadcast, so
     the texts of no other document move.
     """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
+    # a fraction by hash first, so that what the tasks send does not grow with their number
+    known = labels.where(thinned(labels, ["doc_id"], 8 * max_docs)).where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.select("doc_id", F.col(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_docs)
     picked = docs.select("doc_id", "text").join(small(known, max_docs, 16), "doc_id").select("doc_id", "text", "label")
     running = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(_by_hash())
