@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; with ``spread``, rows that come in fewer partitions than there are cores are dealt out to all of them."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if spread and rows.rdd.getNumPartitions() < cores else rows
 
 
 def shared_dir(spark: SparkSession) -> str:

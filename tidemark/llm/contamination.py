@@ -185,7 +185,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, remove: st
 
 def op5(spark, sf_dir: str) -> DataFrame:
     """Benchmark hits of all ``documents``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     found = find(docs, table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",

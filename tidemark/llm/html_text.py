@@ -282,5 +282,5 @@ def main_text(pages: DataFrame, into: str = "text", html_column: str = "html") -
 
 def op3(spark, sf_dir: str) -> DataFrame:
     """Main text of all ``pages``."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = table(spark, sf_dir, "pages", spread=True).select("page_id", "url", "html")
     return main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -186,6 +186,6 @@ def _parts(batch: pa.RecordBatch, place: int, most: int = 2 << 20) -> Iterator[p
 
 def op9(spark, sf_dir: str) -> DataFrame:
     """Quality score of all ``documents``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     scored = score(docs, learn(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

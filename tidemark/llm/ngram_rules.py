@@ -126,6 +126,6 @@ def judge(docs: DataFrame, trusted: DataFrame, trusted_rows: int, buckets: int =
 def op7(spark, sf_dir: str) -> DataFrame:
     """Base rules and log-likelihood ratio of all ``documents``; trusted: labelled of good quality."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
-    return judge(table(spark, sf_dir, "documents"), trusted, trusted.count()).select(
+    return judge(table(spark, sf_dir, "documents", spread=True), trusted, trusted.count()).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio"
     )

@@ -139,5 +139,5 @@ def pack(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity:
 
 def op1(spark, sf_dir: str) -> DataFrame:
     """Harmonic packing of all ``documents`` into sequences of 4096."""
-    packed = pack(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), "space", 2, tokens=False)
+    packed = pack(table(spark, sf_dir, "documents", spread=True), public_path("word_bpe_49k.json"), "space", 2, tokens=False)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

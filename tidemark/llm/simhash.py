@@ -224,5 +224,5 @@ def op8(spark, sf_dir: str) -> DataFrame:
     """SimHash classes of all ``documents``."""
     from .common import table
 
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(table(spark, sf_dir, "documents", spread=True))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

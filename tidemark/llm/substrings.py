@@ -169,5 +169,5 @@ def dedup_spans(docs: DataFrame, removed: str | None = None, **how) -> DataFrame
 
 def op2(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` without repeated spans of sentences."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return dedup_spans(docs, removed="removed_bytes")
