@@ -38,7 +38,7 @@ def pivoted(forecasts: DataFrame, models: list[str], complete: bool = False) ->
 def comparison(scores: DataFrame, ensemble: str = "ensemble") -> DataFrame:
     """Errors per ticker and model, with the rank by MAPE and what the ensemble gains on the best other model."""
     others = scores.where(F.col("model") != ensemble).groupBy("ticker").agg(F.min("mape").alias("best_base"))
-    rank = F.rank().over(Window.partitionBy("ticker").orderBy("mape"))
+    rank = F.rank().over(Window.partitionBy("ticker").orderBy("mape")).cast("long")
     rows = scores.withColumn("rank", rank).join(others, "ticker", "left")
     gain = F.when(F.col("model") == ensemble, 100 * F.try_divide(F.col("best_base") - F.col("mape"), "best_base"))
     return rows.withColumn("improvement_pct", gain)
