@@ -59,8 +59,8 @@ def test_stages_take_odd_rows(spark, sf_dir, tmp_path):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
     fine = "This is a line of text that says something. And one more line says something else.\nIt ends here, at last."
     odd = [(0, fine, "en", "a", 10, 1), (0, fine, "en", "a", 10, 1), (None, fine + " No id.", "en", "a", 10, 2), (3, None, "en", "b", None, 3), (4, "", None, None, 0, 4)]
-    base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("*", corpus_pipeline.F.lit(7).alias("_score_"))
-    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long, _score_ int").unionByName(base)
+    base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("*", corpus_pipeline.F.lit(7).alias("_score"))
+    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long, _score int").unionByName(base)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):

@@ -17,7 +17,7 @@ ODD = [
     (1, "The cat sat. On the mat!\nYes it did so."), (2, None), (3, ""), (4, "   \n\t "), (5, LONG), (6, LONG), (6, LONG),
     (None, "no id here at all, none"), (7, "a  b\n\nc \u3000d <|endoftext|>"), (8, "***"), (9, "The cat sat. On the mat!\nYes it did so."),
 ]
-SCHEMA = "doc_id long, text string, score double, h long, shard string, fp string, `end` string, ids string, trusted int"
+SCHEMA = "doc_id long, text string, _doc_ double, h long, ranges string, fp string, `range` string, ids string, trusted int"
 
 
 def rows(spark, data=ODD):
@@ -181,17 +181,17 @@ def test_contamination(spark, block_bytes):
     assert contamination.find(rows(spark, []), bench).count() == 0
     assert contamination.find(rows(spark), bench.limit(0)).where("contamination.n_hit > 0").count() == 0
     with pytest.raises(ValueError):
-        contamination.find(rows(spark), bench, into="score")
+        contamination.find(rows(spark), bench, into="ranges")
 
 
 def test_shards(spark):
     tree = shards.Tree.even(24, 3, 2)
     data = [(i, f"t{i % 7}") for i in range(3000)] + [(None, "n"), (5, "t5"), (5, "t5")]
-    df = spark.createDataFrame(data, "doc_id long, text string").withColumn("grown", shards.shard_of(tree.grown(), shards.F.col("doc_id")))
+    df = spark.createDataFrame(data, "doc_id long, text string").withColumn("_bucket", shards.F.lit("mine")).withColumn("grown", shards.shard_of(tree.grown(), shards.F.col("doc_id")))
     got = shards.assign(df, tree, "doc_id", ["text"], bucket_rows=500).toPandas()
     for _, part in got.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
-    assert len(got) == len(data) and set(got.shard) == set(range(24))
+    assert len(got) == len(data) and set(got.shard) == set(range(24)) and set(got._bucket) == {"mine"}
     moved = got[got.shard != got.grown]
     assert set(moved.grown) == {24} and 60 < len(moved) < 200
     assert got.groupby("doc_id").shard.nunique().max() == 1
@@ -294,6 +294,7 @@ def test_span_dedup(spark, sf_dir):
     want = Counter((i, None if t is None else substrings.without(t, sorted(later.get((i, zlib.crc32((t or "").encode())), [])))) for i, t in data)
     assert Counter((r.doc_id, r.text) for r in got) == want
     texts = {r.doc_id: r.text for r in got}
+    assert {(r._doc_, r.ranges, r.range) for r in got} == {(0.0, "x", "z")}
     assert passage in texts[60] and "another thing about" not in texts[61] + texts[62] and texts[62].startswith("Other words")
     assert substrings.dedup_spans(rows(spark, [])).count() == 0
     assert substrings.without("a b\nc d\ne", [(0, 3)]) == "c d\ne" and substrings.without("a bb c", [(2, 4)]) == "a c"
@@ -308,7 +309,7 @@ def test_line_quality(spark):
     got = {r.doc_id: r.score for r in line_quality.score(rows(spark, data), scorer).collect()}
     assert all((got[i] >= 0.5) == (i % 2 == 0) for i, _ in data)
     odd = line_quality.score(rows(spark), scorer).collect()
-    assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd) and set(rows(spark).columns) == set(odd[0].asDict())
+    assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd) and {*rows(spark).columns, "score"} == set(odd[0].asDict())
     assert line_quality.score(rows(spark, []), scorer).count() == 0
     none = line_quality.learn(rows(spark, data), labels.limit(0))
     assert {r.score for r in line_quality.score(rows(spark), none).collect()} == {0.5}

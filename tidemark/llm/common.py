@@ -51,6 +51,13 @@ def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it the first that ``df`` has no column of."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def thinned(df: DataFrame, by: list[str], rows: int):
     """A condition that keeps about ``rows`` rows of ``df``, by a hash of columns; all rows of a smaller table."""
     return F.pmod(F.xxhash64(*by, F.lit("sample")), F.lit(max(1, df.count() // rows))) == 0

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stash, table
+from .common import fresh, small, stash, table
 
 
 @dataclass(frozen=True)
@@ -78,15 +78,16 @@ def assign(rows: DataFrame, tree: Tree, key: str, order: list[str], bucket_rows:
     n = kept.count()
     buckets = max(1, -(-n // bucket_rows))
     bucket = F.pmod(F.xxhash64(F.col(key), F.lit("slot"), *order), F.lit(buckets))  # identical rows alone share one
-    kept = kept.withColumn("_bucket", bucket)
-    counts = kept.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select("shard", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
+    b, start, place = fresh(rows, "_bucket"), fresh(rows, "_before"), fresh(rows, "_inside")
+    kept = kept.withColumn(b, bucket)
+    counts = kept.groupBy("shard", b).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("shard").orderBy(b).rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("shard", b, F.coalesce(before, F.lit(0)).alias(start))
     cells = min(n, buckets * sum(len(rack) for region in tree.regions for rack in region))
-    inside = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy(key, *order)) - 1
-    numbered = kept.withColumn("_inside", inside).join(small(counts, cells, 32), ["shard", "_bucket"])
+    inside = F.row_number().over(Window.partitionBy("shard", b).orderBy(key, *order)) - 1
+    numbered = kept.withColumn(place, inside).join(small(counts, cells, 32), ["shard", b])
     names = [c for c in rows.columns if c not in ("shard", "slot")]
-    return numbered.select(*names, "shard", (F.col("_before") + F.col("_inside")).alias("slot"))
+    return numbered.select(*names, "shard", (F.col(start) + F.col(place)).alias("slot"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

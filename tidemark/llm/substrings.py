@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stash, table
+from .common import fresh, stash, table
 from .line_quality import _bytes_of, _parts
 
 SENTENCES, MIN_WORDS, LONG_WORD = 3, 15, 9
@@ -144,9 +144,10 @@ def dedup_spans(docs: DataFrame, removed: str | None = None, **how) -> DataFrame
         raise ValueError(f"the input has a column {removed!r}; name another")
     cut = stash(repeats(docs, **how), "ranges-to-remove")
     doc, tie = _ident(docs)
-    marked = docs.withColumns({"_doc_": doc, "_tie_": tie})
-    same = (marked["_doc_"] == cut["_doc"]) & (marked["_tie_"] == cut["_tie"])
-    joined = marked.join(cut, same, "left").select(*[marked[c] for c in docs.columns], cut["ranges"])
+    names = fresh(docs, "_doc_"), fresh(docs, "_tie_")
+    marked = docs.withColumns(dict(zip(names, (doc, tie))))
+    same = (marked[names[0]] == cut["_doc"]) & (marked[names[1]] == cut["_tie"])
+    joined = marked.join(cut, same, "left").select(*[marked[c] for c in docs.columns], cut["ranges"].alias(fresh(docs, "_ranges")))
     place, names = docs.columns.index("text"), [*docs.columns, *([removed] if removed else [])]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
