@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import contamination, line_quality, packing, simhash, substrings
-from tidemark.llm.common import shared_path, small, stash, table
+from tidemark.llm.common import fresh, shared_path, small, stash, table
 from tidemark.llm.tokens import public_path
 
 #: SQL cannot express the learned model, the fingerprints or the tokenizer.
@@ -25,22 +25,25 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the line model scores as good."""
-    scored = line_quality.score(docs, line_quality.learn(docs, table(spark, sf_dir, "labels")), "_score")
-    return scored.where("_score >= 0.5").select(*docs.columns)
+    score = fresh(docs, "_score")
+    scored = line_quality.score(docs, line_quality.learn(docs, table(spark, sf_dir, "labels")), score)
+    return scored.where(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each class of near-duplicates, the one of the smallest id."""
     classes = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = stash(classes.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept-ids")
-    return docs.join(small(first, first.count(), 16), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    kept = fresh(docs, "_kept")
+    first = stash(classes.where("doc_id <=> component_id").select(F.col("doc_id").alias(kept)).distinct(), "kept-ids")
+    return docs.join(small(first, first.count(), 16), docs["doc_id"].eqNullSafe(F.col(kept)), "left_semi")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove repeated spans of sentences; documents of which nothing is left go, ``n_chars`` follows the text."""
-    cut = substrings.dedup_spans(docs, removed="_removed").where("_removed = 0 or trim(text) <> ''")
+    removed = fresh(docs, "_removed")
+    cut = substrings.dedup_spans(docs, removed=removed).where((F.col(removed) == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        changed = F.when(F.col(removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
         cut = cut.withColumn("n_chars", changed)
     return cut.select(*docs.columns)
 
