@@ -10,7 +10,15 @@ and on until it holds ``min_words`` words; it is hashed to 64 bits of its words.
 Spans are joined over all texts, and all sentences covered by a span that is not
 the first of its kind - by document id, then place - are removed.
 
-Plan: one aggregate finds, for every hash that occurs again, the smallest document
+With ``run``, whole passages go as well: all words of every stretch of ``run`` words
+or more that an earlier document has, wherever it begins and whatever sentence ends
+it holds.  Of the grams of ``gram`` words at all places, those with the smallest hash
+of some ``run - gram + 1`` neighbours are marks (winnowing: two texts that share
+``run`` words share a mark).  Marks are joined like spans; around every mark that
+occurs again, up to ``run - gram`` words to each side, all grams are joined, and
+stretches of ``run`` words that repeated grams cover are removed.
+
+Plan (of spans and marks, then of the grams around marks): one aggregate finds, for every hash that occurs again, the smallest document
 that has it; that table is stored and joined back to all spans, and the ranges
 found go to the texts by document.  The plan is the same at every size.  Within a
 document a repetition is seen on the spot.  A hash that fills much of the corpus
@@ -28,6 +36,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +45,9 @@ from .common import fresh, stash, table
 from .line_quality import _bytes_of, _parts
 
 SENTENCES, MIN_WORDS, LONG_WORD = 3, 15, 9
+RUN, GRAM = 50, 26  # a gram is longer than the distance of two marks, so the marks of a passage cover it but for its ends
+_GRAM_RANGE = 1 << 31  # in a packed range: a gram, not a span
+_END = _GRAM_RANGE - 1
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _STOP = np.zeros(256, bool)
@@ -64,18 +76,33 @@ def _range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return _mix((sums[end] - sums[start]) * back[start])
 
 
-def spans(data: np.ndarray, offsets: np.ndarray, sentences: int, min_words: int, long_word: int):
-    """Of all rows: span hash, whether the row had it before, row, and byte range within the row."""
+def _words(data: np.ndarray, offsets: np.ndarray):
+    """First byte, end, row and hash of every word."""
     blank = _BLANK[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     word = ~blank
     begin = np.flatnonzero(word & np.r_[True, blank[:-1]] | word & first[:-1])
     end = np.flatnonzero(word & np.r_[blank[1:], True] | word & first[1:]) + 1
+    row = np.searchsorted(offsets, begin, side="right") - 1
+    return begin, end, row, _range_hash(_CODES[data], begin, end)
+
+
+def _again(h: np.ndarray, of: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether the row ``of`` has ``h`` at a smaller place."""
+    order = np.lexsort((start, h, of))
+    same = (h[order][1:] == h[order][:-1]) & (of[order][1:] == of[order][:-1])
+    again = np.zeros(len(h), bool)
+    again[order[1:][same]] = True
+    return again
+
+
+def spans(data: np.ndarray, offsets: np.ndarray, words: tuple, sentences: int, min_words: int, long_word: int):
+    """Of all rows: span hash, whether the row had it before, row, and byte range within the row."""
+    begin, end, row, codes = words
     if not len(begin):
         none = np.zeros(0, np.int64)
         return none, none.astype(bool), none, none, none
-    row = np.searchsorted(offsets, begin, side="right") - 1
     newlines = np.concatenate([[0], np.cumsum(data == 10)])
     stop = _STOP[data[end - 1]] | (end - begin >= long_word)
     stop[:-1] |= (newlines[begin[1:]] > newlines[end[:-1]]) | (row[1:] != row[:-1])
@@ -87,12 +114,67 @@ def spans(data: np.ndarray, offsets: np.ndarray, sentences: int, min_words: int,
     fits = to < len(last)
     fits[fits] &= of[to[fits]] == of[fits]
     start, to, of = start[fits], last[to[fits]], of[fits]
-    h = _range_hash(_range_hash(_CODES[data], begin, end), start, to).view(np.int64)
-    order = np.lexsort((start, h, of))
-    same = (h[order][1:] == h[order][:-1]) & (of[order][1:] == of[order][:-1])
-    again = np.zeros(len(h), bool)
-    again[order[1:][same]] = True
-    return h, again, of, begin[start] - offsets[of], end[to - 1] - offsets[of]
+    h = _range_hash(codes, start, to).view(np.int64)
+    return h, _again(h, of, start), of, begin[start] - offsets[of], end[to - 1] - offsets[of]
+
+
+def _gram_hashes(row: np.ndarray, codes: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the gram at every word, and whether the row holds all of it."""
+    n = len(row)
+    whole = np.zeros(n, bool)
+    whole[: max(0, n - gram + 1)] = row[: max(0, n - gram + 1)] == row[gram - 1 :]
+    at = np.arange(n)
+    return _range_hash(codes, at, np.minimum(at + gram, n)), whole
+
+
+def _least(x: np.ndarray, n: int) -> np.ndarray:
+    """The least of every n neighbours in a row, by doubling."""
+    width = 1
+    while width < n:
+        step = min(width, n - width)
+        x, width = np.minimum(x[:-step], x[step:]), width + step
+    return x
+
+
+def _at(h, places, words, offsets, gram):
+    """Hash, whether the row had it before, row, and byte range of the grams at some words."""
+    begin, end, row, _ = words
+    of = row[places]
+    h = h[places].view(np.int64)
+    return h, _again(h, of, places), of, begin[places] - offsets[of], end[places + gram - 1] - offsets[of]
+
+
+def marks(offsets: np.ndarray, words: tuple, gram: int, run: int):
+    """Like :func:`spans`, of the grams that are the least of some ``run - gram + 1`` neighbours."""
+    _, _, row, codes = words
+    n, wide = len(row), run - gram + 1
+    if n < run:
+        return _at(codes, np.zeros(0, np.int64), words, offsets, gram)
+    h, _ = _gram_hashes(row, codes, gram)
+    least = _least(h[: n - gram + 1], wide)  # of the windows that begin at each word
+    least[row[: n - run + 1] != row[run - 1 :]] = 0
+    pad = np.full(wide - 1, ~np.uint64(0))
+    most = ~_least(np.concatenate([pad, ~least, pad]), wide)  # of the windows that hold each gram
+    return _at(h, np.flatnonzero((most == h[: n - gram + 1]) & (most > 0)), words, offsets, gram)
+
+
+def grams(offsets: np.ndarray, words: tuple, of: np.ndarray, start: np.ndarray, late: np.ndarray, gram: int, run: int):
+    """The grams around marks (row, first byte, whether an earlier text has it), like :func:`spans`, and whether late marks leave a word of each uncovered."""
+    begin, _, row, codes = words
+    n = len(row)
+    h, whole = _gram_hashes(row, codes, gram)
+    place = np.searchsorted(begin, offsets[of] + start)
+    first = np.searchsorted(row, of)
+
+    def inside(a, b):
+        edges = np.bincount(a, minlength=n + 1)[: n + 1] - np.bincount(np.minimum(b, n), minlength=n + 1)
+        return np.cumsum(edges)[:n] > 0
+
+    last = np.searchsorted(row, of, side="right")
+    near = inside(np.maximum(place - (run - gram), first), np.minimum(place + (run - gram) + 1, last)) & whole
+    bare = np.concatenate([[0], np.cumsum(~inside(place[late], place[late] + gram))])
+    places = np.flatnonzero(near)
+    return *_at(h, places, words, offsets, gram), bare[places + gram] > bare[places]
 
 
 def _ident(docs: DataFrame) -> list:
@@ -100,30 +182,82 @@ def _ident(docs: DataFrame) -> list:
     return [doc.alias("_doc"), (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)).cast("int").alias("_tie")]
 
 
-def occurrences(docs: DataFrame, sentences: int = SENTENCES, min_words: int = MIN_WORDS, long_word: int = LONG_WORD) -> DataFrame:
-    """Every span: ``h`` (its hash), ``again`` (its document had it before), ``_doc, _tie`` (the document), ``range`` (first byte << 32 | end)."""
+def _packed(part: pa.RecordBatch, h, again, row, start, end, *more) -> pa.RecordBatch:
+    at = pa.array(row)
+    arrays = [pa.array(h), pa.array(again), part.column(0).take(at), part.column(1).take(at), pa.array(start << 32 | end), *map(pa.array, more)]
+    return pa.RecordBatch.from_arrays(arrays, ["h", "again", "_doc", "_tie", "range", "mark"][: len(arrays)])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def occurrences(docs: DataFrame, sentences: int = SENTENCES, min_words: int = MIN_WORDS, long_word: int = LONG_WORD, run: int | None = None, gram: int = GRAM) -> DataFrame:
+    """Every span, and with ``run`` every mark: ``h`` (its hash), ``again`` (its document had it before), ``_doc, _tie`` (the document), ``range`` (first byte << 32 | end), ``mark``."""
+
+    def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch, 2):
-                h, again, row, start, end = spans(*_bytes_of(part.column(2)), sentences, min_words, long_word)
-                at = pa.array(row)
-                arrays = [pa.array(h), pa.array(again), part.column(0).take(at), part.column(1).take(at), pa.array(start << 32 | end)]
-                yield pa.RecordBatch.from_arrays(arrays, ["h", "again", "_doc", "_tie", "range"])
+                data, offsets = _bytes_of(part.column(2))
+                words = _words(data, offsets)
+                got = spans(data, offsets, words, sentences, min_words, long_word)
+                yield _packed(part, *got, np.zeros(len(got[0]), bool))
+                if run:
+                    h, *got = marks(offsets, words, gram, run)
+                    yield _packed(part, ~h, *got, np.ones(len(h), bool))  # not the hash of a span of the same words
 
     rows = docs.select(*_ident(docs), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "h long, again boolean, _doc long, _tie int, range long")
+    return rows.mapInArrow(found, "h long, again boolean, _doc long, _tie int, range long, mark boolean")
 
 
-def repeats(docs: DataFrame, **how) -> DataFrame:
-    """``_doc, _tie, ranges``: byte ranges to remove from each document that has any, packed as in :func:`occurrences`."""
-    found = occurrences(docs, **how)
+def _leads(found: DataFrame, tag: str) -> DataFrame:
+    """``h, lead``: the first document of every hash that occurs again."""
     lead = found.groupBy("h").agg(F.count("*").alias("n"), F.min("_doc").alias("lead")).where("n > 1").select("h", "lead")
-    lead = stash(lead, "leading-documents")
-    late = found.join(lead, "h").where("again or _doc > lead")
+    return stash(lead, tag)
+
+
+def _around(docs: DataFrame, met: DataFrame, gram: int, run: int, bare: bool) -> DataFrame:
+    """The grams around repeated marks, as in :func:`occurrences`; with ``bare`` those alone that late marks do not cover."""
+    flagged = F.when(F.col("late"), F.col("range").bitwiseOR(F.lit(_GRAM_RANGE))).otherwise(F.col("range"))
+    seeds = met.where("mark").groupBy("_doc", "_tie").agg(F.collect_set(flagged).alias("seeds"))
+    rows = docs.select(*_ident(docs), F.col("text").cast("string").alias("_text")).join(seeds, ["_doc", "_tie"])
+
+    def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch, 2):
+                data, offsets = _bytes_of(part.column(2))
+                seed = part.column(3).flatten().to_numpy()
+                of = pc.list_parent_indices(part.column(3)).to_numpy()
+                *got, open_ = grams(offsets, _words(data, offsets), of, seed >> 32, seed & _GRAM_RANGE > 0, gram, run)
+                yield _packed(part, *([x[open_] for x in got] if bare else got))
+
+    return rows.mapInArrow(found, "h long, again boolean, _doc long, _tie int, range long")
+
+
+def repeats(docs: DataFrame, run: int | None = None, gram: int = GRAM, **how) -> DataFrame:
+    """``_doc, _tie, ranges``: byte ranges to remove from each document that has any, packed as in :func:`occurrences`; those of grams have a bit more."""
+    found = occurrences(docs, run=run, gram=gram, **how)
+    met = found.join(_leads(found, "leading-documents"), "h").withColumn("late", F.expr("again or _doc > lead"))
+    late = met.where("late")
+    if run:
+        met = stash(met.where("late or mark").select("_doc", "_tie", "range", "mark", "late"), "repeated-ranges")
+        lead = _leads(_around(docs, met, gram, run, False), "leading-grams")
+        ends = _around(docs, met, gram, run, True).join(lead, "h").where("again or _doc > lead")
+        of_gram = lambda c: c.bitwiseOR(F.lit(_GRAM_RANGE)).alias("range")
+        known = F.when(F.col("mark"), of_gram(F.col("range"))).otherwise(F.col("range")).alias("range")
+        late = met.where("late").select("_doc", "_tie", known).union(ends.select("_doc", "_tie", of_gram(F.col("range"))))
     return late.groupBy("_doc", "_tie").agg(F.sort_array(F.collect_list("range")).alias("ranges"))
 
 
+def passages(text: str, ranges: list[int], run: int | None) -> list[tuple[int, int]]:
+    """Sorted byte ranges of packed ones: spans as they are, grams joined where they overlap if that makes ``run`` words."""
+    raw, kept, joined = text.encode("utf-8", "surrogatepass"), [], []
+    for start, end in sorted((x >> 32, x & 0xFFFFFFFF) for x in ranges):
+        if not end & _GRAM_RANGE:
+            kept.append((start, end))
+        elif joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], end & _END)
+        else:
+            joined.append([start, end & _END])
+    return sorted(kept + [(a, b) for a, b in joined if len(raw[a:b].split()) >= run])
+
+
 def without(text: str, ranges: list[tuple[int, int]]) -> str:
     """``text`` without sorted byte ranges; the blanks after a cut go with it if there are blanks or nothing before it."""
     raw, out, at = text.encode("utf-8", "surrogatepass"), b"", 0
@@ -138,11 +272,11 @@ def without(text: str, ranges: list[tuple[int, int]]) -> str:
     return (out + raw[at:]).decode("utf-8", "surrogatepass")
 
 
-def dedup_spans(docs: DataFrame, removed: str | None = None, **how) -> DataFrame:
-    """``docs`` with repeated spans removed from ``text``; ``removed`` names a column for the number of bytes removed."""
+def dedup_spans(docs: DataFrame, removed: str | None = None, run: int | None = None, **how) -> DataFrame:
+    """``docs`` with repeated spans, and with ``run`` whole repeated passages, removed from ``text``; ``removed`` names a column for the number of bytes removed."""
     if removed and removed in docs.columns:
         raise ValueError(f"the input has a column {removed!r}; name another")
-    cut = stash(repeats(docs, **how), "ranges-to-remove")
+    cut = stash(repeats(docs, run=run, **how), "ranges-to-remove")
     doc, tie = _ident(docs)
     names = fresh(docs, "_doc_"), fresh(docs, "_tie_")
     marked = docs.withColumns(dict(zip(names, (doc, tie))))
@@ -150,14 +284,14 @@ def dedup_spans(docs: DataFrame, removed: str | None = None, **how) -> DataFrame
     joined = marked.join(cut, same, "left").select(*[marked[c] for c in docs.columns], cut["ranges"].alias(fresh(docs, "_ranges")))
     place, names = docs.columns.index("text"), [*docs.columns, *([removed] if removed else [])]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rewritten(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks, texts, gone = batch.column(batch.num_columns - 1), batch.column(place), np.zeros(batch.num_rows, np.int64)
             if marks.null_count < len(marks):
                 texts = texts.to_pylist()
                 for i, r in enumerate(marks):
                     if r.is_valid and texts[i] is not None:
-                        kept = without(texts[i], [(x >> 32, x & 0xFFFFFFFF) for x in r.as_py()])
+                        kept = without(texts[i], passages(texts[i], r.as_py(), run))
                         gone[i] = len(texts[i].encode("utf-8", "surrogatepass")) - len(kept.encode("utf-8", "surrogatepass"))
                         texts[i] = kept
                 texts = pa.array(texts, batch.schema.field(place).type)
@@ -165,10 +299,10 @@ def dedup_spans(docs: DataFrame, removed: str | None = None, **how) -> DataFrame
             yield pa.RecordBatch.from_arrays([*columns, *([pa.array(gone)] if removed else [])], names)
 
     fields = docs.schema.fields + ([T.StructField(removed, T.LongType())] if removed else [])
-    return joined.mapInArrow(run, T.StructType(fields))
+    return joined.mapInArrow(rewritten, T.StructType(fields))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
-    """All ``documents`` without repeated spans of sentences."""
+    """All ``documents`` without repeated spans of sentences and without repeated passages."""
     docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
-    return dedup_spans(docs, removed="removed_bytes")
+    return dedup_spans(docs, removed="removed_bytes", run=RUN)
