@@ -162,8 +162,6 @@ def ticker_keywords(spark, sf_dir):
 
 # --- models: rows are checked by the tests against closed forms ---
 
-#: Trees of the registered queries; the operators' default is 300.
-ROUNDS = 10
 MODELS = ["ar5", "trend_season", "gbt", "forest"]
 
 
@@ -197,25 +195,25 @@ def _labelled(rows):
 
 @query()
 def gbt_holdout(spark, sf_dir):
-    rows = trees.holdout(_labelled(_matrix(spark, sf_dir)), "gbt", "gbt", rounds=ROUNDS)
+    rows = trees.holdout(_labelled(_matrix(spark, sf_dir)), "gbt", "gbt")
     return rows.withColumn("naive", F.col("previous"))
 
 
 @query()
 def rf_holdout(spark, sf_dir):
-    return trees.holdout(_labelled(_matrix(spark, sf_dir)), "forest", "forest", rounds=ROUNDS)
+    return trees.holdout(_labelled(_matrix(spark, sf_dir)), "forest", "forest")
 
 
 @query()
 def feature_importance_top5(spark, sf_dir):
     rows = _labelled(_matrix(spark, sf_dir))
-    found = [x for kind in ("gbt", "forest") for x in trees.importances(trees.fit(rows, kind, ROUNDS), kind)]
+    found = [x for kind in ("gbt", "forest") for x in trees.importances(trees.fit(rows, kind), kind)]
     return forecasts.top_features(spark.createDataFrame(found, "model string, feature string, importance double"))
 
 
 def _tree_forecasts(spark, sf_dir, rows):
     bars = tables.daily_bars(spark, sf_dir)
-    parts = [trees.forecast(trees.fit(_labelled(rows), kind, ROUNDS), bars, rows, kind) for kind in ("gbt", "forest")]
+    parts = [trees.forecast(trees.fit(_labelled(rows), kind), bars, rows, kind) for kind in ("gbt", "forest")]
     return parts[0].unionByName(parts[1])
 
 
@@ -225,7 +223,7 @@ def tree_forecast_7d(spark, sf_dir):
 
 
 def _stack(spark, sf_dir, rows):
-    parts = [trees.holdout(_labelled(rows), kind, kind, rounds=ROUNDS) for kind in ("gbt", "forest")]
+    parts = [trees.holdout(_labelled(rows), kind, kind) for kind in ("gbt", "forest")]
     return cut(ensemble.stack([*parts, linear.linear_holdout(tables.daily_bars(spark, sf_dir))]))
 
 
