@@ -59,6 +59,55 @@ def forward_backward(unary: np.ndarray, transitions: np.ndarray, lengths: np.nda
     return alpha * beta, expected, float(np.log(scale).sum() + top.sum())
 
 
+def _normed(x: np.ndarray) -> np.ndarray:
+    return x / x.sum(axis=-1, keepdims=True)
+
+
+def _scan(steps: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The vectors start @ steps[0] @ ... @ steps[t], each up to a factor, for all t.
+
+    The steps are cut into about sqrt(n) runs that are multiplied in step, so a long
+    sequence takes about sqrt(n) array operations.
+    """
+    n, k = len(steps), steps.shape[1]
+    length = max(1, int(n**0.5))
+    runs = -(-n // length)
+    steps = np.concatenate([steps, np.broadcast_to(np.eye(k), (runs * length - n, k, k))]).reshape(runs, length, k, k)
+    whole = np.broadcast_to(np.eye(k), (runs, k, k))
+    for t in range(length):
+        whole = whole @ steps[:, t]
+        whole = whole / whole.sum(axis=(1, 2), keepdims=True)
+    first = np.empty((runs, k))
+    for r in range(runs):
+        first[r] = start
+        start = _normed(start @ whole[r])
+    out, v = np.empty((runs, length, k)), first
+    for t in range(length):
+        v = _normed(np.einsum("ri,rij->rj", v, steps[:, t]))
+        out[:, t] = v
+    return out.reshape(-1, k)[:n]
+
+
+def _potentials(unary: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    psi = np.exp(unary - unary.max(axis=1, keepdims=True))
+    return psi, np.exp(transitions - transitions.max()) * psi[:, None, :]
+
+
+def forward(unary: np.ndarray, transitions: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+    """Forward vectors of a piece of one sequence; ``before``: that of the position before it, None at the start."""
+    psi, steps = _potentials(unary, transitions)
+    if before is None:
+        return np.vstack([_normed(psi[:1]), _scan(steps[1:], _normed(psi[0]))])
+    return _scan(steps, before)
+
+
+def backward(unary: np.ndarray, transitions: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Backward vectors of a piece, given that of its ``last`` position, and that of the position before the piece."""
+    _, steps = _potentials(unary, transitions)
+    turned = _scan(steps[::-1].transpose(0, 2, 1), last)[::-1]
+    return np.vstack([turned[1:], _normed(last)[None]]), turned[0]
+
+
 def viterbi(unary: np.ndarray, transitions: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The best label sequence of each sequence; the smaller label on ties."""
     steps = Steps(lengths)

@@ -24,10 +24,11 @@ found go to the texts by document.  The plan is the same at every size.  Within
 document a repetition is seen on the spot.  A hash that fills much of the corpus
 is met by partial aggregates first and by the skew handling of the join after.
 
-Rows: a null text has no spans and stays null; rows with one ``doc_id`` are one
-document (those with a null one too, the first of all): the same span in two of
-them stays in both; very short texts have no spans; all columns are kept and
-nothing but ``text`` is changed; an empty table gives an empty result.
+Rows: every row is a document of its own.  The order of documents is that of
+``doc_id`` (null first), then of the text's 64-bit hash; of rows equal in both one is the first, and the
+others lose all that lies in a span, or with ``run`` in a run that long.  A null text has no spans
+and stays null; very short texts have no spans; all columns are kept and nothing but
+``text`` is changed; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,51 +42,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, stash, table
-from .line_quality import _bytes_of, _parts
+from .common import fresh, small, stash, table
+from .flat import bytes_of, parts, range_hash
+from .flat import words as words_of
 
 SENTENCES, MIN_WORDS, LONG_WORD = 3, 15, 9
 RUN, GRAM = 50, 26  # a gram is longer than the distance of two marks, so the marks of a passage cover it but for its ends
 _GRAM_RANGE = 1 << 31  # in a packed range: a gram, not a span
 _END = _GRAM_RANGE - 1
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
-_CODES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, dtype=np.uint64)  # fixed: all workers agree
-_STEP = 0x9E3779B97F4A7C15
-_BACK = pow(_STEP, -1, 1 << 64)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Polynomial hashes of values[start:end], the same wherever the range stands."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(_STEP, len(values))[:-1], dtype=np.uint64)])
-    back = _powers(_BACK, int(start.max(initial=0)))
-    return _mix((sums[end] - sums[start]) * back[start])
-
-
-def _words(data: np.ndarray, offsets: np.ndarray):
-    """First byte, end, row and hash of every word."""
-    blank = _BLANK[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[offsets] = True
-    word = ~blank
-    begin = np.flatnonzero(word & np.r_[True, blank[:-1]] | word & first[:-1])
-    end = np.flatnonzero(word & np.r_[blank[1:], True] | word & first[1:]) + 1
-    row = np.searchsorted(offsets, begin, side="right") - 1
-    return begin, end, row, _range_hash(_CODES[data], begin, end)
 
 
 def _again(h: np.ndarray, of: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -114,7 +80,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, words: tuple, sentences: int, m
     fits = to < len(last)
     fits[fits] &= of[to[fits]] == of[fits]
     start, to, of = start[fits], last[to[fits]], of[fits]
-    h = _range_hash(codes, start, to).view(np.int64)
+    h = range_hash(codes, start, to).view(np.int64)
     return h, _again(h, of, start), of, begin[start] - offsets[of], end[to - 1] - offsets[of]
 
 
@@ -124,7 +90,7 @@ def _gram_hashes(row: np.ndarray, codes: np.ndarray, gram: int) -> tuple[np.ndar
     whole = np.zeros(n, bool)
     whole[: max(0, n - gram + 1)] = row[: max(0, n - gram + 1)] == row[gram - 1 :]
     at = np.arange(n)
-    return _range_hash(codes, at, np.minimum(at + gram, n)), whole
+    return range_hash(codes, at, np.minimum(at + gram, n)), whole
 
 
 def _least(x: np.ndarray, n: int) -> np.ndarray:
@@ -179,7 +145,7 @@ def grams(offsets: np.ndarray, words: tuple, of: np.ndarray, start: np.ndarray,
 
 def _ident(docs: DataFrame) -> list:
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return [doc.alias("_doc"), (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)).cast("int").alias("_tie")]
+    return [doc.alias("_doc"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_tie")]
 
 
 def _packed(part: pa.RecordBatch, h, again, row, start, end, *more) -> pa.RecordBatch:
@@ -193,9 +159,9 @@ def occurrences(docs: DataFrame, sentences: int = SENTENCES, min_words: int = MI
 
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch, 2):
-                data, offsets = _bytes_of(part.column(2))
-                words = _words(data, offsets)
+            for part in parts(batch, 2):
+                data, offsets = bytes_of(part.column(2))
+                words = words_of(data, offsets)
                 got = spans(data, offsets, words, sentences, min_words, long_word)
                 yield _packed(part, *got, np.zeros(len(got[0]), bool))
                 if run:
@@ -203,46 +169,52 @@ def occurrences(docs: DataFrame, sentences: int = SENTENCES, min_words: int = MI
                     yield _packed(part, ~h, *got, np.ones(len(h), bool))  # not the hash of a span of the same words
 
     rows = docs.select(*_ident(docs), F.col("text").cast("string"))
-    return rows.mapInArrow(found, "h long, again boolean, _doc long, _tie int, range long, mark boolean")
+    return rows.mapInArrow(found, "h long, again boolean, _doc long, _tie long, range long, mark boolean")
+
+
+_DOC = ("_doc", "_tie")
 
 
 def _leads(found: DataFrame, tag: str) -> DataFrame:
     """``h, lead``: the first document of every hash that occurs again."""
-    lead = found.groupBy("h").agg(F.count("*").alias("n"), F.min("_doc").alias("lead")).where("n > 1").select("h", "lead")
+    lead = found.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(*_DOC)).alias("lead")).where("n > 1").select("h", "lead")
     return stash(lead, tag)
 
 
+LATE = "again or struct(_doc, _tie) > lead"
+
+
 def _around(docs: DataFrame, met: DataFrame, gram: int, run: int, bare: bool) -> DataFrame:
     """The grams around repeated marks, as in :func:`occurrences`; with ``bare`` those alone that late marks do not cover."""
     flagged = F.when(F.col("late"), F.col("range").bitwiseOR(F.lit(_GRAM_RANGE))).otherwise(F.col("range"))
-    seeds = met.where("mark").groupBy("_doc", "_tie").agg(F.collect_set(flagged).alias("seeds"))
-    rows = docs.select(*_ident(docs), F.col("text").cast("string").alias("_text")).join(seeds, ["_doc", "_tie"])
+    seeds = met.where("mark").groupBy(*_DOC).agg(F.collect_set(flagged).alias("seeds"))
+    rows = docs.select(*_ident(docs), F.col("text").cast("string").alias("_text")).join(seeds, list(_DOC))
 
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch, 2):
-                data, offsets = _bytes_of(part.column(2))
+            for part in parts(batch, 2):
+                data, offsets = bytes_of(part.column(2))
                 seed = part.column(3).flatten().to_numpy()
                 of = pc.list_parent_indices(part.column(3)).to_numpy()
-                *got, open_ = grams(offsets, _words(data, offsets), of, seed >> 32, seed & _GRAM_RANGE > 0, gram, run)
+                *got, open_ = grams(offsets, words_of(data, offsets), of, seed >> 32, seed & _GRAM_RANGE > 0, gram, run)
                 yield _packed(part, *([x[open_] for x in got] if bare else got))
 
-    return rows.mapInArrow(found, "h long, again boolean, _doc long, _tie int, range long")
+    return rows.mapInArrow(found, "h long, again boolean, _doc long, _tie long, range long")
 
 
 def repeats(docs: DataFrame, run: int | None = None, gram: int = GRAM, **how) -> DataFrame:
     """``_doc, _tie, ranges``: byte ranges to remove from each document that has any, packed as in :func:`occurrences`; those of grams have a bit more."""
     found = occurrences(docs, run=run, gram=gram, **how)
-    met = found.join(_leads(found, "leading-documents"), "h").withColumn("late", F.expr("again or _doc > lead"))
+    met = found.join(_leads(found, "leading-documents"), "h").withColumn("late", F.expr(LATE))
     late = met.where("late")
     if run:
         met = stash(met.where("late or mark").select("_doc", "_tie", "range", "mark", "late"), "repeated-ranges")
         lead = _leads(_around(docs, met, gram, run, False), "leading-grams")
-        ends = _around(docs, met, gram, run, True).join(lead, "h").where("again or _doc > lead")
+        ends = _around(docs, met, gram, run, True).join(lead, "h").where(LATE)
         of_gram = lambda c: c.bitwiseOR(F.lit(_GRAM_RANGE)).alias("range")
         known = F.when(F.col("mark"), of_gram(F.col("range"))).otherwise(F.col("range")).alias("range")
         late = met.where("late").select("_doc", "_tie", known).union(ends.select("_doc", "_tie", of_gram(F.col("range"))))
-    return late.groupBy("_doc", "_tie").agg(F.sort_array(F.collect_list("range")).alias("ranges"))
+    return late.groupBy(*_DOC).agg(F.sort_array(F.collect_set("range")).alias("ranges"))
 
 
 def passages(text: str, ranges: list[int], run: int | None) -> list[tuple[int, int]]:
@@ -272,30 +244,63 @@ def without(text: str, ranges: list[tuple[int, int]]) -> str:
     return (out + raw[at:]).decode("utf-8", "surrogatepass")
 
 
-def dedup_spans(docs: DataFrame, removed: str | None = None, run: int | None = None, **how) -> DataFrame:
+def _copies(docs: DataFrame, keys: tuple[str, str], into: str) -> DataFrame:
+    """Add ``into``: true for all but one of the rows that are equal in both ``keys``.
+
+    Only rows of which there is another are written and numbered; with none, nothing is.
+    """
+    many = stash(docs.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys]), "repeated-rows")
+    n = many.count()
+    if not n:
+        return docs.withColumn(into, F.lit(False))
+    many = small(many, n, 48)
+    same = (docs[keys[0]] == many[f"_{keys[0]}"]) & (docs[keys[1]] == many[f"_{keys[1]}"])
+    number = fresh(docs, "_number_")
+    rows = stash(docs.join(many, same, "left_semi").withColumn(number, F.monotonically_increasing_id()), "rows-with-copies")
+    first = rows.groupBy(*keys).agg(F.min(number).alias("_first")).select("_first")
+    copies = rows.join(small(first, n, 32), rows[number] == F.col("_first"), "left_anti").drop(number)
+    firsts = rows.join(small(first, n, 32), rows[number] == F.col("_first"), "left_semi").drop(number)
+    alone = docs.join(many, same, "left_anti")
+    return alone.unionByName(firsts).withColumn(into, F.lit(False)).unionByName(copies.withColumn(into, F.lit(True)))
+
+
+def _own_ranges(text: str, run: int | None, sentences: int, min_words: int, long_word: int) -> list[int]:
+    """The packed ranges of a copy: all spans, and with ``run`` the whole of a text that long."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    offsets = np.array([0, len(data)])
+    words = words_of(data, offsets)
+    *_, start, end = spans(data, offsets, words, sentences, min_words, long_word)
+    found = (start << 32 | end).tolist()
+    if run and len(words[0]) >= run:
+        found.append(int(words[0][0]) << 32 | int(words[1][-1]) | _GRAM_RANGE)
+    return found
+
+
+def dedup_spans(docs: DataFrame, removed: str | None = None, run: int | None = None, gram: int = GRAM, sentences: int = SENTENCES, min_words: int = MIN_WORDS, long_word: int = LONG_WORD) -> DataFrame:
     """``docs`` with repeated spans, and with ``run`` whole repeated passages, removed from ``text``; ``removed`` names a column for the number of bytes removed."""
     if removed and removed in docs.columns:
         raise ValueError(f"the input has a column {removed!r}; name another")
-    cut = stash(repeats(docs, run=run, **how), "ranges-to-remove")
-    doc, tie = _ident(docs)
-    names = fresh(docs, "_doc_"), fresh(docs, "_tie_")
-    marked = docs.withColumns(dict(zip(names, (doc, tie))))
+    how = {"sentences": sentences, "min_words": min_words, "long_word": long_word}
+    cut = stash(repeats(docs, run=run, gram=gram, **how), "ranges-to-remove")
+    names, copy = (fresh(docs, "_doc_"), fresh(docs, "_tie_")), fresh(docs, "_copy_")
+    marked = _copies(docs.withColumns(dict(zip(names, _ident(docs)))), names, copy)
     same = (marked[names[0]] == cut["_doc"]) & (marked[names[1]] == cut["_tie"])
-    joined = marked.join(cut, same, "left").select(*[marked[c] for c in docs.columns], cut["ranges"].alias(fresh(docs, "_ranges")))
+    joined = marked.join(cut, same, "left").select(*[marked[c] for c in docs.columns], cut["ranges"].alias(fresh(docs, "_ranges")), marked[copy])
     place, names = docs.columns.index("text"), [*docs.columns, *([removed] if removed else [])]
 
     def rewritten(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, texts, gone = batch.column(batch.num_columns - 1), batch.column(place), np.zeros(batch.num_rows, np.int64)
-            if marks.null_count < len(marks):
+            *columns, marks, again = batch.columns
+            texts, gone = columns[place], np.zeros(batch.num_rows, np.int64)
+            if marks.null_count < len(marks) or again.true_count:
                 texts = texts.to_pylist()
-                for i, r in enumerate(marks):
-                    if r.is_valid and texts[i] is not None:
-                        kept = without(texts[i], passages(texts[i], r.as_py(), run))
+                for i, (r, copied) in enumerate(zip(marks, again.to_pylist())):
+                    if texts[i] is not None and (r.is_valid or copied):
+                        ranges = _own_ranges(texts[i], run, **how) if copied else r.as_py()
+                        kept = without(texts[i], passages(texts[i], ranges, run))
                         gone[i] = len(texts[i].encode("utf-8", "surrogatepass")) - len(kept.encode("utf-8", "surrogatepass"))
                         texts[i] = kept
-                texts = pa.array(texts, batch.schema.field(place).type)
-            columns = [texts if k == place else c for k, c in enumerate(batch.columns[:-1])]
+                columns[place] = pa.array(texts, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays([*columns, *([pa.array(gone)] if removed else [])], names)
 
     fields = docs.schema.fields + ([T.StructField(removed, T.LongType())] if removed else [])
