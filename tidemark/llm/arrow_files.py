@@ -5,7 +5,8 @@ A shard is one Arrow IPC file, ``ids-<shard>.arrow``, with columns
 * ``ids``:  fixed_size_list<uint16 or uint32>[length] - the documents' ids one after another,
 * ``mask``: fixed_size_list<bool>[length] - true where an id stands, false in the padding of the last sequence,
 
-so sequence i of a memory-mapped shard is a zero-copy slice.  Beside it
+Every batch but the last of a shard has ``BATCH`` sequences, so sequence i stands in batch
+``i // BATCH`` and is a zero-copy slice of the memory-mapped file.  Beside it
 ``index-<shard>.arrow`` holds ``doc_id, start, n_tokens`` within the shard.
 Shards are ranges of ascending ``doc_id``; each begins a new sequence.
 
@@ -65,7 +66,7 @@ class ShardWriter:
         self.held += ids
         self.n += int(sizes.sum())
         if self.n >= BATCH * self.length:
-            self._write(self.n // self.length)
+            self._write(self.n // self.length // BATCH * BATCH)
 
     def _write(self, rows: int, pad: int = 0) -> None:
         flat = np.concatenate([*self.held, np.zeros(pad, self.kind.to_pandas_dtype())])
@@ -125,10 +126,22 @@ class Shard:
         self.length = self.reader.schema.field("ids").type.list_size
 
     def batch(self, k: int) -> tuple[np.ndarray, pa.Array]:
-        """Ids of batch k as one flat view, and its mask; all batches but those at an end of writing are full."""
+        """Ids of batch k as one flat view, and its mask."""
         got = self.reader.get_batch(k)
         return got.column(0).flatten().to_numpy(zero_copy_only=True), got.column(1).flatten()
 
+    def __len__(self) -> int:
+        n = self.reader.num_record_batches
+        return (n - 1) * BATCH + self.reader.get_batch(n - 1).num_rows if n else 0
+
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.Array]:
+        """Ids and mask of sequence i, without reading or copying any other."""
+        if not 0 <= i < len(self):
+            raise IndexError(i)
+        ids, mask = self.batch(i // BATCH)
+        at = i % BATCH * self.length
+        return ids[at : at + self.length], mask.slice(at, self.length)
+
     def stream(self) -> Iterator[np.ndarray]:
         """The ids that the masks keep, batch by batch."""
         for k in range(self.reader.num_record_batches):

@@ -22,7 +22,9 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 from . import crf
 from .common import table, thinned
 
-SEED_PAGES, SEED_CHARS, LAYOUT_PAGES = 200, 200_000, 400
+SEED_PAGES, SEED_CHARS, LAYOUT_PAGES, LAYOUT_WORDS = 200, 200_000, 400, 20_000
 
 # Element names of HTML.
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split())
@@ -64,15 +66,53 @@ _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Block:
-    """A text block: its text, the letters of it inside links, its ancestors' tags and meanings, and the innermost meanings."""
+    """A text block: its text, the letters of it inside links, its ancestors' tags (of ``TAG_FEATURES``) and meanings, and the innermost meanings."""
 
     __slots__ = ("inner", "linked", "meanings", "tags", "text")
 
-    def __init__(self, text: str, linked: int, stack: list):
-        self.text, self.linked = text, linked
-        self.tags = {t for t, _ in stack}
-        self.meanings = {m for _, ms in stack for m in ms}
-        self.inner = next((ms for _, ms in reversed(stack) if ms), ())
+    def __init__(self, text: str, linked: int, tags: set, meanings: set, inner: tuple):
+        self.text, self.linked, self.tags, self.meanings, self.inner = text, linked, tags, meanings, inner
+
+
+class _Open:
+    """The open elements, with counts, so that a block or a closing tag does not walk through all of them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple]] = []
+        self.names, self.tags, self.meanings, self.inner = Counter(), set(), Counter(), []
+
+    def push(self, name: str, meanings: tuple) -> None:
+        self.stack.append((name, meanings))
+        self.names[name] += 1
+        if name in _TAG_OF:
+            self.tags.add(name)
+        self.meanings.update(meanings)
+        if meanings:
+            self.inner.append(meanings)
+
+    def drop(self) -> None:
+        name, meanings = self.stack.pop()
+        self.names[name] -= 1
+        if not self.names[name]:
+            self.tags.discard(name)
+        self.meanings.subtract(meanings)
+        if meanings:
+            self.inner.pop()
+
+    def close(self, names: tuple[str, ...], stop: frozenset | tuple = ()) -> None:
+        """Close the innermost element of these names and all in it, unless one of ``stop`` is met first."""
+        if not any(self.names[n] for n in names):
+            return
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][0] in names:
+                while len(self.stack) > k:
+                    self.drop()
+                return
+            if self.stack[k][0] in stop:
+                return
+
+    def block(self, text: str, linked: int) -> Block:
+        return Block(text, linked, set(self.tags), {m for m, n in self.meanings.items() if n}, self.inner[-1] if self.inner else ())
 
 
 def _meanings(attributes: str) -> tuple[int, ...]:
@@ -84,14 +124,14 @@ def _meanings(attributes: str) -> tuple[int, ...]:
 
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order."""
-    page, out, stack, held, linked, links, at = page or "", [], [], [], 0, 0, 0
+    page, out, opened, held, linked, at = page or "", [], _Open(), [], 0, 0
 
     def text_to(end: int) -> None:
         nonlocal linked
         if end > at:
             piece = html.unescape(page[at:end]) if "&" in page[at:end] else page[at:end]
             held.append(piece)
-            if links:
+            if opened.names["a"]:
                 linked += len(piece)
 
     def close_block() -> None:
@@ -99,20 +139,10 @@ def blocks(page: str | None) -> list[Block]:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                out.append(Block(text, linked, stack))
+                out.append(opened.block(text, linked))
             held.clear()
         linked = 0
 
-    def pop(names: tuple[str, ...], stop: frozenset | tuple = ()) -> None:
-        nonlocal links
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                links -= sum(t == "a" for t, _ in stack[k:])
-                del stack[k:]
-                return
-            if stack[k][0] in stop:
-                return
-
     while m := _TOKEN.search(page, at):
         text_to(m.start())
         at = m.end()
@@ -125,20 +155,19 @@ def blocks(page: str | None) -> list[Block]:
         elif name == "br":
             held.append(" ")
         if closing:
-            pop((name,), () if name in BLOCK else BLOCK)
+            opened.close((name,), () if name in BLOCK else BLOCK)
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I).search(page, at)
-            if not attributes.endswith("/"):
-                at = end.end()
+            # only elements of other vocabularies can close themselves
+            if not (name in ("svg", "math") and attributes.endswith("/")):
+                at = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I).search(page, at).end()
             continue
         if name in CLOSES_P:
-            pop(("p",), ("table", "td", "li", "div", "article", "section", "blockquote"))
+            opened.close(("p",), ("table", "td", "li", "div", "article", "section", "blockquote"))
         if name in ALONE:
-            pop(ALONE[name], ("ul", "ol", "dl", "table", "select", "nav"))
+            opened.close(ALONE[name], ("ul", "ol", "dl", "table", "select", "nav"))
         if name not in VOID and not (attributes.endswith("/") and name not in BLOCK):
-            stack.append((name, _meanings(attributes)))
-            links += name == "a"
+            opened.push(name, _meanings(attributes))
     text_to(len(page))
     close_block()
     return out
@@ -240,7 +269,8 @@ def seed_labels(found: list[Block]) -> list[int] | None:
 def train(pages: list[str]) -> crf.Model:
     """Fit the chain on the layouts and on those of ``pages`` that can be labelled."""
     found = [blocks(p) for p in pages]
-    words = sorted({w for page in found for b in page for w in b.text.split()})[:20_000] or ["word", "text", "and", "the", "of"]
+    # a bounded choice of words by their hash: it fills the layouts
+    words = sorted({w for page in found for b in page for w in b.text.split()}, key=lambda w: (crc32(w.encode("utf-8", "surrogatepass")), w))[:LAYOUT_WORDS] or ["word", "text", "and", "the", "of"]
     data = labelled_layouts(words)
     data += [(b, labels) for b in found if (labels := seed_labels(b))]
     return crf.fit(np.vstack([features(b) for b, _ in data]), np.concatenate([np.array(y) for _, y in data]), np.array([len(y) for _, y in data]), 2, l2=1e-4, rounds=200)

@@ -41,18 +41,23 @@ def with_words(docs: DataFrame) -> DataFrame:
     return docs.withColumn("words", F.array_remove(F.split("text", SPACE), ""))
 
 
-def bucket_counts(docs: DataFrame, trusted: DataFrame, trusted_rows: int, buckets: int = BUCKETS) -> DataFrame:
-    """``bucket, raw, target``: n-gram counts over all rows and over rows whose ``doc_id`` is in ``trusted``."""
-    marks = small(trusted.select("doc_id").where("doc_id is not null").distinct().withColumn("trusted", F.lit(True)), trusted_rows, 32)
-    rows = docs.select("doc_id", "text").join(marks, "doc_id", "left")
-    rows = rows.select("trusted", F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE), "").alias("words"))
-    rows = rows.select("trusted", "words", F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("next"))
-    pairs = rows.select("trusted", F.explode(F.arrays_zip("words", "next")).alias("p"))
+def _gram_counts(docs: DataFrame, buckets: int, into: str) -> DataFrame:
+    """``bucket`` and the number of unigrams and bigrams of all texts in it."""
+    rows = docs.select(F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE), "").alias("words"))
+    rows = rows.select("words", F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("next"))
+    pairs = rows.select(F.explode(F.arrays_zip("words", "next")).alias("p"))
     uni = F.pmod(F.xxhash64("p.words"), F.lit(buckets)).cast("int")
     bi = F.pmod(F.xxhash64("p.words", "p.next"), F.lit(buckets)).cast("int")
     both = F.when(F.col("p.next").isNull(), F.array(uni)).otherwise(F.array(uni, bi))
-    grams = pairs.select("trusted", F.explode(both).alias("bucket"))
-    return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
+    return pairs.select(F.explode(both).alias("bucket")).groupBy("bucket").agg(F.count("*").alias(into))
+
+
+def bucket_counts(docs: DataFrame, trusted: DataFrame, trusted_rows: int, buckets: int = BUCKETS) -> DataFrame:
+    """``bucket, raw, target``: n-gram counts over all rows, without a join, and over rows whose ``doc_id`` is in ``trusted``."""
+    marks = small(trusted.select("doc_id").where("doc_id is not null").distinct(), trusted_rows, 32)
+    raw = _gram_counts(docs.select("text"), buckets, "raw")
+    target = _gram_counts(docs.select("doc_id", "text").where("doc_id is not null").join(marks, "doc_id", "left_semi"), buckets, "target")
+    return raw.join(target, "bucket", "left").select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target"))
 
 
 def weights(counts: DataFrame, buckets: int = BUCKETS) -> list[float]:

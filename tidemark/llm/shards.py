@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from .common import fresh, small, stash, table
 
 
+BASE = 24
+
+
 @dataclass(frozen=True)
 class Tree:
     """regions -> racks -> (shard number, weight)."""
@@ -46,6 +49,17 @@ class Tree:
         return Tree((*self.regions, (((number, weight),),)))
 
 
+def tree(shards: int) -> Tree:
+    """The one tree of a number of shards: up to ``BASE`` in racks of four and two racks a region, each further one in a region of its own.
+
+    So from ``BASE`` on, one shard more takes rows only into itself.
+    """
+    even = Tree.even(min(shards, BASE), regions=-(-min(shards, BASE) // 8), racks=2)
+    for _ in range(shards - BASE):
+        even = even.grown()
+    return even
+
+
 def _draw(key: Column, node: str, weight: float) -> Column:
     bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(node)), 11)
     return -F.log((bits.cast("double") + 0.5) / float(1 << 53)) / F.lit(weight)
@@ -94,7 +108,6 @@ def op6(spark, sf_dir: str) -> DataFrame:
     """Law ``key``: all ``documents`` over 24 shards, and where each goes with one more."""
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    tree = Tree.even(24, regions=3, racks=2)
-    docs = docs.withColumn("grown_shard", shard_of(tree.grown(), F.col("doc_id")))
-    placed = assign(docs, tree, "doc_id", ["text_crc32", "size"])
+    docs = docs.withColumn("grown_shard", shard_of(tree(25), F.col("doc_id")))
+    placed = assign(docs, tree(24), "doc_id", ["text_crc32", "size"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

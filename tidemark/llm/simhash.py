@@ -12,7 +12,7 @@ and each linked pair meets in at least one bucket.
 Comparison: the fingerprints of a bucket are stored as 64 vertical bit planes.
 XOR of planes gives one bit of many distances at once, carry-save counters add
 them up, and a block is abandoned as soon as every distance exceeds the radius.
-A bucket that is still large is dealt by a further 9-bit part first.
+A bucket that is still large is dealt by further parts of its bits first.
 
 Rows: a null or word-less text has fingerprint zero and is linked like any
 other; repeated rows and ties share one fingerprint; other columns are not
@@ -27,10 +27,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import components, stash
+from .common import components, fresh, small, stash
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Rows compared as one block; runs of equal keys over SMALL have planes of their own, over LARGE they are dealt again.
@@ -130,7 +131,8 @@ def run_links(fps: np.ndarray, radius: int, deal: bool = True) -> list[tuple[int
     if deal and len(fps) > LARGE:
         found = []
         for g in _parts(fps, radius):
-            found += [(int(g[i]), int(g[j])) for i, j in run_links(fps[g], radius, deal=False)]
+            # again by other bits, as long as that makes groups smaller
+            found += [(int(g[i]), int(g[j])) for i, j in run_links(fps[g], radius, deal=2 * len(g) < len(fps))]
         return found
     forest, cut, full = _Forest(len(fps)), planes(fps), (1 << len(fps)) - 1
     for i, fp in enumerate(fps.tolist()):
@@ -209,15 +211,42 @@ def links(distinct_fps: DataFrame, radius: int = 3) -> DataFrame:
     return dealt.mapInArrow(_links(radius), "a long, b long").distinct()
 
 
+def _classes(rows: DataFrame, low: Column, radius: int) -> DataFrame:
+    """``of, low``: every fingerprint of ``rows`` and the least ``low`` of its class."""
+    lows = stash(rows.groupBy("fp").agg(F.min(low).alias("low")), "distinct-fingerprints")
+    roots = components(links(lows.select("fp"), radius), "a", "b")
+    classes = lows.join(roots, lows["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    least = classes.groupBy("root").agg(F.min("low").alias("low"))
+    return classes.select("root", F.col("fp").alias("of")).join(least, "root").select("of", "low")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     """``doc_id, fp, component_id`` for every row; ``component_id`` is the smallest ``doc_id`` reachable by links."""
     rows = stash(fingerprints(docs), "fingerprints")
-    low = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    roots = components(links(low.select("fp"), radius), "a", "b")
-    classes = low.join(roots, low["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    ids = classes.join(lows, "root").select(F.col("fp").alias("of"), "component_id")
-    return rows.join(ids, rows["fp"] == ids["of"]).select("doc_id", "fp", "component_id")
+    ids = _classes(rows, F.col("doc_id"), radius)
+    return rows.join(ids, rows["fp"] == ids["of"]).select("doc_id", "fp", F.col("low").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, radius: int = 3) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest ``doc_id`` (null last), the first stored of equal ones.
+
+    Rows are told apart by a number that they are stored with, so repeated ids,
+    null ids and equal rows are decided like any others.
+    """
+    number, fp = fresh(docs, "_number_"), fresh(docs, "_fp_")
+    place, names = docs.columns.index("text"), [*docs.columns, fp]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py()) for t in batch.column(place)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], names)
+
+    marked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())]))
+    marked = stash(marked.withColumn(number, F.monotonically_increasing_id()), "rows-with-fingerprints")
+    rows = marked.select(F.col(fp).alias("fp"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(number).alias("row")).alias("me"))
+    ids = _classes(rows, F.col("me"), radius)
+    gone = stash(rows.join(ids, rows["fp"] == ids["of"]).where("me.row <> low.row").select(F.col("me.row").alias("_gone")), "near-duplicates")
+    return marked.join(small(gone, gone.count(), 16), marked[number] == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
