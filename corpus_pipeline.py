@@ -5,9 +5,9 @@ kept, and is written as Parquet and read again before the next.  All but the las
 return the columns of ``documents``.
 
 An empty or null text goes through every stage: the quality model decides on it,
-and rows that are left are near-duplicates of each other.  Rows that share a
-``doc_id`` are one document for near-dedup and stay or go together.  Extra columns
-are kept by all but the last stage, which returns one row per packed piece.
+and rows that are left are near-duplicates of each other.  Every row is a document
+of its own, whatever its ``doc_id``: of repeated rows one stays.  Extra columns are kept by
+all but the last stage, which returns one row per packed piece.  An empty table gives no piece.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import contamination, line_quality, packing, simhash, substrings
-from tidemark.llm.common import fresh, shared_path, small, stash, table
+from tidemark.llm.common import fresh, shared_path, table
 from tidemark.llm.tokens import public_path
 
 #: SQL cannot express the learned model, the fingerprints or the tokenizer.
@@ -31,17 +31,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near-duplicates, the one of the smallest id."""
-    classes = simhash.near_duplicates(docs.select("doc_id", "text"))
-    kept = fresh(docs, "_kept")
-    first = stash(classes.where("doc_id <=> component_id").select(F.col("doc_id").alias(kept)).distinct(), "kept-ids")
-    return docs.join(small(first, first.count(), 16), docs["doc_id"].eqNullSafe(F.col(kept)), "left_semi")
+    """Keep one row of each class of near-duplicates, that of the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove repeated spans of sentences; documents of which nothing is left go, ``n_chars`` follows the text."""
+    """Remove repeated spans of sentences and repeated passages; documents of which nothing is left go, ``n_chars`` follows the text."""
     removed = fresh(docs, "_removed")
-    cut = substrings.dedup_spans(docs, removed=removed).where((F.col(removed) == 0) | (F.trim("text") != ""))
+    cut = substrings.dedup_spans(docs, removed=removed, run=substrings.RUN).where((F.col(removed) == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
         changed = F.when(F.col(removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
         cut = cut.withColumn("n_chars", changed)
