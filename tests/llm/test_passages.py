@@ -35,9 +35,9 @@ def test_passages_of_short_words_go_whole(spark):
             assert got[i] == t
 
 
-def test_passages_of_documents_go_whole(spark, sf_dir):
-    """By brute force: no run of 50 words that an earlier document has keeps a word; nothing new goes that no earlier text has."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+def check_passages(docs):
+    """By brute force: no run of 50 words that an earlier document has keeps a word; nothing new goes that no earlier text has.  The ranges by id."""
+    docs = docs.select("doc_id", "text")
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     ranges = {r._doc: substrings.passages(texts[r._doc], r.ranges, substrings.RUN) for r in substrings.repeats(docs, run=substrings.RUN).collect()}
     spans = {r._doc: substrings.passages(texts[r._doc], r.ranges, None) for r in substrings.repeats(docs).collect()}
@@ -68,3 +68,19 @@ def test_passages_of_documents_go_whole(spark, sf_dir):
             assert all(gone(k, ranges) for k in must), i
             assert all(k in may or gone(k, spans) for k in range(len(words)) if gone(k, ranges)), i
     assert runs > 5
+    return ranges
+
+
+def test_passages_of_documents_go_whole(spark, sf_dir):
+    check_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    deal = random.Random(9)
+    words = lambda n: " ".join("".join(deal.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(n))
+    passage = words(60)
+    texts = [f"{words(30)} {passage} {words(30)}" for _ in range(4)]
+    data = [(None, texts[0]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (3, texts[3]), (None, texts[1]), (7, "x y z"), (7, "x y z"), (8, None), (8, None)]
+    got = substrings.dedup_spans(spark.createDataFrame(data, "doc_id long, text string").repartition(4), removed="gone", run=substrings.RUN).collect()
+    assert len(got) == len(data) and sum(passage in (r.text or "") for r in got) == 1
+    assert sum(r.text == "" for r in got) == 2 and sum(r.text == "x y z" for r in got) == 2 and sum(r.text is None for r in got) == 2

@@ -1,56 +1,64 @@
 """The pipeline against a plain version of every stage."""
 
-import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
-from test_small_cases import brute_classes, brute_fingerprint, brute_hits, brute_spans, token_ids
+from test_passages import check_passages
+from test_small_cases import brute_classes, brute_fingerprint, brute_hits, token_ids
 from tidemark.llm import line_quality, substrings
 
 
-def plain_pipeline(docs, scorer, items):
-    """doc_id -> text after the first four stages, one row at a time."""
-    good = {i: t for i, t in docs.items() if scorer(pa.array([t]))[0] >= 0.5}
-    ids = sorted(good)
-    classes = brute_classes([brute_fingerprint(good[i]) for i in ids])
-    low = {}
-    for i, c in zip(ids, classes):
-        low[c] = min(low.get(c, i), i)
-    single = {i: good[i] for i in low.values()}
-    keyed = {(i, zlib.crc32((t or "").encode())): t or "" for i, t in single.items()}
-    later = brute_spans(keyed, substrings.SENTENCES, substrings.MIN_WORDS, substrings.LONG_WORD)
-    cut = {i: substrings.without(t, sorted(later.get((i, c), []))) for (i, c), t in keyed.items()}
-    cut = {i: t for i, t in cut.items() if t == single[i] or t.strip(" ")}
-    out = {}
-    for i, t in cut.items():
-        n, hit, _ = brute_hits(t, items)
-        if not (hit and 20 * hit >= n):
-            out[i] = t
-    return out
-
-
-def test_pipeline_against_plain_stages(spark, sf_dir, tmp_path):
+def test_stages_against_plain_versions(spark, sf_dir, tmp_path):
+    """Every stage on what its predecessor kept, and the whole run on the same pieces."""
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    docs = {r.doc_id: r.text for r in read("documents").collect()}
-    items = [(r.item_id, r.text) for r in read("benchmark").collect()]
+    docs, kept = read("documents"), []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{tmp_path}/{k}")
+        kept.append({r.doc_id: r.text for r in docs.collect()})
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
     scorer = line_quality.learn(read("documents"), read("labels"))
-    want = plain_pipeline(docs, scorer, items)
+    assert kept[1] == {i: t for i, t in kept[0].items() if scorer(pa.array([t], pa.string()))[0] >= 0.5}
+    ids, low = sorted(kept[1]), {}
+    for i, c in zip(ids, brute_classes([brute_fingerprint(kept[1][i]) for i in ids])):
+        low.setdefault(c, i)
+    assert kept[2] == {i: kept[1][i] for i in low.values()}
+    ranges = check_passages(spark.read.parquet(f"{tmp_path}/1"))
+    cut = {i: substrings.without(t, ranges.get(i, [])) for i, t in kept[2].items()}
+    assert kept[3] == {i: t for i, t in cut.items() if t == kept[2][i] or t.strip(" ")}
+    items = [(r.item_id, r.text) for r in read("benchmark").collect()]
+    clean = {i: t for i, t in kept[3].items() if not (hits := brute_hits(t, items))[1] or 20 * hits[1] < hits[0]}
+    assert kept[4] == clean and len(clean) < len(kept[3])
     encode = token_ids("word_bpe_49k.json", 2)
     got = corpus_pipeline.run(spark, sf_dir).collect()
-    pieces = {}
+    pieces, fill = {}, Counter()
     for r in got:
         pieces.setdefault(r.doc_id, []).append((r.start, r.length, r.ids))
-    assert set(pieces) == set(want)
+        fill[r.sequence_id] += r.length
+    assert set(pieces) == set(clean)
     for i, parts in pieces.items():
         ids = np.concatenate([np.frombuffer(x[2], "<u4") for x in sorted(parts)])
-        assert ids.tolist() == encode(want[i])
-    fill = Counter()
-    for r in got:
-        fill[r.sequence_id] += r.length
+        assert ids.tolist() == encode(clean[i])
     assert max(fill.values()) <= 4096 and sum(fill.values()) / (4096 * len(fill)) > 0.95
+    assert sorted((r.doc_id, r.start, r.ids_crc32) for r in docs.collect()) == sorted((r.doc_id, r.start, r.ids_crc32) for r in got)
+
+
+def test_near_dedup_goes_by_row(spark, sf_dir):
+    same, other = "a b c d e f g h. " * 5, "Quite another text about something else. " * 3
+    rows = [(1, same), (1, same), (2, same), (None, same), (None, same), (None, other), (5, "x"), (5, same)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, [(1, same), (None, other), (5, "x")])) and out.columns == docs.columns
+    nulls = spark.createDataFrame([(None, same, "en", "s", 1)] * 3, docs.schema)
+    assert corpus_pipeline.near_dedup(spark, nulls, sf_dir).count() == 1
+
+
+def test_pipeline_on_an_empty_table(spark, sf_dir, tmp_path):
+    for t in ("labels", "benchmark", "documents"):
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
 def test_stages_take_odd_rows(spark, sf_dir, tmp_path):
