@@ -421,13 +421,13 @@ def test_line_quality_on_rows_never_learned_from(spark):
 
 def test_ngram_threshold_on_rows_left_out(spark):
     """The trusted rows are one part of the labelled ones; the threshold is judged on the other."""
-    big = "/root/testdata/sf0.01"
+    big = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{big}/{t}.parquet") for t in ("documents", "labels"))
     part = line_quality.held_out(line_quality.F.col("doc_id"))
     trusted = labels.where(~part & (line_quality.F.col("quality") == 1))
-    got = ngram_rules.judge(docs, trusted, trusted.count()).join(labels.where(part), "doc_id").toPandas()
+    got = ngram_rules.judge(docs.repartition(8), trusted, trusted.count()).join(labels.where(part), "doc_id").toPandas()
     good, bad = got[got.quality == 1], got[got.quality == 0]
-    assert len(good) > 50 and (good.ratio >= ngram_rules.THRESHOLD).mean() > 0.98 and bad.kept.mean() < 0.05
+    assert len(good) > 500 and (good.ratio >= ngram_rules.THRESHOLD).mean() > 0.98 and bad.kept.mean() < 0.02
 
 
 def test_line_features_agree_with_single_rows():
