@@ -31,3 +31,10 @@ def scratch(spark, tag: str) -> str:
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return path
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, for a table that several passes read a part of each."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

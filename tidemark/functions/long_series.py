@@ -2,8 +2,8 @@
 
 Rows are numbered within (key, bucket of time) and each bucket's first number
 comes from a small table of counts, so no task sorts a whole series.  With
-numbers, a fixed frame of n rows is a window over (key, block of numbers): each
-block also gets the last n - 1 rows of the block before it.
+numbers, a fixed frame of n rows is a window over (key, block of numbers), see
+``recurrence``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .series import KEY, TIME
+from .recurrence import deal, inside, own
+from .series import KEY, TIME, rolling
 
 
 def numbered(df: DataFrame, bucket: Column, into: str = "_i", key: str = KEY, time: str = TIME, ties: tuple[str, ...] = ()) -> DataFrame:
@@ -25,7 +26,7 @@ def numbered(df: DataFrame, bucket: Column, into: str = "_i", key: str = KEY, ti
     counts = rows.groupBy(F.col(key).alias("_k"), F.col("_bucket").alias("_b")).agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("_k", "_b", F.coalesce(before, F.lit(0)).alias("_start"))
-    joined = rows.withColumn("_in", inside).join(starts, rows[key].eqNullSafe(starts["_k"]) & rows["_bucket"].eqNullSafe(starts["_b"]))
+    joined = rows.withColumn("_in", inside).join(starts, F.col(key).eqNullSafe(F.col("_k")) & F.col("_bucket").eqNullSafe(F.col("_b")))
     return joined.select(*[F.col(c) for c in names], (F.col("_start") + F.col("_in")).cast("long").alias(into))
 
 
@@ -34,9 +35,11 @@ def rolling_blocks(df: DataFrame, columns: dict[str, tuple], n: int, index: str
     if n - 1 > block:
         raise ValueError("a block must hold the rows before it that a frame needs")
     names = df.columns
-    own = df.select("*", F.expr(f"{index} div {block}").alias("_block"), F.lit(False).alias("_halo"))
-    halo = df.where(F.col(index) % block >= block - (n - 1)).select("*", F.expr(f"{index} div {block} + 1").alias("_block"), F.lit(True).alias("_halo"))
-    frame = Window.partitionBy(key, "_block").orderBy(index).rowsBetween(1 - n, 0)
-    rows = own.unionByName(halo)
-    rows = rows.withColumns({name: F.when(F.count(column).over(frame) == n, aggregate(column).over(frame)) for name, (aggregate, column) in columns.items()})
-    return rows.where("not _halo").select(*names, *columns)
+    rows = deal(df, n - 1, index=index, block=block)
+    return own(rows.withColumns({name: rolling(aggregate, column, n, inside(key), index) for name, (aggregate, column) in columns.items()})).select(*names, *columns)
+
+
+def dealt(df: DataFrame, before: int, after: int = 0, alphas: tuple[float, ...] = (), bucket: Column | None = None, key: str = KEY, time: str = TIME, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Rows numbered (``_i``) and dealt into blocks; ``bucket`` defaults to the month of ``time``."""
+    bucket = F.date_trunc("month", F.col(time)) if bucket is None else bucket
+    return deal(numbered(df, bucket, "_i", key, time, ties), before, after, alphas)

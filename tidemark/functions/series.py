@@ -44,15 +44,30 @@ def position(key: str = KEY, time: str = TIME, last: bool = False) -> Column:
     return F.row_number().over(window)
 
 
+def _lengths(df: DataFrame, key: str | list[str]) -> DataFrame:
+    return df.groupBy(*([key] if isinstance(key, str) else key)).agg(F.count("*").alias("n_rows"))
+
+
 def long_enough(df: DataFrame, rows: int, key: str = KEY) -> DataFrame:
     """Only series with at least ``rows`` rows."""
-    names = df.columns
-    return df.withColumn("_n", F.count("*").over(Window.partitionBy(key))).where(F.col("_n") >= rows).select(*names)
+    enough = _lengths(df, key).where(F.col("n_rows") >= rows).select(F.col(key).alias("_long"))
+    return df.join(enough, F.col(key).eqNullSafe(F.col("_long")), "left_semi")
 
 
-def too_short(df: DataFrame, rows: int, key: str = KEY) -> DataFrame:
+def too_short(df: DataFrame, rows: int, key: str | list[str] = KEY) -> DataFrame:
     """The series that :func:`long_enough` leaves out, with their lengths."""
-    return df.groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") < rows).withColumn("needed", F.lit(rows).cast("long"))
+    return _lengths(df, key).where(F.col("n_rows") < rows).withColumn("needed", F.lit(rows).cast("long"))
+
+
+#: The rows that a series needs for each stage; a shorter one is skipped there.
+GATES = {"indicators": 26, "zscore": 30, "forecast": 60, "trees": 60, "stack": 90}
+
+
+def skipped(df: DataFrame, key: str | list[str] = KEY) -> DataFrame:
+    """Series and stages that their length rules out: ``key, stage, n_rows, needed``."""
+    gates = F.array(*[F.struct(F.lit(s).alias("stage"), F.lit(n).cast("long").alias("needed")) for s, n in GATES.items()])
+    rows = _lengths(df, key).select("*", F.inline(gates))
+    return rows.where(F.col("n_rows") < F.col("needed"))
 
 
 def business_days(day: str | Column, n: int) -> Column:

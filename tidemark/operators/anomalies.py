@@ -2,41 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.series import KEY, TIME, change, rolling
+from ..functions.lineage import stored
+from ..functions.long_series import dealt
+from ..functions.quantiles import exact_quantiles
+from ..functions.recurrence import inside, own
+from ..functions.series import GATES, KEY, TIME, change, rolling
 
+#: Rows of the rolling score; also how many a series needs to be scored.
+WINDOW, THRESHOLD = GATES["zscore"], 2.0
 
-def zscore_flags(bars: DataFrame, n: int = 30, threshold: float = 2.0, key: str = KEY, time: str = TIME) -> DataFrame:
+
+def with_scores(rows: DataFrame, n: int = WINDOW, key: str = KEY) -> DataFrame:
+    """Dealt rows with ``z``, deviations of the close from the mean of the last n closes, itself included, and ``r``, the percent return."""
+    at = inside(key), "_i"
+    z = F.try_divide(F.col("close") - rolling(F.avg, "close", n, *at), rolling(F.stddev_samp, "close", n, *at))
+    return rows.withColumns({"z": z, "r": 100 * change("close", 1, *at)})
+
+
+def fences(rows: DataFrame, k: float = 1.5, fit_until: Column | None = None, key: str = KEY, time: str = TIME) -> DataFrame:
+    """``key, fence_low, fence_high, fence_mean, fence_sd`` of the returns ``r``: exact quartile fences of each series, or of its rows up to ``fit_until``."""
+    fit = rows if fit_until is None else rows.where(F.col(time) <= fit_until)
+    spread = fit.where("r is not null").groupBy(F.col(key).alias("_k")).agg(F.avg("r").alias("fence_mean"), F.stddev_samp("r").alias("fence_sd"))
+    q = exact_quantiles(fit, "r", [0.25, 0.75], key)
+    edge = F.lit(k) * (F.col("q")[1] - F.col("q")[0])
+    low, high = F.col("q")[0] - edge, F.col("q")[1] + edge
+    return q.join(spread, F.col(key).eqNullSafe(F.col("_k"))).select(F.col(key), low.alias("fence_low"), high.alias("fence_high"), "fence_mean", "fence_sd")
+
+
+def flagged(rows: DataFrame, limits: DataFrame, threshold: float = THRESHOLD, key: str = KEY) -> DataFrame:
+    """Rows with ``z`` and ``r`` get ``zscore, flag, by_z, by_fence``; of a row that both rules flag the z-score counts; null where neither does."""
+    limits = limits.withColumnRenamed(key, "_k")
+    rows = rows.join(limits, F.col(key).eqNullSafe(F.col("_k")), "left")
+    by_z = F.coalesce(F.abs("z") >= threshold, F.lit(False))
+    by_fence = F.coalesce((F.col("r") < F.col("fence_low")) | (F.col("r") > F.col("fence_high")), F.lit(False))
+    side = lambda c: F.when(F.col(c) > 0, "HIGH").otherwise("LOW")
+    rows = rows.withColumns({
+        "by_z": by_z,
+        "by_fence": by_fence,
+        "zscore": F.when(by_z, F.col("z")).when(by_fence, F.try_divide(F.col("r") - F.col("fence_mean"), "fence_sd")),
+        "flag": F.when(by_z, side("z")).when(by_fence, side("r")),
+    })
+    return rows.drop("_k", "fence_low", "fence_high", "fence_mean", "fence_sd")
+
+
+def scored(bars: DataFrame, n: int = WINDOW, key: str = KEY, time: str = TIME) -> DataFrame:
+    """``key, time, close, z, r`` of every bar."""
+    return own(with_scores(dealt(bars.select(key, time, "close"), n, key=key, time=time), n, key)).drop("_i")
+
+
+def zscore_flags(bars: DataFrame, n: int = WINDOW, threshold: float = THRESHOLD, key: str = KEY, time: str = TIME) -> DataFrame:
     """Rows whose close is at least ``threshold`` sample deviations from the mean of the last n closes, itself included."""
-    z = F.try_divide(F.col("close") - rolling(F.avg, "close", n, key, time), rolling(F.stddev_samp, "close", n, key, time))
-    rows = bars.select(key, time, "close", z.alias("zscore")).where(F.abs("zscore") >= threshold)
-    return rows.withColumn("flag", F.when(F.col("zscore") > 0, "HIGH").otherwise("LOW"))
+    rows = scored(bars, n, key, time).where(F.abs("z") >= threshold)
+    return rows.select(key, time, "close", F.col("z").alias("zscore"), F.when(F.col("z") > 0, "HIGH").otherwise("LOW").alias("flag"))
+
+
+def all_flags(bars: DataFrame, k: float = 1.5, fit_until: Column | None = None, key: str = KEY, time: str = TIME) -> DataFrame:
+    """Every bar with both rules' results; the scored bars are stored once."""
+    rows = stored(scored(bars, key=key, time=time), "scored-bars")
+    return flagged(rows, fences(rows, k, fit_until, key, time), key=key)
 
 
 def iqr_flags(bars: DataFrame, k: float = 1.5, fit_until: Column | None = None, key: str = KEY, time: str = TIME) -> DataFrame:
     """Rows whose percent return lies strictly outside the quartile fences of its series, with the z-score of the return.
 
-    Quartiles, mean and deviation are exact and of the whole series, or of the
-    rows up to ``fit_until``, which keeps later rows out of them.
+    ``fit_until`` keeps later rows out of the fences.
     """
-    rows = bars.select(key, time, "close", (100 * change("close", 1, key, time)).alias("r")).where("r is not null")
-    fit = rows if fit_until is None else rows.where(F.col(time) <= fit_until)
-    fences = fit.groupBy(key).agg(
-        F.percentile("r", F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.avg("r").alias("mean"), F.stddev_samp("r").alias("sd")
-    )
-    low = F.col("q")[0] - k * (F.col("q")[1] - F.col("q")[0])
-    high = F.col("q")[1] + k * (F.col("q")[1] - F.col("q")[0])
-    out = rows.join(fences, key).where((F.col("r") < low) | (F.col("r") > high))
-    flag = F.when(F.col("r") > 0, "HIGH").otherwise("LOW")
-    return out.select(key, time, "close", F.try_divide(F.col("r") - F.col("mean"), "sd").alias("zscore"), flag.alias("flag"))
+    rows = stored(scored(bars, key=key, time=time), "scored-bars").withColumn("z", F.lit(None).cast("double"))
+    return flagged(rows, fences(rows, k, fit_until, key, time), key=key).where("by_fence").select(key, time, "close", "zscore", "flag")
 
 
 def merged_flags(bars: DataFrame, key: str = KEY, time: str = TIME, **how) -> DataFrame:
     """Both detectors, one row per bar; the z-score row wins."""
-    both = zscore_flags(bars, key=key, time=time).withColumn("_p", F.lit(0)).unionByName(iqr_flags(bars, key=key, time=time, **how).withColumn("_p", F.lit(1)))
-    return both.withColumn("_n", F.row_number().over(Window.partitionBy(key, time).orderBy("_p"))).where("_n = 1").drop("_n", "_p")
+    return all_flags(bars, key=key, time=time, **how).where("flag is not null").select(key, time, "close", "zscore", "flag")
 
 
 def summary(flags: DataFrame, key: str = KEY, time: str = TIME) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..sources.keyed import new_rows
 
-CLIP = 512
 # The lexicon of the registered queries, tokens of the invented prose with their signs.
 POSITIVE = ["the", "for", "was", "sur", "des", "und", "los"]
 NEGATIVE = ["that", "with", "from", "les", "par", "von", "del"]
@@ -20,7 +19,7 @@ SCORES = ["score_pos", "score_neg", "score_neu"]
 
 def lexicon_scores(headline: Column, positive: list[str] = POSITIVE, negative: list[str] = NEGATIVE) -> dict[str, Column]:
     """Shares of positive, negative and other words; the fallback for a headline without words."""
-    words = F.filter(F.split(F.lower(F.left(headline, F.lit(CLIP))), "[^a-z]+"), lambda w: F.length(w) > 0)
+    words = F.filter(F.split(F.lower(headline), "[^a-z]+"), lambda w: F.length(w) > 0)
     n = F.size(words)
     share = lambda names: F.try_divide(F.size(F.filter(words, lambda w: w.isin(names))).cast("double"), n)
     pos, neg = share(positive), share(negative)
@@ -36,11 +35,12 @@ def labelled(scored: DataFrame) -> DataFrame:
     return rows.withColumn("sentiment", label).withColumns({c: F.round(c, 4) for c in SCORES})
 
 
-def score(headlines: DataFrame, scorer: Callable[[list[str]], Iterable[tuple[float, float, float]]] | None = None) -> DataFrame:
+def score(headlines: DataFrame, scorer: Callable[[list[str]], Iterable[tuple[float, float, float]]] | None = None, clip: int | None = None) -> DataFrame:
     """Score headlines by the lexicon inside the plan, or by a batch function.
 
-    A batch function runs once per distinct clipped headline, on Arrow batches,
-    and its scores are joined back; null scores give the fallback.
+    A batch function runs once per distinct headline, on Arrow batches, and its scores
+    are joined back; null scores give the fallback.  ``clip`` is for a model with an input
+    limit: it sees that many characters; by default whole texts are scored.
     """
     if scorer is None:
         return labelled(headlines.withColumns(lexicon_scores(F.col("headline"))))
@@ -52,7 +52,7 @@ def score(headlines: DataFrame, scorer: Callable[[list[str]], Iterable[tuple[flo
                 frame[c] = [float("nan") if g is None else float(g[k]) for g in got]
             yield frame
 
-    clipped = headlines.withColumn("_clip", F.left("headline", F.lit(CLIP)))
+    clipped = headlines.withColumn("_clip", F.left("headline", F.lit(clip)) if clip else F.col("headline"))
     texts = clipped.select("_clip").where("_clip is not null").distinct()
     scores = texts.mapInPandas(run, "_clip string, score_pos double, score_neg double, score_neu double")
     joined = clipped.join(scores, "_clip", "left").drop("_clip")

@@ -37,21 +37,24 @@ def rows_per_source(rows: DataFrame) -> DataFrame:
     return rows.groupBy(KEY, "source").agg(F.count("*").alias("n_rows"))
 
 
-def header(bars: DataFrame, indicators: DataFrame, flags: DataFrame, sentiment: DataFrame, time: str = "ds") -> DataFrame:
-    """One row per ticker: close and change, RSI and its zone, number of anomalies, sentiment and its zone."""
-    last = readings(latest(indicators, 1, time)).select(KEY, "rsi_14", "rsi_zone", "macd_side")
-    counted = flags.groupBy(KEY).agg(F.count("*").alias("n_anomalies"))
+def header(rows: DataFrame, sentiment: DataFrame, time: str = "ds") -> DataFrame:
+    """One row per ticker from a flagged frame: close and change, RSI and its zone, number of anomalies, sentiment and its zone.
+
+    The last bar and the number of flags come from one aggregate.
+    """
+    shown = ["close", "high", "low", F.col("close_lag_1").alias("previous"), "rsi_14", "macd", "macd_signal"]
+    last = rows.groupBy(KEY).agg(F.max_by(F.struct(time, *shown), time).alias("s"), F.count("flag").alias("n_anomalies")).select(KEY, "s.*", "n_anomalies")
+    move = F.col("close") - F.col("previous")
+    last = readings(last.withColumns({"change": move, "change_pct": 100 * F.try_divide(move, "previous")}))
+    known = lambda c, of: F.when(F.col(of).isNotNull(), F.col(c)).alias(c)
     mood = sentiment.select(KEY, "avg_compound", zone(F.col("avg_compound")).alias("sentiment_zone"))
-    rows = price_change(bars, time).join(last, KEY, "left").join(counted, KEY, "left").join(mood, KEY, "left")
-    return rows.na.fill(0, ["n_anomalies"])
+    rows = last.join(mood, KEY, "left")
+    return rows.select(KEY, time, "close", "high", "low", "previous", "change", "change_pct", "rsi_14", known("rsi_zone", "rsi_14"), known("macd_side", "macd"), "n_anomalies", "avg_compound", "sentiment_zone")
 
 
-def price_panel(bars: DataFrame, indicators: DataFrame, flags: DataFrame, as_of: Column, days: int, time: str = "ds") -> DataFrame:
-    """Bars of the last days with indicators and flags."""
-    keys = [KEY, time]
-    ind = indicators.select(*keys, "rsi_14", "macd", "macd_signal", "bb_upper", "bb_middle", "bb_lower")
-    flag = flags.select(*keys, "zscore", "flag")
-    return lookback(bars, time, as_of, days).join(ind, keys, "left").join(flag, keys, "left")
+def price_panel(rows: DataFrame, as_of: Column, days: int, time: str = "ds") -> DataFrame:
+    """Bars of the last days of a flagged frame with indicators and flags."""
+    return lookback(rows, time, as_of, days).select(KEY, time, "open", "high", "low", "close", "volume", "rsi_14", "macd", "macd_signal", "bb_upper", "bb_middle", "bb_lower", "zscore", "flag")
 
 
 def ranked(rows: DataFrame, by: str) -> DataFrame:

@@ -56,14 +56,10 @@ def headline_scores_batch(spark, sf_dir):
 @query(f"""WITH {BARS}, {FLAGS} SELECT 'bars' AS stage, count(*) AS n_rows FROM bars UNION ALL SELECT 'zscore', count(*) FROM zflags UNION ALL SELECT 'iqr', count(*) FROM qflags
 UNION ALL SELECT 'merged', count(*) FROM flags""")
 def stage_counts(spark, sf_dir):
-    """Rows of each stage of the anomaly run."""
-    bars = tables.daily_bars(spark, sf_dir)
-    stages = {"bars": bars, "zscore": anomalies.zscore_flags(bars, time="ds"), "iqr": anomalies.iqr_flags(bars, time="ds"), "merged": anomalies.merged_flags(bars, time="ds")}
-    out = None
-    for name, df in stages.items():
-        part = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Rows of each stage of the anomaly run, counted in one pass over its result."""
+    rows = anomalies.all_flags(tables.daily_bars(spark, sf_dir), time="ds")
+    counts = {"bars": F.count("*"), "zscore": F.count_if("by_z"), "iqr": F.count_if("by_fence"), "merged": F.count("flag")}
+    return rows.agg(*[n.alias(c) for c, n in counts.items()]).unpivot([], list(counts), "stage", "n_rows")
 
 
 CUT = "1996-06-30"

@@ -44,9 +44,9 @@ INTRADAY = """intraday AS (
 HEADLINES = """headlines AS (
   SELECT ['1-URGENT','2-HIGH','3-MEDIUM','4-NOT SPECIFIED','5-LOW'][CAST(doc_id % 5 AS INT) + 1] AS ticker, source,
          TIMESTAMP '1995-01-01' + to_days(CAST(doc_id % 200 AS INT)) + to_seconds(CAST(doc_id % 86400 AS INT)) AS published_at,
-         left(text, 1000) AS headline FROM documents)"""
+         text AS headline FROM documents)"""
 SCORED = HEADLINES + """,
-words AS (SELECT *, list_filter(regexp_split_to_array(lower(left(headline, 512)), '[^a-z]+'), lambda w: w <> '') AS w FROM headlines),
+words AS (SELECT *, list_filter(regexp_split_to_array(lower(headline), '[^a-z]+'), lambda w: w <> '') AS w FROM headlines),
 shares AS (SELECT ticker, source, published_at, headline,
     CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: x IN ('the','for','was','sur','des','und','los'))) / len(w)::double ELSE 0.33 END AS p,
     CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: x IN ('that','with','from','les','par','von','del'))) / len(w)::double ELSE 0.33 END AS g,

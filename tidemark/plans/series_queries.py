@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.series import KEY, business_days, change, lag, position, rolling, too_short
+from ..functions.series import KEY, business_days, change, lag, position, rolling, skipped
 from ..functions.recurrence import ewm
 from ..operators import anomalies, features, forecasts, indicators, sentiment, serving, strategy
 from ..sources import tables
@@ -140,9 +140,11 @@ def next_close_target(spark, sf_dir):
     return features.targets(_bars(spark, sf_dir)).select(KEY, "ds", "target_day", "target_next_close", "target_direction")
 
 
-@query(f"WITH {BARS} SELECT ticker, count(*) AS n_rows, 2000::bigint AS needed FROM bars GROUP BY 1 HAVING count(*) < 2000")
+@query("""WITH t AS (SELECT event_type AS ticker, CAST(ts AS DATE) AS ds, count(DISTINCT time_bucket(INTERVAL '15 minutes', ts)) AS n_rows FROM events GROUP BY 1, 2)
+SELECT ticker, ds, stage, n_rows, needed FROM t, (VALUES ('indicators', 26::bigint), ('zscore', 30), ('forecast', 60), ('trees', 60), ('stack', 90)) g(stage, needed) WHERE n_rows < needed""")
 def history_gate(spark, sf_dir):
-    return too_short(_bars(spark, sf_dir), 2000)
+    """The bars of each ticker and day as a series of their own: the stages that its length rules out."""
+    return skipped(tables.intraday_bars(spark, sf_dir).withColumn("ds", F.to_date("ts")), [KEY, "ds"])
 
 
 @query(f"WITH {BARS} SELECT ticker, max(ds) AS ds, arg_max(close, ds) AS close FROM bars GROUP BY 1")
@@ -187,9 +189,8 @@ CASE WHEN avg_compound > 0.1 THEN 'POSITIVE' WHEN avg_compound < -0.1 THEN 'NEGA
 FROM moved m LEFT JOIN (SELECT * FROM li WHERE back = 1) l USING (ticker) LEFT JOIN cf USING (ticker) LEFT JOIN recent USING (ticker)""".replace(
     "SELECT m.*, round(rsi_14", "SELECT m.ticker, m.ds, m.close, m.high, m.low, m.previous, m.change, m.change_pct, round(rsi_14"))
 def header_metrics(spark, sf_dir):
-    bars = _bars(spark, sf_dir)
     mood = sentiment.summary(sentiment.score(tables.headlines(spark, sf_dir)), F.lit(AS_OF).cast("timestamp"))
-    rows = serving.header(bars, indicators.indicators(bars, time="ds"), anomalies.merged_flags(bars, time="ds"), mood)
+    rows = serving.header(features.flagged_frame(_bars(spark, sf_dir)), mood)
     return rounded(rows, change=4, change_pct=6, rsi_14=4, avg_compound=8)
 
 
@@ -240,8 +241,7 @@ round(bb_upper, 2) AS bb_upper, round(bb_middle, 4) AS bb_middle, round(bb_lower
 FROM bars b LEFT JOIN (SELECT * FROM ind WHERE rn >= 26) i USING (ticker, ds) LEFT JOIN flags f USING (ticker, ds)
 WHERE b.ds >= TIMESTAMP '{AS_OF}' - INTERVAL 90 DAY AND b.ds <= TIMESTAMP '{AS_OF}'""")
 def price_panel(spark, sf_dir):
-    bars = _bars(spark, sf_dir)
-    rows = serving.price_panel(bars, indicators.indicators(bars, time="ds"), anomalies.merged_flags(bars, time="ds"), F.lit(AS_OF).cast("timestamp"), 90)
+    rows = serving.price_panel(features.flagged_frame(_bars(spark, sf_dir)), F.lit(AS_OF).cast("timestamp"), 90)
     return rounded(rows, rsi_14=4, macd=2, macd_signal=2, bb_upper=2, bb_middle=4, bb_lower=2, zscore=6)
 
 
@@ -252,14 +252,13 @@ FEATURE_DIGITS = {
 
 
 def matrix(spark, sf_dir, labelled=True):
-    bars = _bars(spark, sf_dir)
     mood = sentiment.daily(sentiment.score(tables.headlines(spark, sf_dir)))
-    return features.feature_matrix(bars, indicators.indicators(bars, time="ds"), anomalies.merged_flags(bars, time="ds"), mood, labelled=labelled)
+    return features.feature_matrix(features.flagged_frame(_bars(spark, sf_dir), mood), labelled=labelled)
 
 
 @query(f"""{INDICATORS}, {FLAGS}, {DAILY_SENTIMENT},
 j AS (SELECT b.*, i.rsi_14, i.macd, i.macd_signal, i.macd_hist, i.bb_upper, i.bb_middle, i.bb_lower, coalesce(zscore, 0) AS zscore,
-  CASE WHEN flag IS NULL THEN 0 ELSE 1 END AS is_anomaly, coalesce(sentiment_compound, 0) AS sentiment_compound, coalesce(pos_count, 0) AS pos_count,
+  CAST(abs(coalesce(zscore, 0)) >= 2.0 AS INT) AS is_anomaly, coalesce(sentiment_compound, 0) AS sentiment_compound, coalesce(pos_count, 0) AS pos_count,
   coalesce(neg_count, 0) AS neg_count, coalesce(article_count, 0) AS article_count
   FROM bars b LEFT JOIN (SELECT * FROM ind WHERE rn >= 26) i USING (ticker, ds) LEFT JOIN flags f USING (ticker, ds) LEFT JOIN mood m USING (ticker, ds)),
 x AS (SELECT *, lag(close, 1) OVER w AS close_lag_1, lag(close, 2) OVER w AS close_lag_2, lag(close, 3) OVER w AS close_lag_3, lag(close, 5) OVER w AS close_lag_5,
@@ -270,8 +269,8 @@ x AS (SELECT *, lag(close, 1) OVER w AS close_lag_1, lag(close, 2) OVER w AS clo
   coalesce(sentiment_compound - lag(sentiment_compound) OVER w, 0) AS sentiment_change, lead(close) OVER w AS target_next_close, lead(ds) OVER w AS target_day,
   coalesce(CAST(lead(close) OVER w > close AS INT), 0) AS target_direction
   FROM j WINDOW w AS (PARTITION BY ticker ORDER BY ds), {', '.join(f"w{n} AS (PARTITION BY ticker ORDER BY ds ROWS {n - 1} PRECEDING)" for n in (3, 5, 10, 20))})
-SELECT ticker, ds, close, {', '.join(f"round({f}, {FEATURE_DIGITS[f]}) AS {f}" if f in FEATURE_DIGITS else f for f in features.FEATURES)}, target_day, target_next_close, target_direction
-FROM x WHERE macd_signal IS NOT NULL AND target_next_close IS NOT NULL""")
+SELECT ticker, ds, close, {', '.join(f"round(coalesce({f}, 0), {FEATURE_DIGITS[f]}) AS {f}" if f in FEATURE_DIGITS else f"coalesce({f}, 0) AS {f}" for f in features.FEATURES)}, target_day, target_next_close, target_direction
+FROM x WHERE close_lag_10 IS NOT NULL AND rolling_mean_20 IS NOT NULL AND target_next_close IS NOT NULL""")
 def feature_matrix_33(spark, sf_dir):
     return rounded(matrix(spark, sf_dir), **FEATURE_DIGITS)
 

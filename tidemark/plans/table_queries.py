@@ -68,30 +68,31 @@ def stored_keyed_table(spark, sf_dir):
     return spark.read.parquet(path).drop("year")
 
 
-def _payloads(bars, time_text, series):
+def _payloads(bars, time_text, series, period):
+    """Landed JSON of a ticker and period, as a fetch gives it."""
     number = lambda c: F.col(c).cast("string")
     point = F.struct(*[number(c).alias(f"{k}. {c}") for k, c in enumerate(["open", "high", "low", "close", "volume"], 1)])
-    points = bars.groupBy(KEY).agg(F.map_from_entries(F.collect_list(F.struct(time_text, point))).alias("m"))
+    points = bars.groupBy(KEY, period.alias("period")).agg(F.map_from_entries(F.collect_list(F.struct(time_text, point))).alias("m"))
     return points.select(KEY, F.to_json(F.struct(F.col("m").alias(series))).alias("payload"))
 
 
 @query(f"WITH {BARS} SELECT ticker, 'landed' AS source, '1d' AS interval, CAST(ds AS TIMESTAMP) AS ts, open, high, low, close, volume FROM bars")
 def payload_json_daily(spark, sf_dir):
-    payloads = _payloads(tables.daily_bars(spark, sf_dir), F.date_format("ds", "yyyy-MM-dd"), "Time Series (Daily)")
+    payloads = _payloads(tables.daily_bars(spark, sf_dir), F.date_format("ds", "yyyy-MM-dd"), "Time Series (Daily)", F.date_format("ds", "yyyy-MM"))
     return landed.series_bars(payloads, "Time Series (Daily)", "UTC", "1d", "landed")[0]
 
 
 @query(f"WITH {INTRADAY} SELECT ticker, 'landed' AS source, '15m' AS interval, ts, open, high, low, close, volume FROM intraday")
 def payload_json_bars(spark, sf_dir):
     at = F.date_format(F.from_utc_timestamp("ts", "US/Eastern"), "yyyy-MM-dd HH:mm:ss")
-    payloads = _payloads(tables.intraday_bars(spark, sf_dir), at, "Time Series (15min)")
+    payloads = _payloads(tables.intraday_bars(spark, sf_dir), at, "Time Series (15min)", F.to_date("ts"))
     return landed.series_bars(payloads, "Time Series (15min)", "US/Eastern", "15m", "landed")[0]
 
 
 @query(f"WITH {BARS} SELECT DISTINCT ticker, 'limit of ' || ticker AS reason FROM bars")
 def payload_rejects(spark, sf_dir):
     bars = tables.daily_bars(spark, sf_dir)
-    good = _payloads(bars, F.date_format("ds", "yyyy-MM-dd"), "Time Series (Daily)")
+    good = _payloads(bars, F.date_format("ds", "yyyy-MM-dd"), "Time Series (Daily)", F.date_format("ds", "yyyy-MM"))
     notice = bars.select(KEY).distinct().select(KEY, F.to_json(F.struct(F.concat(F.lit("limit of "), KEY).alias("Note"))).alias("payload"))
     return landed.series_bars(good.union(notice), "Time Series (Daily)", "UTC", "1d", "landed")[1]
 
@@ -104,22 +105,31 @@ def wide_csv_bars(spark, sf_dir):
     return landed.read_wide_csv(spark, path, F.col("ticker"), "wide", "1d")
 
 
-TITLE_SQL = "trim(regexp_replace(left(headline, 60), '[^A-Za-z ]', '', 'g'))"
+TITLE_SQL = "trim(regexp_replace(headline, '[^A-Za-z ]', '', 'g'))"
+#: Items of a landed feed or news payload.
+ITEMS = 50
 AS_OF = "1995-07-10"
 
 
 def _titled(spark, sf_dir):
-    title = F.trim(F.regexp_replace(F.left("headline", F.lit(60)), "[^A-Za-z ]", ""))
+    title = F.trim(F.regexp_replace("headline", "[^A-Za-z ]", ""))
     return tables.headlines(spark, sf_dir).select(KEY, "published_at", title.alias("title"), F.concat(F.lit("https://example.org/"), "source").alias("link"))
 
 
+def _fetches(rows):
+    """At most ``ITEMS`` rows of a ticker make a payload, however many share a ticker or time."""
+    return rows.groupBy(KEY, F.expr(f"monotonically_increasing_id() div {ITEMS}").alias("fetch"))
+
+
 @query(f"""WITH {HEADLINES}, t AS (SELECT ticker, 'rss' AS source, published_at, {TITLE_SQL} AS headline, 'https://example.org/' || source AS url FROM headlines)
 SELECT * FROM t WHERE headline <> '' AND published_at >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY""")
 def rss_xml_headlines(spark, sf_dir):
-    at = F.concat(F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
+    """Every other item has a local time with an offset."""
+    east = F.col("published_at") - F.expr("interval 5 hours")
+    at = F.when(F.second("published_at") % 2 == 0, F.concat(F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))).otherwise(F.concat(F.date_format(east, "d MMM yyyy HH:mm:ss"), F.lit(" -0500")))
     item = F.concat(F.lit("<item><title>"), "title", F.lit("</title><link>"), "link", F.lit("</link><pubDate>"), at, F.lit("</pubDate></item>"))
     body = F.array_join(F.collect_list(item), "")
-    docs = _titled(spark, sf_dir).where("title <> ''").groupBy(KEY).agg(F.concat(F.lit("<rss><channel>"), body, F.lit("</channel></rss>")).alias("xml"))
+    docs = _fetches(_titled(spark, sf_dir).where("title <> ''")).agg(F.concat(F.lit("<rss><channel>"), body, F.lit("</channel></rss>")).alias("xml"))
     return landed.rss_headlines(landed.rss_items(docs), F.lit(AS_OF).cast("timestamp"))
 
 
@@ -130,7 +140,7 @@ def news_json_headlines(spark, sf_dir):
     rows = _titled(spark, sf_dir)
     removed = rows.select(KEY, "published_at", F.lit("[Removed]").alias("title"), "link")
     article = F.struct("title", F.col("link").alias("url"), F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"))
-    payloads = rows.unionByName(removed).groupBy(KEY).agg(F.to_json(F.struct(F.collect_list(article).alias("articles"))).alias("payload"))
+    payloads = _fetches(rows.unionByName(removed)).agg(F.to_json(F.struct(F.collect_list(article).alias("articles"))).alias("payload"))
     return landed.news_headlines(payloads, F.lit(AS_OF).cast("timestamp"))
 
 
@@ -267,22 +277,26 @@ def ensemble_strategy(spark, sf_dir):
 # --- streams: over the given table, in files that each hold rows of all days ---
 
 
-def _landed_events(spark, sf_dir, parts=3):
-    path = scratch(spark, "events")
+def _landed(rows, tag, batches=3):
+    """Files of rows dealt out at random, and how many of them make one of some batches."""
+    path = scratch(rows.sparkSession, tag)
+    files = max(batches, rows.rdd.getNumPartitions())
+    rows.repartition(files).write.mode("append").parquet(path)
+    return path, -(-files // batches)
+
+
+def _landed_events(spark, sf_dir):
     events = tables.table(spark, sf_dir, "events")
-    for k in range(parts):
-        events.where(F.col("event_id") % parts == k).coalesce(1).write.mode("append").parquet(path)
-    return streams.read(spark, path, events.schema)
+    path, files = _landed(events, "events")
+    return streams.read(spark, path, events.schema, files)
 
 
 @query("SELECT event_type AS ticker, ts, value AS price, event_id AS seq FROM events")
 def stream_dedupe_bars(spark, sf_dir):
     """Every event lands twice, as in overlapping fetches; each comes out once."""
-    path = scratch(spark, "events")
     events = tables.table(spark, sf_dir, "events")
-    for _ in range(2):
-        events.coalesce(1).write.mode("append").parquet(path)
-    stream = streams.dedupe(tables.ticks(streams.read(spark, path, events.schema)), [KEY, "ts", "seq"], late="40 days")
+    path, files = _landed(events.unionByName(events), "events", 2)
+    stream = streams.dedupe(tables.ticks(streams.read(spark, path, events.schema, files)), [KEY, "ts", "seq"], late="40 days")
     return streams.run_available(stream, scratch(spark, "deduped"), [KEY, "ts", "seq"], "append")
 
 
@@ -292,40 +306,43 @@ def stream_bars_15m(spark, sf_dir):
     return streams.run_available(stream, scratch(spark, "bars"), [KEY, "ts"])
 
 
+@query(f"WITH {INTRADAY} SELECT * FROM intraday")
+def stream_late_backfill(spark, sf_dir):
+    """The first ten days land last: they are behind the watermark and lost to the stream, and a batch over what came late brings their bars."""
+    events = tables.table(spark, sf_dir, "events")
+    edge = events.agg(F.date_trunc("day", F.min("ts")) + F.expr("interval 10 days")).first()[0]
+    late = F.col("ts") < F.lit(edge)
+    path, target = scratch(spark, "events"), scratch(spark, "bars")
+    for part in (events.where(~late), events.where(late)):
+        part.write.mode("append").parquet(path)
+        bars = streams.tumbling(tables.ticks(streams.read(spark, path, events.schema, 1 << 20)))
+        table = streams.run_available(bars, target, [KEY, "ts"])
+    return streams.backfill(table, streams.batch_bars(tables.ticks(events.where(late))), [KEY, "ts"])
+
+
 @query(f"WITH {DAILY_SENTIMENT} SELECT ticker, ds, round(sentiment_compound, 8) AS sentiment_compound, pos_count, neg_count, article_count FROM mood")
 def stream_sentiment_daily(spark, sf_dir):
-    path = scratch(spark, "headlines")
     rows = tables.headlines(spark, sf_dir)
-    rows.repartition(3).write.parquet(path)
-    stream = streams.daily_sentiment(sentiment.score(streams.read(spark, path, rows.schema)), late="400 days")
+    path, files = _landed(rows, "headlines")
+    stream = streams.daily_sentiment(sentiment.score(streams.read(spark, path, rows.schema, files)), late="400 days")
     return rounded(streams.run_available(stream, scratch(spark, "mood"), KEYS), sentiment_compound=8)
 
 
-@query("WITH RECURSIVE " + INTRADAY + "," + recurrences("intraday", "ts") + """, top AS (SELECT max(ts) AS t FROM intraday)
+@query("WITH RECURSIVE " + INTRADAY + "," + recurrences("intraday", "ts") + """, zs AS (SELECT ticker, ts, CASE WHEN rn >= 30 THEN (close - avg(close) OVER z) / nullif(stddev_samp(close) OVER z, 0) END AS zscore
+FROM ind WINDOW z AS (PARTITION BY ticker ORDER BY ts ROWS 29 PRECEDING))
 SELECT ticker, ts, close, round(rsi_14, 6) AS rsi_14, round(macd, 8) AS macd, round(macd_signal, 8) AS macd_signal, round(macd_hist, 8) AS macd_hist, round(bb_middle, 8) AS bb_middle,
-round(bb_upper, 6) AS bb_upper, round(bb_lower, 6) AS bb_lower,
-round(CASE WHEN rn >= 30 THEN (close - avg(close) OVER z) / nullif(stddev_samp(close) OVER z, 0) END, 6) AS zscore
-FROM ind, top WHERE ts <= t - INTERVAL 1 HOUR WINDOW z AS (PARTITION BY ticker ORDER BY ts ROWS 29 PRECEDING)""")
+round(bb_upper, 6) AS bb_upper, round(bb_lower, 6) AS bb_lower, round(zscore, 6) AS zscore, CASE WHEN zscore >= 2.0 THEN 'HIGH' WHEN zscore <= -2.0 THEN 'LOW' END AS flag
+FROM ind JOIN zs USING (ticker, ts)""")
 def stream_indicators(spark, sf_dir):
-    """Bars land in two files of alternating rows; what the watermark has passed comes out."""
-    path = scratch(spark, "bars")
+    """All bars land at random in one batch, with a closing row that takes the watermark past the last of them."""
     bars = tables.intraday_bars(spark, sf_dir).select(KEY, "ts", "close")
-    bars = cut(bars.withColumn("_n", F.row_number().over(_by_time())))
-    for k in (0, 1):
-        bars.where(F.col("_n") % 2 == k).drop("_n").coalesce(1).write.mode("append").parquet(path)
+    path, _ = _landed(bars.unionByName(streams.closing(bars)), "bars")
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        # both files are one batch, so that no row of the second is late
-        stream = streams.indicators(streams.read(spark, path, bars.drop("_n").schema, files=10), late="1 hour")
+        stream = streams.indicators(streams.read(spark, path, bars.schema, files=1 << 20), late="1 hour")
         rows = streams.run_available(stream, scratch(spark, "indicators"), [KEY, "ts"], "append")
     finally:
         spark.conf.set(provider, before)
     return rounded(rows, rsi_14=6, macd=8, macd_signal=8, macd_hist=8, bb_middle=8, bb_upper=6, bb_lower=6, zscore=6)
-
-
-def _by_time():
-    from pyspark.sql import Window
-
-    return Window.partitionBy(KEY).orderBy("ts")

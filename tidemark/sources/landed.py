@@ -48,13 +48,26 @@ def read_wide_csv(spark: SparkSession, path: str, ticker: Column | str, source:
     return wide_bars(spark.read.option("header", True).csv(path), ticker, source, interval)
 
 
-def rss_headlines(items: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
-    """Feed items (``ticker, title, link, pubDate``) of the last days; an item without a readable date keeps a null one.
+# The zone names of RFC 822 and their hours; any other name counts as UTC.
+ZONES = {"EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
 
-    Dates are RFC 822 with a numeric or named zero offset.
-    """
-    at = F.try_to_timestamp(F.substring("pubDate", 6, 20), F.lit("dd MMM yyyy HH:mm:ss"))
-    rows = items.select("ticker", F.lit("rss").alias("source"), at.alias("published_at"), F.trim("title").alias("headline"), F.col("link").alias("url"))
+
+def feed_time(text: Column) -> Column:
+    """The time of an RFC 822 date in UTC: with or without weekday and seconds, any numeric or named zone; null if it cannot be read."""
+    body = F.regexp_replace(F.trim(text), r"^[A-Za-z]+,?\s*", "")
+    local = F.try_to_timestamp(F.regexp_extract(body, r"^(\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}(:\d{2})?)", 1), F.lit("d MMM yyyy HH:mm[:ss]"))
+    zone = F.regexp_extract(body, r"([A-Za-z]+|[+-]\d{2}:?\d{2})$", 1)
+    sign = F.when(F.left(zone, F.lit(1)) == "-", -1).otherwise(1)
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    minutes = F.when(F.length(digits) == 4, sign * (60 * F.left(digits, F.lit(2)).try_cast("int") + F.right(digits, F.lit(2)).try_cast("int")))
+    for name, hours in ZONES.items():
+        minutes = F.when(F.upper(zone) == name, F.lit(60 * hours)).otherwise(minutes)
+    return local - F.make_dt_interval(F.lit(0), F.lit(0), F.coalesce(minutes, F.lit(0)))
+
+
+def rss_headlines(items: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """Feed items (``ticker, title, link, pubDate``) of the last days; an item without a readable date keeps a null one."""
+    rows = items.select("ticker", F.lit("rss").alias("source"), feed_time(F.col("pubDate")).alias("published_at"), F.trim("title").alias("headline"), F.col("link").alias("url"))
     fresh = F.col("published_at").isNull() | (F.col("published_at") >= as_of - F.make_dt_interval(F.lit(days)))
     return rows.where((F.length("headline") > 0) & fresh)
 

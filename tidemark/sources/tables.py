@@ -47,11 +47,11 @@ def intraday_bars(spark: SparkSession, sf_dir: str, width: str = "15 minutes") -
 
 
 def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headlines from ``documents``: ticker and time follow from the id."""
-    docs = table(spark, sf_dir, "documents").where("doc_id is not null")
+    """Headlines from ``documents``, whole texts: ticker and time follow from the id; both are null without one."""
+    docs = table(spark, sf_dir, "documents")
     names = F.array(*map(F.lit, TICKERS))
     at = F.lit("1995-01-01").cast("timestamp") + F.make_dt_interval(F.col("doc_id") % 200, F.lit(0), F.lit(0), (F.col("doc_id") % 86400).cast("decimal(18,6)"))
-    return docs.select(F.get(names, (F.col("doc_id") % 5).cast("int")).alias("ticker"), "source", at.alias("published_at"), F.left("text", F.lit(1000)).alias("headline"))
+    return docs.select(F.get(names, (F.col("doc_id") % 5).cast("int")).alias("ticker"), "source", at.alias("published_at"), F.col("text").alias("headline"))
 
 
 def stand_in_forecasts(bars: DataFrame) -> DataFrame:

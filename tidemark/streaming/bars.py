@@ -7,6 +7,7 @@ on streams, so indicators keep their recurrences as state per ticker.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from ..sources import keyed
 from ..sources.tables import bars_from_ticks
 
 #: Rows later than this are left to the batch backfill.
@@ -32,12 +34,17 @@ def dedupe(bars: DataFrame, keys: list[str], time: str = "ts", late: str = LATEN
     return bars.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-def tumbling(ticks: DataFrame, width: str = "15 minutes", late: str = LATENESS) -> DataFrame:
+def batch_bars(ticks: DataFrame, width: str = "15 minutes") -> DataFrame:
     """Ticks (``ticker, ts, price, seq``) to bars of a width."""
-    bars = bars_from_ticks(ticks.withWatermark("ts", late), ["ticker", F.window("ts", width).alias("w")])
+    bars = bars_from_ticks(ticks, ["ticker", F.window("ts", width).alias("w")])
     return bars.select("ticker", F.col("w.start").alias("ts"), "open", "high", "low", "close", "volume")
 
 
+def tumbling(ticks: DataFrame, width: str = "15 minutes", late: str = LATENESS) -> DataFrame:
+    """The same over a stream; ticks later than ``late`` are left to :func:`backfill`."""
+    return batch_bars(ticks.withWatermark("ts", late), width)
+
+
 def daily_sentiment(scored: DataFrame, late: str = "7 days") -> DataFrame:
     """Sentiment per ticker and day; a day is a window so that its state can be dropped."""
     rows = scored.withWatermark("published_at", late)
@@ -59,13 +66,41 @@ def keyed_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def last_versions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+def last_versions(spark: SparkSession, path: str, keys: list[str], keep_batch: bool = False) -> DataFrame:
     """What the keyed sink holds: the last version of each key."""
     from pyspark.sql import Window
 
     rows = spark.read.parquet(path).drop("batch")
     newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_batch").desc()))
-    return rows.withColumn("_n", newest).where("_n = 1").drop("_n", "_batch")
+    return rows.withColumn("_n", newest).where("_n = 1").drop("_n", *([] if keep_batch else ["_batch"]))
+
+
+def compact(spark: SparkSession, path: str, keys: list[str]) -> None:
+    """Replace all stored batches by the last versions of their keys, under the newest batch's id.
+
+    The new files are written before the old ones go; until then a reader finds a version twice
+    and takes one.  No stream may be writing meanwhile.
+    """
+    import uuid
+
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in system.listStatus(files)]
+    rows = last_versions(spark, path, keys, keep_batch=True)
+    rows.write.parquet(f"{path}/batch=c{uuid.uuid4().hex}")
+    for folder in old:
+        system.delete(folder, True)
+
+
+def backfill(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The stream's table with the rows of a batch over what landed late: they come in, or replace what the stream saw in part."""
+    return keyed.upsert_last(table, rows, keys, [F.lit(1)])
+
+
+def closing(bars: DataFrame, after: str = "1 day") -> DataFrame:
+    """One row of a ticker of its own, later than all bars: it takes the watermark past them and never comes out itself."""
+    at = bars.agg(F.max("ts").alias("ts")).where("ts is not null")
+    return at.select(F.lit("closing").alias("ticker"), (F.col("ts") + F.expr(f"interval {after}")).alias("ts"), F.lit(0.0).alias("close"))
 
 
 def run_available(stream: DataFrame, path: str, keys: list[str], mode: str = "update") -> DataFrame:
@@ -83,31 +118,38 @@ class Indicators(StatefulProcessor):
     """
 
     FIELDS = "n long, fast double, slow double, signal double, gain double, loss double, last double, closes array<double>"
-    OUT = "ticker string, ts timestamp, close double, rsi_14 double, macd double, macd_signal double, macd_hist double, bb_middle double, bb_upper double, bb_lower double, zscore double"
+    OUT = "ticker string, ts timestamp, close double, rsi_14 double, macd double, macd_signal double, macd_hist double, bb_middle double, bb_upper double, bb_lower double, zscore double, flag string"
 
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("recurrences", self.FIELDS)
         self.waiting = handle.getListState("waiting", "ts timestamp, close double")
+        self.first = handle.getValueState("first", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = self.first.get()[0] if self.first.exists() else None
         for frame in rows:
             self.waiting.appendList([(t.to_pydatetime(), float(c)) for t, c in zip(frame["ts"], frame["close"])])
             for t in frame["ts"]:
-                self.handle.registerTimer(int(t.timestamp() * 1000))
+                self.handle.registerTimer(millis(t))
+                first = millis(t) if first is None else min(first, millis(t))
+        if first is not None:
+            self.first.update((first,))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        import datetime
-
         upto = timerValues.getCurrentWatermarkInMs()
-        stamp = lambda t: int(t.replace(tzinfo=datetime.timezone.utc).timestamp() * 1000) if t.tzinfo is None else int(t.timestamp() * 1000)
-        held = sorted((r[0], r[1]) for r in self.waiting.get())
-        due = [r for r in held if stamp(r[0]) <= upto]
-        if not due:
+        # an earlier timer of this round has let out all that is due
+        if not self.first.exists() or self.first.get()[0] > upto:
             return iter([])
-        later = [r for r in held if stamp(r[0]) > upto]
-        self.waiting.put(later) if later else self.waiting.clear()
+        held = sorted((r[0], r[1]) for r in self.waiting.get())
+        due, later = [r for r in held if millis(r[0]) <= upto], [r for r in held if millis(r[0]) > upto]
+        if later:
+            self.waiting.put(later)
+            self.first.update((millis(later[0][0]),))
+        else:
+            self.waiting.clear()
+            self.first.clear()
         state = self.state.get() if self.state.exists() else None
         out = []
         for ts, close in due:
@@ -120,6 +162,10 @@ class Indicators(StatefulProcessor):
         pass
 
 
+def millis(t) -> int:
+    return int((t.replace(tzinfo=datetime.timezone.utc) if t.tzinfo is None else t).timestamp() * 1000)
+
+
 def step(state: tuple | None, close: float):
     """One bar through all recurrences: the new state and the indicator values, null while warming up."""
     mean = lambda before, value, alpha: value if before is None else alpha * value + (1 - alpha) * before
@@ -140,11 +186,11 @@ def step(state: tuple | None, close: float):
         m = sum(closes) / 30
         s = (sum((c - m) ** 2 for c in closes) / 29) ** 0.5
         z = (close - m) / s if s else None
-    values = (rsi, macd, shown, None if shown is None else macd - shown, mid, None if sd is None else mid + 2 * sd, None if sd is None else mid - 2 * sd, z)
+    values = (rsi, macd, shown, None if shown is None else macd - shown, mid, None if sd is None else mid + 2 * sd, None if sd is None else mid - 2 * sd, z, None if z is None or abs(z) < 2.0 else "HIGH" if z > 0 else "LOW")
     # stored state has no nulls: before the first MACD the signal is not read
     return (n, fast, slow, signal or 0.0, gain, loss, close, closes), values
 
 
 def indicators(bars: DataFrame, late: str = LATENESS) -> DataFrame:
-    """Indicators and z-scores of a stream of bars, in append mode."""
+    """Indicators, z-scores and their flags of a stream of bars, in append mode."""
     return bars.withWatermark("ts", late).groupBy("ticker").transformWithStateInPandas(Indicators(), Indicators.OUT, "append", "EventTime")
