@@ -126,6 +126,9 @@ def test_landed_payloads(spark):
     wide = spark.createDataFrame([("2024-01-02", 1.0, 2.0, 0.5, 1.5, 7), ("2024-01-03", 1.0, 2.0, 0.5, None, 7)], "Date string, OPEN double, High double, low double, Close double, Volume long")
     assert landed.wide_bars(wide, "A", "file", "1d").count() == 1
     items = spark.createDataFrame([("A", " x ", "l", "Mon, 01 Jul 2024 10:00:00 +0000"), ("A", "y", "l", None), ("A", "", "l", None), ("A", "old", "l", "Mon, 03 Jun 2024 10:00:00 GMT")], "ticker string, title string, link string, pubDate string")
+    times = ["Mon, 01 Jul 2024 10:00:00 +0000", "1 Jul 2024 10:00 -0530", "Mon, 1 Jul 2024 10:00:00 EDT", "01 Jul 2024 10:00:00 +02:00", "Mon, 01 Jul 2024 10:00:00 GMT", "soon", None, ""]
+    read = spark.createDataFrame([(k, t) for k, t in enumerate(times)], "k int, t string").select("k", landed.feed_time(F.col("t")).alias("t")).orderBy("k").collect()
+    assert [str(r.t) if r.t else None for r in read] == ["2024-07-01 10:00:00", "2024-07-01 15:30:00", "2024-07-01 14:00:00", "2024-07-01 08:00:00", "2024-07-01 10:00:00", None, None, None]
     heads = landed.rss_headlines(items, F.lit("2024-07-02").cast("timestamp")).collect()
     assert {(r.headline, r.published_at is None) for r in heads} == {("x", False), ("y", True)}
     assert spark.range(1).select(landed.clean_tickers(F.lit(" aapl, ,Msft ")).alias("t")).first().t == ["AAPL", "MSFT"]
@@ -189,6 +192,82 @@ def test_forecast_tables(spark):
     assert forecasts.pivoted(df, ["x", "z"], complete=True).count() == 0
 
 
+def test_flags_of_quartiles_with_small_scores_are_no_anomalies(spark):
+    """A return outside the fences whose score is under 2 is a flag, but its bar is not anomalous in the matrix; rows and blanks as specified."""
+    from tidemark.operators.features import FEATURES, feature_matrix, flagged_frame
+
+    closes, level = [], 100.0
+    for k in range(60):
+        level *= 1.5 if k == 45 else 1 / 1.5 if k == 46 else 1.03 if k % 10 == 3 else 1 / 1.03 if k % 10 == 4 else 1.0005 if k % 2 else 0.9995
+        closes.append(level)
+    rows = flagged_frame(bars(spark, closes))
+    flags = {r.ds: r for r in rows.where("flag is not null").collect()}
+    matrix = {r.ds: r for r in feature_matrix(rows).collect()}
+    small = [r for r in flags.values() if abs(r.zscore) < 2]
+    assert small and any(abs(r.zscore) >= 2 for r in flags.values())
+    for day, r in matrix.items():
+        assert r.is_anomaly == int(day in flags and abs(flags[day].zscore) >= 2) and all(r[f] is not None for f in FEATURES)
+    assert len(matrix) == 60 - 20 and matrix[DAY + datetime.timedelta(19)].rsi_14 == 0 and matrix[DAY + datetime.timedelta(25)].rsi_14 > 0
+    assert len(feature_matrix(rows, labelled=False).collect()) == 41
+
+
+@pytest.mark.parametrize("cells", [1, 4, 256])
+def test_exact_quantiles(spark, cells):
+    from tidemark.functions.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(11)
+    data = {"a": rng.normal(size=1001), "b": np.repeat([1.0, 2.0, 2.0, 5.0], 300), "c": [7.0], "d": [1.0, 4.0], None: rng.lognormal(0, 4, 500)}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in data.items() for v in vs] + [("a", None), ("e", None)], "ticker string, x double").repartition(3)
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.ticker: r for r in exact_quantiles(df, "x", shares, cells=max(2, cells)).collect()}
+    assert set(got) == set(data)
+    for k, v in data.items():
+        assert got[k].n == len(v) and np.allclose(got[k].q, np.quantile(v, shares), rtol=1e-12)
+
+
+def test_gates(spark):
+    from tidemark.functions.series import skipped
+
+    df = bars(spark, range(1, 60)).union(bars(spark, range(1, 26), "B")).union(bars(spark, range(1, 91), "C"))
+    assert {(r.ticker, r.stage, r.n_rows, r.needed) for r in skipped(df).collect()} == {
+        ("A", "forecast", 59, 60), ("A", "trees", 59, 60), ("A", "stack", 59, 90),
+        ("B", "indicators", 25, 26), ("B", "zscore", 25, 30), ("B", "forecast", 25, 60), ("B", "trees", 25, 60), ("B", "stack", 25, 90),
+    }
+
+
+def test_late_rows_reach_the_backfill(spark, tmp_path):
+    """A row behind the watermark is lost to the stream; the batch brings its bar. Compaction keeps what a reader sees."""
+    from tidemark.streaming import bars as streams
+
+    kind = "ticker string, ts timestamp, price double, seq long"
+    at = lambda day, minute=0: datetime.datetime(2024, 1, day, 10, minute)
+    first = spark.createDataFrame([("A", at(20), 1.0, 2), ("A", at(19), 2.0, 1)], kind)
+    late = spark.createDataFrame([("A", at(10), 5.0, 0), ("A", at(18), 3.0, 0)], kind)
+    landed_at, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (first, late):
+        part.write.mode("append").parquet(landed_at)
+        table = streams.run_available(streams.tumbling(streams.read(spark, landed_at, first.schema, 100)), target, ["ticker", "ts"])
+    assert {(r.ts, r.close) for r in table.collect()} == {(at(20), 1.0), (at(19), 2.0), (at(18), 3.0)}
+    whole = streams.backfill(table, streams.batch_bars(late), ["ticker", "ts"])
+    assert {(r.ts, r.close) for r in whole.collect()} == {(at(20), 1.0), (at(19), 2.0), (at(18), 3.0), (at(10), 5.0)}
+    before = set(map(tuple, table.collect()))
+    streams.compact(spark, f"{target}/table", ["ticker", "ts"])
+    streams.compact(spark, f"{target}/table", ["ticker", "ts"])
+    assert len([p for p in (tmp_path / "out" / "table").iterdir() if p.name.startswith("batch=")]) == 1
+    assert set(map(tuple, streams.last_versions(spark, f"{target}/table", ["ticker", "ts"]).collect())) == before
+
+
+def test_the_matrix_reads_its_bars_in_few_passes(spark, sf_dir):
+    from tidemark.operators import features
+    from tidemark.plans.series_queries import matrix
+    from tidemark.sources.tables import daily_bars
+
+    plan = features.frame(daily_bars(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") <= 7 and plan.count("CartesianProduct") == 0
+    plan = matrix(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 0 and plan.count("Window") == plan.count("Sort [") or plan.count("FileScan") <= 6
+
+
 def test_plans_have_one_exchange_per_window_chain(spark, sf_dir):
     from tidemark.operators.features import price_features
     from tidemark.sources.tables import daily_bars

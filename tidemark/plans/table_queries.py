@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from ..functions.lineage import cut, scratch
-from ..functions.series import KEY
-from ..operators import ensemble, features, forecasts, linear, sentiment, serving, strategy, trees
+from ..functions.lineage import cut, once, scratch
+from ..functions.series import GATES, KEY, long_enough
+from ..operators import ensemble, forecasts, linear, sentiment, serving, strategy, trees
 from ..sources import keyed, landed, stored, tables
 from ..streaming import bars as streams
 from .registry import BARS, DAILY_SENTIMENT, HEADLINES, INTRADAY, query, recurrences, rounded
@@ -187,70 +188,85 @@ def least_squares_sums(spark, sf_dir):
 
 @query()
 def ar5_forecast(spark, sf_dir):
-    return linear.ar_forecast(tables.daily_bars(spark, sf_dir))
+    return linear.ar_forecast(long_enough(tables.daily_bars(spark, sf_dir), GATES["forecast"]))
 
 
 @query()
 def trend_season_forecast(spark, sf_dir):
-    return linear.trend_forecast(tables.daily_bars(spark, sf_dir))
+    return linear.trend_forecast(long_enough(tables.daily_bars(spark, sf_dir), GATES["forecast"]))
+
+
+def _table(spark, sf_dir, name, make):
+    """A table that several of these queries read; made once per application and input."""
+    inputs = [f"{sf_dir}/{t}.parquet" for t in ("orders", "documents")]
+    return spark.read.parquet(once(spark, name, inputs, lambda path: make().write.parquet(path)))
 
 
 def _matrix(spark, sf_dir):
-    return cut(matrix(spark, sf_dir, labelled=False))
+    return _table(spark, sf_dir, "matrix", lambda: matrix(spark, sf_dir, labelled=False))
 
 
 def _labelled(rows):
     return rows.where("target_next_close is not null")
 
 
+def _holdout(spark, sf_dir, kind):
+    return _table(spark, sf_dir, f"holdout-{kind}", lambda: trees.holdout(long_enough(_labelled(_matrix(spark, sf_dir)), GATES["trees"]), kind, kind))
+
+
+def _model(spark, sf_dir, kind):
+    """The model fitted on all rows, saved with the library's own writer."""
+    inputs = [f"{sf_dir}/{t}.parquet" for t in ("orders", "documents")]
+    fit = lambda: trees.fit(long_enough(_labelled(_matrix(spark, sf_dir)), GATES["trees"]), kind)
+    return PipelineModel.load(once(spark, f"model-{kind}", inputs, lambda path: fit().save(path)))
+
+
 @query()
 def gbt_holdout(spark, sf_dir):
-    rows = trees.holdout(_labelled(_matrix(spark, sf_dir)), "gbt", "gbt")
-    return rows.withColumn("naive", F.col("previous"))
+    return _holdout(spark, sf_dir, "gbt").withColumn("naive", F.col("previous"))
 
 
 @query()
 def rf_holdout(spark, sf_dir):
-    return trees.holdout(_labelled(_matrix(spark, sf_dir)), "forest", "forest")
+    return _holdout(spark, sf_dir, "forest")
 
 
 @query()
 def feature_importance_top5(spark, sf_dir):
-    rows = _labelled(_matrix(spark, sf_dir))
-    found = [x for kind in ("gbt", "forest") for x in trees.importances(trees.fit(rows, kind), kind)]
+    found = [x for kind in ("gbt", "forest") for x in trees.importances(_model(spark, sf_dir, kind), kind)]
     return forecasts.top_features(spark.createDataFrame(found, "model string, feature string, importance double"))
 
 
-def _tree_forecasts(spark, sf_dir, rows):
-    bars = tables.daily_bars(spark, sf_dir)
-    parts = [trees.forecast(trees.fit(_labelled(rows), kind), bars, rows, kind) for kind in ("gbt", "forest")]
+def _tree_forecasts(spark, sf_dir):
+    bars, rows = tables.daily_bars(spark, sf_dir), _matrix(spark, sf_dir)
+    parts = [_table(spark, sf_dir, f"forecast-{kind}", lambda: trees.forecast(_model(spark, sf_dir, kind), bars, rows, kind)) for kind in ("gbt", "forest")]
     return parts[0].unionByName(parts[1])
 
 
 @query()
 def tree_forecast_7d(spark, sf_dir):
-    return _tree_forecasts(spark, sf_dir, _matrix(spark, sf_dir))
+    return _tree_forecasts(spark, sf_dir)
 
 
-def _stack(spark, sf_dir, rows):
-    parts = [trees.holdout(_labelled(rows), kind, kind) for kind in ("gbt", "forest")]
-    return cut(ensemble.stack([*parts, linear.linear_holdout(tables.daily_bars(spark, sf_dir))]))
+def _stack(spark, sf_dir):
+    bars = long_enough(tables.daily_bars(spark, sf_dir), GATES["stack"])
+    return _table(spark, sf_dir, "stack", lambda: ensemble.stack([*[_holdout(spark, sf_dir, kind) for kind in ("gbt", "forest")], linear.linear_holdout(bars)]))
 
 
 @query()
 def holdout_stack(spark, sf_dir):
-    return _stack(spark, sf_dir, _matrix(spark, sf_dir))
+    return _stack(spark, sf_dir)
 
 
 @query()
 def ridge_meta_weights(spark, sf_dir):
-    return ensemble.meta_weights(_stack(spark, sf_dir, _matrix(spark, sf_dir)), MODELS)
+    return ensemble.meta_weights(_stack(spark, sf_dir), MODELS)
 
 
 @query()
 def model_comparison(spark, sf_dir):
     """Errors of all models and the ensemble; horizon: steps ahead of the forecast that is scored."""
-    stacked = _stack(spark, sf_dir, _matrix(spark, sf_dir))
+    stacked = _stack(spark, sf_dir)
     wide = ensemble.combine(stacked, ensemble.meta_weights(stacked, MODELS), MODELS)
     long = wide.unpivot([KEY, "ds", "actual"], [*MODELS, "ensemble"], "model", "predicted")
     scores = forecasts.comparison(forecasts.errors(long, [KEY, "model"]))
@@ -260,16 +276,16 @@ def model_comparison(spark, sf_dir):
 
 @query()
 def ensemble_forecast(spark, sf_dir):
-    rows, bars = _matrix(spark, sf_dir), tables.daily_bars(spark, sf_dir)
-    weights = ensemble.meta_weights(_stack(spark, sf_dir, rows), MODELS)
-    base = _tree_forecasts(spark, sf_dir, rows).unionByName(linear.ar_forecast(bars)).unionByName(linear.trend_forecast(bars))
+    bars = tables.daily_bars(spark, sf_dir)
+    weights = ensemble.meta_weights(_stack(spark, sf_dir), MODELS)
+    base = _tree_forecasts(spark, sf_dir).unionByName(linear.ar_forecast(bars)).unionByName(linear.trend_forecast(bars))
     return ensemble.forecast(base, weights, MODELS)
 
 
 @query()
 def ensemble_strategy(spark, sf_dir):
     """Strategy metrics of trading on every model and on the ensemble over the held-out bars."""
-    stacked = _stack(spark, sf_dir, _matrix(spark, sf_dir))
+    stacked = _stack(spark, sf_dir)
     wide = ensemble.combine(stacked, ensemble.meta_weights(stacked, MODELS), MODELS)
     return serving.ranked(strategy.metrics(wide.unpivot([KEY, "ds", "actual", "previous"], [*MODELS, "ensemble"], "model", "predicted")), "alpha")
 
