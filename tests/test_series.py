@@ -225,6 +225,14 @@ def test_exact_quantiles(spark, cells):
         assert got[k].n == len(v) and np.allclose(got[k].q, np.quantile(v, shares), rtol=1e-12)
 
 
+def test_fences_of_long_series_are_those_of_short_ones(spark, monkeypatch):
+    df = bars(spark, np.random.default_rng(5).lognormal(3, 1, 300)).union(bars(spark, np.random.default_rng(6).lognormal(3, 1, 100), "B"))
+    key = lambda rows: sorted((r.ticker, r.ds, r.flag, round(r.zscore, 9)) for r in rows.collect())
+    short = key(anomalies.merged_flags(df, time="ds"))
+    monkeypatch.setattr(anomalies, "BUFFER", 0)
+    assert short and key(anomalies.merged_flags(df, time="ds")) == short
+
+
 def test_gates(spark):
     from tidemark.functions.series import skipped
 

@@ -39,7 +39,10 @@ def rolling_blocks(df: DataFrame, columns: dict[str, tuple], n: int, index: str
     return own(rows.withColumns({name: rolling(aggregate, column, n, inside(key), index) for name, (aggregate, column) in columns.items()})).select(*names, *columns)
 
 
+def month(time: str) -> Column:
+    return F.date_trunc("month", F.col(time))
+
+
 def dealt(df: DataFrame, before: int, after: int = 0, alphas: tuple[float, ...] = (), bucket: Column | None = None, key: str = KEY, time: str = TIME, ties: tuple[str, ...] = ()) -> DataFrame:
     """Rows numbered (``_i``) and dealt into blocks; ``bucket`` defaults to the month of ``time``."""
-    bucket = F.date_trunc("month", F.col(time)) if bucket is None else bucket
-    return deal(numbered(df, bucket, "_i", key, time, ties), before, after, alphas)
+    return deal(numbered(df, month(time) if bucket is None else bucket, "_i", key, time, ties), before, after, alphas)

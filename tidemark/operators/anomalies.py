@@ -13,6 +13,8 @@ from ..functions.series import GATES, KEY, TIME, change, rolling
 
 #: Rows of the rolling score; also how many a series needs to be scored.
 WINDOW, THRESHOLD = GATES["zscore"], 2.0
+#: A series of at most so many returns, by count, has its quartiles from one buffer; a longer one from cells, with the same result.
+BUFFER = 1 << 20
 
 
 def with_scores(rows: DataFrame, n: int = WINDOW, key: str = KEY) -> DataFrame:
@@ -24,12 +26,16 @@ def with_scores(rows: DataFrame, n: int = WINDOW, key: str = KEY) -> DataFrame:
 
 def fences(rows: DataFrame, k: float = 1.5, fit_until: Column | None = None, key: str = KEY, time: str = TIME) -> DataFrame:
     """``key, fence_low, fence_high, fence_mean, fence_sd`` of the returns ``r``: exact quartile fences of each series, or of its rows up to ``fit_until``."""
-    fit = rows if fit_until is None else rows.where(F.col(time) <= fit_until)
-    spread = fit.where("r is not null").groupBy(F.col(key).alias("_k")).agg(F.avg("r").alias("fence_mean"), F.stddev_samp("r").alias("fence_sd"))
-    q = exact_quantiles(fit, "r", [0.25, 0.75], key)
+    fit = (rows if fit_until is None else rows.where(F.col(time) <= fit_until)).where("r is not null")
+    spread = [F.avg("r").alias("fence_mean"), F.stddev_samp("r").alias("fence_sd")]
+    longest = fit.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if longest <= BUFFER:
+        q = fit.groupBy(key).agg(F.percentile("r", F.array(F.lit(0.25), F.lit(0.75))).alias("q"), *spread)
+    else:
+        means = fit.groupBy(F.col(key).alias("_k")).agg(*spread)
+        q = exact_quantiles(fit, "r", [0.25, 0.75], key).join(means, F.col(key).eqNullSafe(F.col("_k")))
     edge = F.lit(k) * (F.col("q")[1] - F.col("q")[0])
-    low, high = F.col("q")[0] - edge, F.col("q")[1] + edge
-    return q.join(spread, F.col(key).eqNullSafe(F.col("_k"))).select(F.col(key), low.alias("fence_low"), high.alias("fence_high"), "fence_mean", "fence_sd")
+    return q.select(key, (F.col("q")[0] - edge).alias("fence_low"), (F.col("q")[1] + edge).alias("fence_high"), "fence_mean", "fence_sd")
 
 
 def flagged(rows: DataFrame, limits: DataFrame, threshold: float = THRESHOLD, key: str = KEY) -> DataFrame:

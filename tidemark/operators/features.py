@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import stored
-from ..functions.long_series import dealt
-from ..functions.recurrence import inside, own
+from ..functions.long_series import month, numbered
+from ..functions.recurrence import deal, inside, own
 from ..functions.series import KEY, change, lag, ordered, position, rolling
 from .anomalies import fences, flagged, with_scores
 from .indicators import ALPHAS, WARM_UP, look_back, with_indicators
@@ -55,12 +55,12 @@ def first_of_day(rows: DataFrame, day: str, order: list[str]) -> DataFrame:
 
 def frame(bars: DataFrame, sentiment: DataFrame | None = None, time: str = "ds") -> DataFrame:
     """Every bar with all columns that look back or ahead in its series, in one pass: indicators (null while warming up), scores, price and sentiment features, targets."""
+    rows, at = numbered(bars, month(time), time=time), (inside(KEY), "_i")
     if sentiment is None:
-        rows = bars.withColumns({c: F.lit(0.0 if c == MOOD[0] else 0) for c in MOOD})
+        rows = rows.withColumns({c: F.lit(0.0 if c == MOOD[0] else 0) for c in MOOD})
     else:
-        rows = bars.join(sentiment.select(KEY, time, *MOOD), [KEY, time], "left").na.fill(0, MOOD)
-    at = inside(KEY), "_i"
-    rows = with_scores(with_indicators(dealt(rows, look_back() + 1, 1, ALPHAS, time=time)))
+        rows = rows.join(sentiment.select(KEY, time, *MOOD), [KEY, time], "left").na.fill(0, MOOD)
+    rows = with_scores(with_indicators(deal(rows, look_back() + 1, 1, ALPHAS)))
     rows = rows.withColumns({c: F.when(F.col("_i") >= WARM_UP - 1, F.col(c)) for c in INDICATORS})
     rows = targets(price_features(rows, *at), *at, day=time)
     # three rows, not three days; incomplete windows count as no sentiment

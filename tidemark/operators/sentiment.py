@@ -17,14 +17,17 @@ FALLBACK = {"score_pos": 0.33, "score_neg": 0.33, "score_neu": 0.34}
 SCORES = ["score_pos", "score_neg", "score_neu"]
 
 
-def lexicon_scores(headline: Column, positive: list[str] = POSITIVE, negative: list[str] = NEGATIVE) -> dict[str, Column]:
-    """Shares of positive, negative and other words; the fallback for a headline without words."""
-    words = F.filter(F.split(F.lower(headline), "[^a-z]+"), lambda w: F.length(w) > 0)
-    n = F.size(words)
-    share = lambda names: F.try_divide(F.size(F.filter(words, lambda w: w.isin(names))).cast("double"), n)
-    pos, neg = share(positive), share(negative)
+def lexicon_scores(rows: DataFrame, positive: list[str] = POSITIVE, negative: list[str] = NEGATIVE) -> DataFrame:
+    """Shares of positive, negative and other words of ``headline``; the fallback for a headline without words.
+
+    The words are a column of their own, so that a text is cut once for all three.
+    """
+    rows = rows.withColumn("_words", F.array_remove(F.split(F.lower("headline"), "[^a-z]+"), ""))
+    hits = lambda names: F.size(F.filter("_words", lambda w: w.isin(names))).cast("double")
+    rows = rows.withColumns({"_n": F.size("_words"), "_pos": hits(positive), "_neg": hits(negative)})
+    pos, neg = F.try_divide("_pos", "_n"), F.try_divide("_neg", "_n")
     raw = {"score_pos": pos, "score_neg": neg, "score_neu": 1 - pos - neg}
-    return {c: F.coalesce(v, F.lit(FALLBACK[c])) for c, v in raw.items()}
+    return rows.withColumns({c: F.coalesce(v, F.lit(FALLBACK[c])) for c, v in raw.items()}).drop("_words", "_n", "_pos", "_neg")
 
 
 def labelled(scored: DataFrame) -> DataFrame:
@@ -43,7 +46,7 @@ def score(headlines: DataFrame, scorer: Callable[[list[str]], Iterable[tuple[flo
     limit: it sees that many characters; by default whole texts are scored.
     """
     if scorer is None:
-        return labelled(headlines.withColumns(lexicon_scores(F.col("headline"))))
+        return labelled(lexicon_scores(headlines))
 
     def run(batches: Iterator) -> Iterator:
         for frame in batches:
