@@ -220,10 +220,10 @@ def sentiment_summary(spark, sf_dir):
 
 
 @query(f"""WITH {SCORED}, k AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY published_at DESC, headline, source) AS back FROM scored)
-SELECT ticker, source, published_at, left(headline, 80) AS headline, compound, sentiment FROM k WHERE back <= 15""")
+SELECT ticker, source, published_at, headline, compound, sentiment FROM k WHERE back <= 15""")
 def sentiment_tail(spark, sf_dir):
     rows = serving.latest(sentiment.score(tables.headlines(spark, sf_dir)), 15, "published_at", ["headline", "source"])
-    return rows.select(KEY, "source", "published_at", F.left("headline", F.lit(80)).alias("headline"), "compound", "sentiment")
+    return rows.select(KEY, "source", "published_at", "headline", "compound", "sentiment")
 
 
 @query(f"""WITH {SCORED}, new AS (SELECT * FROM scored s WHERE published_at >= TIMESTAMP '1995-03-01' OR ticker IN (SELECT NULL)),
