@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from math import ceil, log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .series import KEY, TIME, ordered
@@ -61,10 +61,9 @@ def mean(column: str | Column, alpha: float, first: int = 0, key: str = KEY, ind
     column = F.col(column) if isinstance(column, str) else column
     q = 1 - alpha
     part = F.when(F.col(index) == first, column).when(F.col(index) > first, alpha * column)
-    from pyspark.sql import Window
-
     window = ordered(inside(key), index).rowsBetween(Window.unboundedPreceding, 0)
-    summed = F.sum(part * F.pow(F.lit(1 / q), "_e")).over(window)
+    # one base for both powers: their errors cancel
+    summed = F.sum(part * F.pow(F.lit(q), -F.col("_e"))).over(window)
     return F.when(F.col(index) >= first, summed * F.pow(F.lit(q), "_e"))
 
 

@@ -26,7 +26,7 @@ def lexicon_scores(rows: DataFrame, positive: list[str] = POSITIVE, negative: li
     hits = lambda names: F.size(F.filter("_words", lambda w: w.isin(names))).cast("double")
     rows = rows.withColumns({"_n": F.size("_words"), "_pos": hits(positive), "_neg": hits(negative)})
     pos, neg = F.try_divide("_pos", "_n"), F.try_divide("_neg", "_n")
-    raw = {"score_pos": pos, "score_neg": neg, "score_neu": 1 - pos - neg}
+    raw = {"score_pos": pos, "score_neg": neg, "score_neu": F.try_divide(F.col("_n") - F.col("_pos") - F.col("_neg"), "_n")}
     return rows.withColumns({c: F.coalesce(v, F.lit(FALLBACK[c])) for c, v in raw.items()}).drop("_words", "_n", "_pos", "_neg")
 
 

@@ -43,7 +43,7 @@ def lexicon_batch(texts: list[str]) -> list[tuple[float, float, float] | None]:
     for text in texts:
         words = [w for w in re.split("[^a-z]+", text.lower()) if w]
         pos, neg = (sum(w in names for w in words) for names in (sentiment.POSITIVE, sentiment.NEGATIVE))
-        out.append((pos / len(words), neg / len(words), 1 - pos / len(words) - neg / len(words)) if words else None)
+        out.append((pos / len(words), neg / len(words), (len(words) - pos - neg) / len(words)) if words else None)
     return out
 
 

@@ -50,8 +50,8 @@ words AS (SELECT *, list_filter(regexp_split_to_array(lower(headline), '[^a-z]+'
 shares AS (SELECT ticker, source, published_at, headline,
     CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: x IN ('the','for','was','sur','des','und','los'))) / len(w)::double ELSE 0.33 END AS p,
     CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: x IN ('that','with','from','les','par','von','del'))) / len(w)::double ELSE 0.33 END AS g,
-    len(w) AS k FROM words),
-full_shares AS (SELECT *, CASE WHEN k > 0 THEN 1 - p - g ELSE 0.34 END AS u FROM shares),
+    len(w) AS k, w FROM words),
+full_shares AS (SELECT *, CASE WHEN k > 0 THEN (k - len(list_filter(w, lambda x: x IN ('the','for','was','sur','des','und','los','that','with','from','les','par','von','del')))) / k::double ELSE 0.34 END AS u FROM shares),
 scored AS (SELECT ticker, source, published_at, headline, round(p, 4) AS score_pos, round(g, 4) AS score_neg, round(u, 4) AS score_neu,
     round(p - g, 4) AS compound,
     CASE WHEN p = greatest(p, g, u) THEN 'positive' WHEN g = greatest(p, g, u) THEN 'negative' ELSE 'neutral' END AS sentiment FROM full_shares)"""
