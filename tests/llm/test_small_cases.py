@@ -540,3 +540,18 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5), (200, 203), (203, 201), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100, 201: 200, 203: 200}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import common
+
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    count = lambda: sum("shuffle_" in f for f in str(files()).split(","))
+    setting, held = spark.conf.get(common._CLEANUP), spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    assert held.repartition(3).collect() and count() > 0  # files of others stay
+    before = count()
+    back = common.stash(held.repartition(5), "counts")
+    assert count() <= before and spark.conf.get(common._CLEANUP) == setting
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, held.collect()))

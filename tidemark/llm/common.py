@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when its counted size is at most this.
 BROADCAST_BYTES = 32 << 20
+#: Whether the shuffle files of a statement go when it ends, and not only when the driver's memory is collected.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
@@ -39,10 +41,17 @@ def shared_path(spark: SparkSession, tag: str) -> str:
 
 
 def stash(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors, fixes row numbers."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors, fixes row numbers.
+
+    The shuffle files of the write go as soon as the table stands; what follows reads the table alone.
+    """
     spark = df.sparkSession
-    path = shared_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    path, before = shared_path(spark, tag), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
