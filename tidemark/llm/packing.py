@@ -18,7 +18,7 @@ for itself; other columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -42,8 +42,8 @@ def cuts(n: int, capacity: int) -> list[int]:
     return out
 
 
-def cut(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity: int = 4096, tokens: bool = True, memo: int = MEMO_PIECES) -> DataFrame:
-    """Tokenise and cut: one row per piece.
+def cut(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity: int = 4096, tokens: bool = True, memo: int = MEMO_PIECES, split: Callable[[int, int], list[int]] = cuts) -> DataFrame:
+    """Tokenise and cut: one row per piece, of the lengths that ``split`` names.
 
     ``doc_id, start, length, ids_crc32, doc_tokens, worker, rank`` and, if
     ``tokens``, the piece's ids as ``ids`` (little-endian unsigned 32-bit).
@@ -61,7 +61,7 @@ def cut(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity: i
             for i, text in enumerate(batch.column(1)):
                 raw = encode(text.as_py() or "") + end
                 at = 0
-                for size in cuts(len(raw) // 4, capacity):
+                for size in split(len(raw) // 4, capacity):
                     part = raw[4 * at : 4 * (at + size)]
                     doc.append(i)
                     start.append(at)
