@@ -40,16 +40,16 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def stash(df: DataFrame, tag: str) -> DataFrame:
+def stash(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors, fixes row numbers.
 
-    The shuffle files of the write go as soon as the table stands; what follows reads the table alone.
+    With ``by``, the rows of each value of that column are in files of their own.  The shuffle files of the write go as soon as the table stands; what follows reads the table alone.
     """
     spark = df.sparkSession
     path, before = shared_path(spark, tag), spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*([by] if by else [])).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

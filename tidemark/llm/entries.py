@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from .arrow_files import op4
+from .bin_completion import op11
 from .chat import OP10_SQL, op10
+from .collocations import OP13_SQL, op13
 from .contamination import OP5_SQL, op5
 from .html_text import op3
 from .line_quality import op9
@@ -12,6 +14,7 @@ from .packing import op1
 from .shards import op6
 from .simhash import op8
 from .substrings import op2
+from .whitening import op12
 
 QUERIES = {
     "op1_harmonic_packing": op1,
@@ -24,9 +27,13 @@ QUERIES = {
     "op8_simhash_near_dedup": op8,
     "op9_line_field_quality": op9,
     "op10_prefix_target_chat": op10,
+    "op11_bin_completion": op11,
+    "op12_jacobi_davidson_whitening": op12,
+    "op13_phrase_graph": op13,
 }
 
 ORACLE_SQL = {
     "op5_benchmark_hits": OP5_SQL,
     "op10_prefix_target_chat": OP10_SQL,
+    "op13_phrase_graph": OP13_SQL,
 }
