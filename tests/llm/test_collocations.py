@@ -64,7 +64,7 @@ def test_against_counting(spark, bits, monkeypatch):
     assert any(" " in p[2] and len(p[2].split()) == 5 for p in got)
 
 
-def test_rare_words_end_a_piece_but_count(spark):
+def test_rare_pairs_end_a_gram_but_words_count(spark):
     rows = [("en", "u v w%d u v" % i) for i in range(30)]
     docs = spark.createDataFrame(rows, "lang string, text string")
     assert rows_of(collocations.collocations(docs, 30, 10)) == plain(rows, 30, 10) == {("en", 1, "u v", 60, 60, 60, 150, 2500)}

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import small, stash, table
 from .packing import cut
@@ -277,8 +278,7 @@ def place(pieces: DataFrame, capacity: int = 4096, nodes: int = NODES) -> DataFr
     offsets = counts.select("length", "worker", before.alias("before"))
     numbered = pieces.join(small(offsets, cells, 40), ["length", "worker"])
     numbered = numbered.select(*pieces.columns, F.col("length").alias("_length"), (F.col("before") + F.col("rank")).alias("_number"))
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    return numbered.mapInArrow(run, schema)
+    return numbered.mapInArrow(run, StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
 
 
 def pack(docs: DataFrame, path: str, cut_at: str | None, end_id: int, capacity: int = 4096, tokens: bool = True, nodes: int = NODES) -> DataFrame:

@@ -10,10 +10,10 @@ A node's count is its flow: the edges that leave it plus the pieces that end in
 again that gives all counts of four words from those of five, of three from four, down to the
 node without words, which is the number of words of the language.
 
-Only what occurs ``least`` times can be a phrase or a part of one.  So a rare word can end a piece
-early, and is counted at the empty node.  Which words are rare is read from a
-table of ``2 ** BITS`` hashed counts, one bit each: of fixed size (8 MB) at any scale, and wrong only
-by calling a rare word frequent, which costs a record and changes no count.
+Only what occurs ``least`` times can be a phrase or a part of one.  So a place's gram may stop before a
+pair of neighbours that is rarer, as if the piece ended there: that changes no count that matters.
+Which pairs are rarer is read from ``2 ** BITS`` hashed counts, one bit each: a table of fixed size (32 MB) at any scale, and
+wrong only by calling a rare pair frequent, which costs a longer record and changes no count.
 
 Paths: a node all of whose flow comes from or goes to one edge lies inside a unary path; path and
 edge have one count.  Such nodes are compacted into their edge, and what is left - edges and branching
@@ -41,10 +41,10 @@ from pyspark.sql import functions as F
 from .common import stash, table
 
 LONGEST, LEAST, FIRST = 5, 100, 2000
-#: Size of the table of hashed word counts, as a power of two.
-BITS = 26
+#: Size of the table of hashed counts of pairs, as a power of two.
+BITS = 28
 #: Places in a piece that a task adds up at once, words it remembers, and bytes of a text it reads at once.
-PLACES, WORDS, SLICE = 1 << 20, 500_000, 1 << 22
+PLACES, WORDS, SLICE = 1 << 19, 300_000, 1 << 21
 #: A byte that UTF-8 never has stands for the cut between pieces.
 CUT = b"\xff"
 _BYTES = bytes(
@@ -68,44 +68,82 @@ def _tokens(text: str) -> Iterator[list[bytes]]:
         at = end
 
 
-def bucket(lang: str, word: bytes, bits: int = BITS) -> int:
-    """Where a word of a language is counted."""
-    return xxhash.xxh3_64_intdigest(word, xxhash.xxh3_64_intdigest(lang)) & ((1 << bits) - 1)
-
-
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
     for batch in batches:
-        for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if text := text.as_py():
-                yield lang.as_py(), text
+                yield lang, text
+
+
+#: Codes that are no words: a cut between pieces, and the empty string between two spaces.
+END, SKIP = 0, 1
+
+
+class _Words(dict):
+    """Word of one language -> its number in a task's lists."""
+
+    def __init__(self, lang: str, lists: _Lists):
+        super().__init__({CUT: END, b"": SKIP})
+        self.lang, self.lists, self.seed = lang, lists, xxhash.xxh3_64_intdigest(lang)
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self.lists.names)
+        self.lists.names.append(word)
+        self.lists.langs.append(self.lang)
+        self.lists.hashes.append(xxhash.xxh3_64_intdigest(word, self.seed))
+        return code
+
+
+class _Lists:
+    """The words of a task: name, language and hash by number."""
+
+    def __init__(self) -> None:
+        self.names, self.langs, self.hashes = [CUT, b""], ["", ""], [0, 0]
+        self.words: dict[str, _Words] = {}
+
+    def of(self, lang: str) -> _Words:
+        if lang not in self.words:
+            self.words[lang] = _Words(lang, self)
+        return self.words[lang]
+
+    def codes(self, lang: str, words: list[bytes]) -> np.ndarray:
+        found = np.fromiter(map(self.of(lang).__getitem__, words), np.int64, len(words))
+        return found[found != SKIP]
+
+    def buckets(self, codes: np.ndarray, bits: int) -> np.ndarray:
+        """Where each code and the one after it are counted as a pair."""
+        hashes = np.array(self.hashes, np.uint64)[codes]
+        pairs = (hashes[:-1] ^ (hashes[:-1] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
+        pairs = (pairs ^ (pairs >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (pairs >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def frequent(docs: DataFrame, least: int = LEAST, bits: int = BITS) -> bytes:
-    """Bit b: whether the words counted in bucket b occur ``least`` times together."""
+    """Bit b: whether the pairs of neighbours counted in bucket b occur ``least`` times together."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, dict[bytes, int]] = {}
-        seen = 0
+        lists, parts, waiting = _Lists(), [], 0
 
-        def flush() -> pa.RecordBatch:
-            rows = [(bucket(lang, word, bits), n) for lang, words in counts.items() for word, n in words.items()]
-            counts.clear()
-            return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in rows], pa.int64()), "n": pa.array([n for _, n in rows], pa.int64())})
+        def pairs() -> pa.RecordBatch:
+            codes = np.concatenate([*parts, [END]]).astype(np.int64)
+            both = (codes[:-1] != END) & (codes[1:] != END)
+            return pa.RecordBatch.from_pydict({"bucket": pa.array(lists.buckets(codes, bits)[both])})
 
         for lang, text in _texts(batches):
             for words in _tokens(text):
-                own = counts.setdefault(lang, {})
-                before = len(own)
-                for word in words:
-                    own[word] = own.get(word, 0) + 1
-                own.pop(b"", None), own.pop(CUT, None)
-                seen += len(own) - before
-                if seen > WORDS:
-                    yield flush()
-                    seen = 0
-        yield flush()
-
-    sums = docs.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+                parts.append(lists.codes(lang, words))
+                waiting += len(parts[-1])
+                if waiting >= PLACES:
+                    yield pairs()
+                    parts, waiting = [parts[-1][-1:]], 1  # the last word may have a neighbour yet
+                    if len(lists.names) > WORDS:
+                        last = lists.names[parts[0][0]] if len(parts[0]) else CUT
+                        lists = _Lists()
+                        parts = [lists.codes(lang, [last])]
+            parts.append(np.array([END]))
+        yield pairs()
+
+    sums = docs.mapInArrow(run, "bucket long").groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     # 32,768 bits a row: 2 ** bits / 8 bytes in all, whatever the data; these functions number bits from 1
     bit = sums.select((F.col("bucket") + 1).alias("bit"))
     maps = bit.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
@@ -115,93 +153,59 @@ def frequent(docs: DataFrame, least: int = LEAST, bits: int = BITS) -> bytes:
     return bytes(out)
 
 
-class _Codes(dict):
-    """Word of one language -> its number in ``names``; RARE for a rare one."""
-
-    def __init__(self, lang: str, hot: bytes, bits: int, names: list[bytes], langs: list[str]):
-        super().__init__({b"": SKIP, CUT: END})
-        self.lang, self.hot, self.bits, self.names, self.langs = lang, hot, bits, names, langs
-
-    def __missing__(self, word: bytes) -> int:
-        b = bucket(self.lang, word, self.bits)
-        if self.hot[b >> 3] >> (b & 7) & 1:
-            code = len(self.names)
-            self.names.append(word)
-            self.langs.append(self.lang)
-        else:
-            code = RARE
-        self[word] = code
-        return code
-
-
-END, RARE, SKIP = -1, -2, -3
-
-
 class _Places:
-    """The words of one task as numbers; gives the records of its places, added up over ``PLACES`` at a time."""
+    """The places of one task; gives their records, added up over ``PLACES`` at a time."""
 
     def __init__(self, hot: bytes, bits: int):
-        self.hot, self.bits = hot, bits
-        self.codes: dict[str, _Codes] = {}
-        self.names: list[bytes] = []
-        self.langs: list[str] = []
+        self.hot, self.bits, self.lists = np.frombuffer(hot, np.uint8), bits, _Lists()
         self.parts: list[np.ndarray] = []
         self.waiting = 0
-        self.rare: dict[str, int] = {}
-
-    def of(self, lang: str) -> _Codes:
-        if lang not in self.codes:
-            self.codes[lang] = _Codes(lang, self.hot, self.bits, self.names, self.langs)
-        return self.codes[lang]
 
     def add(self, lang: str, words: list[bytes]) -> None:
-        codes = np.fromiter(map(self.of(lang).__getitem__, words), np.int64, len(words))
-        codes = codes[codes != SKIP]
-        if rare := int((codes == RARE).sum()):
-            self.rare[lang] = self.rare.get(lang, 0) + rare
-        self.parts.append(codes)
-        self.waiting += len(codes)
+        self.parts.append(self.lists.codes(lang, words))
+        self.waiting += len(self.parts[-1])
 
     def end(self) -> None:
         self.parts.append(np.array([END]))
         self.waiting += 1
 
+    def _record(self, columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+        names = pa.array(self.lists.names, pa.binary())
+        words = [names.take(pa.array(c, mask=c == END)).cast(pa.string()) for c in columns]
+        gram = pc.binary_join_element_wise(*words, " ", null_handling="skip") if len(words) > 1 else words[0]
+        lang = pa.array(self.lists.langs, pa.string()).take(pa.array(columns[0]))
+        size = sum((c != END).astype(np.int32) for c in columns)
+        return pa.RecordBatch.from_arrays([lang, gram, pa.array(size, pa.int32()), pa.array(n, pa.int64())], ["lang", "gram", "size", "n"])
+
     def records(self, last: bool = False) -> Iterator[pa.RecordBatch]:
         """Records of all places whose longest gram is known; with ``last``, of all."""
         codes = np.concatenate([*self.parts, np.full(LONGEST - 1 if last else 0, END)]) if self.parts else np.zeros(0, np.int64)
         places = len(codes) - (LONGEST - 1)
         if places > 0:
-            at = np.flatnonzero(codes[:places] >= 0)
+            bucket = self.lists.buckets(codes, self.bits)
+            joined = (codes[:-1] != END) & (codes[1:] != END) & ((self.hot[bucket >> 3] >> (bucket & 7) & 1) != 0)
+            at = np.flatnonzero(codes[:places] != END)
+            alone = ~joined[at]
+            n = np.bincount(codes[at[alone]], minlength=1)
+            yield self._record([np.flatnonzero(n)], n[n > 0])
+            at = at[~alone]
             columns, inside = [codes[at]], np.full(len(at), True)
             for j in range(1, LONGEST):
-                inside = inside & (codes[at + j] >= 0)
-                columns.append(np.where(inside, codes[at + j], -1))
-            base = len(self.names) + 1
+                inside = inside & joined[at + j - 1]
+                columns.append(np.where(inside, codes[at + j], END))
+            base = len(self.lists.names)
             if base >= 1 << 21:
                 raise OverflowError("too many different words at once")
-            head = (columns[0] * base + columns[1] + 1) * base + columns[2] + 1
-            tail = (columns[3] + 1) * base + columns[4] + 1
+            head, tail = (columns[0] * base + columns[1]) * base + columns[2], columns[3] * base + columns[4]
             order = np.lexsort((tail, head))
             head, tail = head[order], tail[order]
             starts = np.flatnonzero(np.append(True, (head[1:] != head[:-1]) | (tail[1:] != tail[:-1]))) if len(order) else order
-            n = np.diff(np.append(starts, len(order)))
-            columns = [c[order[starts]] for c in columns]
-            names = pa.array(self.names, pa.binary()).cast(pa.string())
-            words = [names.take(pa.array(c, mask=c < 0)) for c in columns]
-            gram = pc.binary_join_element_wise(*words, " ", null_handling="skip")
-            lang = pa.array(self.langs, pa.string()).take(pa.array(columns[0]))
-            size = sum((c >= 0).astype(np.int32) for c in columns)
-            yield pa.RecordBatch.from_arrays([lang, gram, pa.array(size, pa.int32()), pa.array(n, pa.int64())], ["lang", "gram", "size", "n"])
+            yield self._record([c[order[starts]] for c in columns], np.diff(np.append(starts, len(order))))
             codes = codes[places:]
-        if self.rare:
-            zero = pa.array([0] * len(self.rare), pa.int32())
-            rare = [pa.array(list(self.rare), pa.string()), pa.array([""] * len(self.rare)), zero, pa.array(list(self.rare.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(rare, ["lang", "gram", "size", "n"])
-            self.rare = {}
-        if sum(map(len, self.codes.values())) > WORDS:  # forget the words, but for those of the places kept
-            kept = [(self.langs[c], self.names[c]) if c >= 0 else c for c in codes.tolist()]
-            self.codes, self.names, self.langs = {}, [], []
-            codes = np.array([c if isinstance(c, int) else self.of(c[0])[c[1]] for c in kept], np.int64)
+        if len(self.lists.names) > WORDS:  # forget the words, but for those of the places kept
+            kept = [(self.lists.langs[c], self.lists.names[c]) for c in codes.tolist()]
+            self.lists = _Lists()
+            codes = np.array([END if word == CUT else self.lists.of(lang)[word] for lang, word in kept], np.int64)
         self.parts, self.waiting = [codes], len(codes)
 
 
