@@ -113,57 +113,59 @@ def run_available(stream: DataFrame, path: str, keys: list[str], mode: str = "up
 class Indicators(StatefulProcessor):
     """EMA 12/26, signal, Wilder means and the last 30 closes of a ticker.
 
-    Bars wait until the watermark passes them and then enter in time order, so
-    late bars within the watermark give the batch result.
+    Bars wait in buckets of ``width`` of time, a map entry each, until the watermark passes the bucket's end; then they enter in
+    time order, so late bars within the watermark give the batch result.  One timer a bucket; a call
+    holds one bucket of one ticker, whatever the stream keeps waiting.
     """
 
     FIELDS = "n long, fast double, slow double, signal double, gain double, loss double, last double, closes array<double>"
     OUT = "ticker string, ts timestamp, close double, rsi_14 double, macd double, macd_signal double, macd_hist double, bb_middle double, bb_upper double, bb_lower double, zscore double, flag string"
 
+    def __init__(self, width: datetime.timedelta = datetime.timedelta(days=1)):
+        self.width = width // datetime.timedelta(microseconds=1)
+
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("recurrences", self.FIELDS)
-        self.waiting = handle.getListState("waiting", "ts timestamp, close double")
-        self.first = handle.getValueState("first", "at long")
+        self.waiting = handle.getMapState("waiting", "bucket long", "at array<long>, close array<double>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = self.first.get()[0] if self.first.exists() else None
         for frame in rows:
-            self.waiting.appendList([(t.to_pydatetime(), float(c)) for t, c in zip(frame["ts"], frame["close"])])
-            for t in frame["ts"]:
-                self.handle.registerTimer(millis(t))
-                first = millis(t) if first is None else min(first, millis(t))
-        if first is not None:
-            self.first.update((first,))
+            at = micros(frame["ts"])
+            for bucket, part in pd.DataFrame({"at": at, "close": frame["close"].astype(float)}).groupby(at // self.width):
+                bucket = int(bucket)
+                held = self.waiting.getValue((bucket,)) if self.waiting.containsKey((bucket,)) else None
+                if held is None:
+                    self.handle.registerTimer((bucket + 1) * self.width // 1000)
+                before = ([], []) if held is None else held
+                self.waiting.updateValue((bucket,), ([*before[0], *part["at"].tolist()], [*before[1], *part["close"].tolist()]))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        upto = timerValues.getCurrentWatermarkInMs()
-        # an earlier timer of this round has let out all that is due
-        if not self.first.exists() or self.first.get()[0] > upto:
+        # as many calls as buckets are due; the oldest goes first, in whatever order the timers come
+        bucket = min((k[0] for k in self.waiting.keys()), default=None)
+        if bucket is None:
             return iter([])
-        held = sorted((r[0], r[1]) for r in self.waiting.get())
-        due, later = [r for r in held if millis(r[0]) <= upto], [r for r in held if millis(r[0]) > upto]
-        if later:
-            self.waiting.put(later)
-            self.first.update((millis(later[0][0]),))
-        else:
-            self.waiting.clear()
-            self.first.clear()
+        at, closes = self.waiting.getValue((bucket,))
+        self.waiting.removeKey((bucket,))
         state = self.state.get() if self.state.exists() else None
         out = []
-        for ts, close in due:
+        for t, close in sorted(zip(at, closes)):
             state, row = step(state, close)
-            out.append((key[0], ts, close, *row))
+            out.append((key[0], t, close, *row))
         self.state.update(state)
-        return iter([pd.DataFrame(out, columns=[c.split()[0] for c in self.OUT.split(", ")])])
+        frame = pd.DataFrame(out, columns=[c.split()[0] for c in self.OUT.split(", ")])
+        return iter([frame.assign(ts=pd.to_datetime(frame["ts"], unit="us"))])
 
     def close(self) -> None:
         pass
 
 
-def millis(t) -> int:
-    return int((t.replace(tzinfo=datetime.timezone.utc) if t.tzinfo is None else t).timestamp() * 1000)
+def micros(times: pd.Series) -> pd.Series:
+    """Microseconds since 1970 of UTC times, with or without a zone."""
+    if times.dt.tz is not None:
+        times = times.dt.tz_convert("UTC").dt.tz_localize(None)
+    return times.astype("datetime64[us]").astype("int64")
 
 
 def step(state: tuple | None, close: float):
@@ -191,6 +193,10 @@ def step(state: tuple | None, close: float):
     return (n, fast, slow, signal or 0.0, gain, loss, close, closes), values
 
 
-def indicators(bars: DataFrame, late: str = LATENESS) -> DataFrame:
-    """Indicators, z-scores and their flags of a stream of bars, in append mode."""
-    return bars.withWatermark("ts", late).groupBy("ticker").transformWithStateInPandas(Indicators(), Indicators.OUT, "append", "EventTime")
+def indicators(bars: DataFrame, late: str = LATENESS, width: datetime.timedelta = datetime.timedelta(days=1)) -> DataFrame:
+    """Indicators, z-scores and their flags of a stream of bars, in append mode; bars without a time or close are left out.
+
+    A bar comes out when the watermark has passed the end of its bucket of ``width``.
+    """
+    rows = bars.where("ts is not null and close is not null").withWatermark("ts", late)
+    return rows.groupBy("ticker").transformWithStateInPandas(Indicators(width), Indicators.OUT, "append", "EventTime")
