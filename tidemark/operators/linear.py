@@ -1,7 +1,7 @@
 """Least squares per series over any number of series, and the forecasters built on it.
 
-Partial cross products are summed on the executors, batch by batch and then by
-key; only one small matrix per series reaches the solver.
+Partial cross products, or triangular factors (:mod:`factors`), are merged on the executors, batch by batch and then by
+key; only one small matrix per series reaches the solver.  The forecasters use factors.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.series import KEY, business_days, lag, position
+from . import changepoints, factors
 
 Z95 = 1.959963984540054
 
@@ -70,7 +71,7 @@ def ar_paths(bars: DataFrame, steps: int, p: int = 5, time: str = "ds") -> DataF
     the psi weights of the integrated process.
     """
     rows = ar_rows(bars, p, time)
-    fitted = solve(gram(rows))
+    fitted = factors.solve(factors.factors(rows))
     last = rows.groupBy(KEY).agg(F.max_by(F.struct("close", "y", "x"), time).alias("s"))
     state = last.select(KEY, F.col("s.close").alias("close"), F.concat(F.array("s.y"), F.slice("s.x", 1, p - 1)).alias("past"))
 
@@ -90,27 +91,6 @@ def ar_paths(bars: DataFrame, steps: int, p: int = 5, time: str = "ds") -> DataF
     return state.join(fitted.select(KEY, "beta", "sigma"), KEY).mapInPandas(run, f"{KEY} string, step int, predicted double, se double")
 
 
-def design(rows: DataFrame, span: DataFrame, time: str = "ds", changepoints: int = 8, weekly: int = 3, yearly: int = 5) -> DataFrame:
-    """Add ``x``: level, trend, hinges over the first 80 % of the span, weekly and yearly waves."""
-    rows = rows.join(span, KEY)
-    t = F.try_divide(F.datediff(time, "first").cast("double"), F.greatest(F.datediff("last", "first"), F.lit(1)))
-    day = F.datediff(F.col(time), F.lit("1970-01-01").cast("date")).cast("double")
-    hinges = [F.greatest(t - 0.8 * (k + 1) / (changepoints + 1), F.lit(0.0)) for k in range(changepoints)]
-    waves = [f(2 * np.pi * k * day / period) for period, top in ((7.0, weekly), (365.25, yearly)) for k in range(1, top + 1) for f in (F.sin, F.cos)]
-    return rows.withColumn("x", F.array(F.lit(1.0), t, *hinges, *waves)).drop("first", "last")
-
-
-def trend_season(bars: DataFrame, ahead: DataFrame, time: str = "ds", tightness: float = 10.0, changepoints: int = 8) -> DataFrame:
-    """Trend with changepoints and seasons fitted on ``bars``, at the dates ``ticker, ds`` of ``ahead``: ``predicted, se``."""
-    span = bars.groupBy(KEY).agg(F.min(time).alias("first"), F.max(time).alias("last"))
-    rows = design(bars.select(KEY, time, F.col("close").alias("y")), span, time, changepoints)
-    waves = 2 * (3 + 5)
-    fitted = solve(gram(rows), [1e-9, 1e-9, *[tightness] * changepoints, *[1e-3] * waves])
-    at = design(ahead.select(KEY, time), span, time, changepoints).join(fitted.select(KEY, "beta", "sigma"), KEY)
-    dot = F.aggregate(F.zip_with("x", "beta", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    return at.select(KEY, time, dot.alias("predicted"), F.col("sigma").alias("se"))
-
-
 def with_bounds(rows: DataFrame, model: str, time: str = "ds") -> DataFrame:
     """Forecast rows with 95 % bounds."""
     return rows.select(KEY, F.lit(model).alias("model"), F.col(time).alias("forecast_date"), F.col("predicted").alias("predicted_close"), (F.col("predicted") - Z95 * F.col("se")).alias("lower_bound"), (F.col("predicted") + Z95 * F.col("se")).alias("upper_bound"))
@@ -122,13 +102,14 @@ def next_days(bars: DataFrame, n: int = 7, time: str = "ds") -> DataFrame:
     return last.select(KEY, F.posexplode(business_days("last", n)).alias("at", time)).select(KEY, time, (F.col("at") + 1).alias("step"))
 
 
-def ar_forecast(bars: DataFrame, n: int = 7, time: str = "ds") -> DataFrame:
-    rows = ar_paths(bars, n, time=time).join(next_days(bars, n, time), [KEY, "step"])
-    return with_bounds(rows, "ar5", time)
+def ar_forecast(bars: DataFrame, n: int = 7, time: str = "ds", p: int = 5) -> DataFrame:
+    rows = ar_paths(bars, n, p, time).join(next_days(bars, n, time), [KEY, "step"])
+    return with_bounds(rows, f"ar{p}", time)
 
 
 def trend_forecast(bars: DataFrame, n: int = 7, time: str = "ds") -> DataFrame:
-    return with_bounds(trend_season(bars, next_days(bars, n, time), time), "trend_season", time)
+    rows = changepoints.predict(bars, next_days(bars, n, time), time)
+    return rows.select(KEY, F.lit("trend_season").alias("model"), F.col(time).alias("forecast_date"), F.col("predicted").alias("predicted_close"), F.col("lower").alias("lower_bound"), F.col("upper").alias("upper_bound"))
 
 
 def linear_holdout(bars: DataFrame, n: int = 30, time: str = "ds") -> DataFrame:
@@ -140,5 +121,5 @@ def linear_holdout(bars: DataFrame, n: int = 30, time: str = "ds") -> DataFrame:
     before, held = marked.where(F.col("_back") > n), marked.where(F.col("_back") <= n)
     held = held.select(KEY, time, F.col("close").alias("actual"), (n + 1 - F.col("_back")).alias("step"))
     ar = ar_paths(before, n, time=time).select(KEY, "step", F.col("predicted").alias("ar5"))
-    trend = trend_season(before, held, time).select(KEY, time, F.col("predicted").alias("trend_season"))
+    trend = changepoints.predict(before, held, time).select(KEY, time, F.col("predicted").alias("trend_season"))
     return held.join(ar, [KEY, "step"]).join(trend, [KEY, time]).select(KEY, time, "actual", "ar5", "trend_season")
