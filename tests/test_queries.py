@@ -7,7 +7,7 @@ from compare import assert_same, database
 from tidemark.plans.registry import QUERIES, SQL
 
 #: Queries that fit trees; their values are tested in test_trees.py.
-TREES = {"tree_forecast_7d", "ensemble_forecast", "ensemble_strategy", "ridge_meta_weights", "feature_importance_top5", "gbt_holdout", "rf_holdout", "holdout_stack", "model_comparison"}
+TREES = {"tree_forecast_7d", "ensemble_forecast", "ensemble_strategy", "ridge_meta_weights", "feature_importance_top5", "gbt_holdout", "leafwise_holdout", "rf_holdout", "holdout_stack", "model_comparison"}
 
 
 @pytest.fixture(scope="session")

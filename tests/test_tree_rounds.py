@@ -1,20 +1,34 @@
-"""The registered tree queries ask for the production number of trees."""
+"""The registered tree queries ask for the production number of trees, at every call."""
 
 import pytest
 
 import __spark_entry__ as entry
-from tidemark.functions import lineage
-from tidemark.operators import trees
+from tidemark.operators import boosting, trees
 
+BOOSTED = ["gbt_holdout", "leafwise_holdout", "feature_importance_top5", "tree_forecast_7d", "holdout_stack", "ridge_meta_weights", "model_comparison", "ensemble_forecast", "ensemble_strategy"]
 
-@pytest.mark.parametrize("name", ["gbt_holdout", "rf_holdout", "feature_importance_top5", "tree_forecast_7d", "holdout_stack", "ridge_meta_weights", "model_comparison", "ensemble_forecast", "ensemble_strategy"])
-def test_registered_queries_fit_300_trees(spark, sf_dir, monkeypatch, name):
+
+class Asked(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", BOOSTED)
+def test_boosted_queries_fit_300_trees(spark, sf_dir, monkeypatch, name):
     asked = []
-    # nothing fitted earlier is read again
-    monkeypatch.setattr(lineage, "_kept", {k: v for k, v in lineage._kept.items() if k[1] == "matrix"})
 
-    class Asked(Exception):
-        pass
+    def fit(blocks, models):
+        asked.append({s.rounds for s in models})
+        raise Asked
+
+    monkeypatch.setattr(boosting, "fit", fit)
+    for _ in range(2):  # a second call fits again
+        with pytest.raises(Asked):
+            entry.queries()[name](spark, sf_dir)
+    assert asked == [{300}, {300}]
+
+
+def test_the_forest_has_300_trees(spark, sf_dir, monkeypatch):
+    asked = []
 
     def learner(kind, rounds=300, seed=42):
         asked.append(rounds)
@@ -22,5 +36,5 @@ def test_registered_queries_fit_300_trees(spark, sf_dir, monkeypatch, name):
 
     monkeypatch.setattr(trees, "learner", learner)
     with pytest.raises(Asked):
-        entry.queries()[name](spark, sf_dir)
+        entry.queries()["rf_holdout"](spark, sf_dir)
     assert asked == [300]

@@ -1,16 +1,17 @@
 """Tree models and all that is built on them: values, with few trees; the registered queries ask for 300 (test_tree_rounds)."""
 
 import datetime
+from dataclasses import replace
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tidemark.functions import lineage
-from tidemark.operators import ensemble, trees
-from tidemark.operators.features import FEATURES, feature_matrix, flagged_frame
+from tidemark.operators import boosting, ensemble, trees
+from tidemark.operators.features import feature_matrix, flagged_frame
+from tidemark.plans import table_queries
+from tidemark.plans.registry import QUERIES
 
 ROUNDS = 8
 
@@ -34,8 +35,7 @@ def matrix(bars):
     return feature_matrix(flagged_frame(bars), labelled=False).cache()
 
 
-@pytest.mark.parametrize("kind", ["gbt", "forest"])
-def test_holdout_learns_and_sees_no_held_out_row(matrix, kind):
+def test_forest_learns_and_sees_no_held_out_row(matrix, kind="forest"):
     rows = matrix.where("target_next_close is not null")
     got = trees.holdout(rows, kind, "p", rounds=60).toPandas()
     assert got.groupby("ticker").size().tolist() == [30, 30] and (got.ds > datetime.date(2023, 8, 1)).all()
@@ -54,45 +54,19 @@ def test_relative_features(matrix):
     assert np.isclose(flat.label, row.target_next_close / row.close - 1) and np.isclose(flat.volume, np.log1p(row.volume)) and flat.rsi_14 == row.rsi_14
 
 
-def test_forecast_rolls_forward(bars, matrix):
-    """Each step by hand: the features of the bars so far through the same model."""
-    model = trees.fit(matrix.where("target_next_close is not null"), "forest", ROUNDS)
-    got = trees.forecast(model, bars, matrix, "forest", n=3).toPandas()
-    assert got.groupby("ticker").size().tolist() == [3, 3] and np.allclose(got.upper_bound, 1.02 * got.predicted_close) and np.allclose(got.lower_bound, 0.98 * got.predicted_close)
-    spark = bars.sparkSession
-    for ticker in "AB":
-        own = bars.where(F.col("ticker") == ticker).orderBy("ds").toPandas()
-        last = matrix.where(F.col("ticker") == ticker).orderBy(F.col("ds").desc()).first().asDict()
-        for r in got[got.ticker == ticker].sort_values("forecast_date").itertuples():
-            c = own.close
-            row = dict(last, close=c.iloc[-1], ds=own.ds.iloc[-1], **{f: own[f].iloc[-1] for f in ("open", "high", "low", "volume")})
-            row |= {f"close_lag_{k}": c.iloc[-1 - k] for k in (1, 2, 3, 5, 10)} | {f"return_{k}d": c.iloc[-1] / c.iloc[-1 - k] - 1 for k in (1, 5)}
-            row |= {f"rolling_mean_{n}": c.iloc[-n:].mean() for n in (5, 10, 20)} | {f"rolling_std_{n}": c.iloc[-n:].std() for n in (5, 10, 20)}
-            row |= {"hl_range": row["high"] - row["low"], "volume_change": own.volume.iloc[-1] / own.volume.iloc[-2] - 1}
-            one = spark.createDataFrame(pd.DataFrame([{c: row[c] for c in ["ticker", "ds", "close", *FEATURES]}]))
-            want = trees.predict(model, one, "p").first().p
-            assert np.isclose(r.predicted_close, want) and r.forecast_date > row["ds"] and r.forecast_date.weekday() < 5
-            own = pd.concat([own, pd.DataFrame([dict(ticker=ticker, ds=r.forecast_date, open=want, high=want, low=want, close=want, volume=own.volume.iloc[-1])])], ignore_index=True)
-
-
-def test_importances(matrix):
-    model = trees.fit(matrix.where("target_next_close is not null"), "gbt", ROUNDS)
-    found = trees.importances(model, "gbt")
-    assert len(found) == len(FEATURES) + 1 and np.isclose(sum(v for *_, v in found), 1) and max(found, key=lambda x: x[2])[1] in ("volume", "volume_change")
-
-
 def test_registered_queries_with_few_trees(spark, sf_dir, monkeypatch):
     """Each query against its own inputs, in plain arithmetic."""
-    learner = trees.learner
-    monkeypatch.setattr(lineage, "_kept", {})
-    monkeypatch.setattr(trees, "learner", lambda kind, rounds=300, seed=42: learner(kind, ROUNDS, seed))
-    run = {name: entry.queries()[name](spark, sf_dir).toPandas() for name in ("gbt_holdout", "rf_holdout", "holdout_stack", "ridge_meta_weights", "model_comparison", "ensemble_forecast", "tree_forecast_7d", "feature_importance_top5", "ensemble_strategy")}
-    models = ["ar5", "trend_season", "gbt", "forest"]
+    monkeypatch.setattr(boosting, "KINDS", {k: replace(s, rate=0.3) for k, s in boosting.KINDS.items()})
+    configured = entry.configure(spark)
+    fits = table_queries.Fits(configured, sf_dir, held=(False, True), rounds=ROUNDS)
+    names = ("gbt_holdout", "leafwise_holdout", "holdout_stack", "ridge_meta_weights", "model_comparison", "ensemble_forecast", "tree_forecast_7d", "feature_importance_top5", "ensemble_strategy")
+    run = {name: QUERIES[name](configured, sf_dir, models=fits).toPandas() for name in names}
+    models = ["ar5", "trend_season", "gbt", "leafwise"]
     stack = run["holdout_stack"]
-    both = run["gbt_holdout"].merge(run["rf_holdout"][["ticker", "ds", "forest"]], on=["ticker", "ds"])
+    both = run["gbt_holdout"].merge(run["leafwise_holdout"][["ticker", "ds", "leafwise"]], on=["ticker", "ds"])
     assert len(both) == 150 and (both.naive == both.previous).all()
     again = stack[["ticker", "ds"]].merge(both, on=["ticker", "ds"])
-    assert len(again) == len(stack) and np.allclose(again.gbt, stack.gbt) and np.allclose(again.forest, stack.forest) and stack.groupby("ticker").size().between(20, 30).all()
+    assert len(again) == len(stack) and np.allclose(again.gbt, stack.gbt) and np.allclose(again.leafwise, stack.leafwise) and stack.groupby("ticker").size().between(20, 30).all()
     for w in run["ridge_meta_weights"].itertuples():
         own = stack[stack.ticker == w.ticker].sort_values("ds")
         x, y = own[models].to_numpy(), own.actual.to_numpy()

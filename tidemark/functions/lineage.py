@@ -38,26 +38,3 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-_kept: dict[tuple, str] = {}
-
-
-def once(spark, name: str, inputs: list[str], make) -> str:
-    """The folder that ``make(path)`` filled for these input files: made once per application, and anew when a file changes.
-
-    For what is costly and read by several queries, such as fitted models.
-    """
-    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-    seen = []
-    for path in map(jvm.Path, inputs):
-        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
-        while files.hasNext():
-            f = files.next()
-            seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    key = (spark.sparkContext.applicationId, name, tuple(sorted(seen)))
-    if key not in _kept:
-        path = scratch(spark, name)
-        make(path)
-        _kept[key] = path
-    return _kept[key]

@@ -1,16 +1,15 @@
-"""Tree models: one pooled fit over all series on relative features."""
+"""A random forest: one pooled fit over all series on relative features; boosted trees are in :mod:`boosting`."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lineage import cut
-from ..functions.series import KEY, business_days, position
-from .features import FEATURES, price_features
+from ..functions.series import KEY, position
+from .features import FEATURES
 
 PRICES = [f for f in FEATURES if f.startswith(("close_lag", "rolling_mean")) or f in ("open", "high", "low")]
 SPREADS = [f for f in FEATURES if f.startswith("rolling_std") or f in ("hl_range", "macd", "macd_signal", "macd_hist")]
@@ -25,11 +24,12 @@ def relative(rows: DataFrame) -> DataFrame:
 
 
 def learner(kind: str, rounds: int = 300, seed: int = 42):
-    """``gbt``: boosted trees of depth 4, rate 0.05, row and column sampling 0.8; ``forest``: a random forest."""
-    common = {"featuresCol": "x", "labelCol": "label", "predictionCol": "p", "seed": seed, "subsamplingRate": 0.8}
-    if kind == "gbt":
-        return GBTRegressor(maxIter=rounds, maxDepth=4, stepSize=0.05, featureSubsetStrategy="0.8", **common)
-    return RandomForestRegressor(numTrees=rounds, maxDepth=6, featureSubsetStrategy="0.5", **common)
+    """``forest``: a random forest with the library's defaults for drawing rows."""
+    if kind != "forest":
+        raise ValueError(f"unknown kind {kind!r}; boosted trees are in boosting")
+    return RandomForestRegressor(
+        numTrees=rounds, maxDepth=6, featureSubsetStrategy="0.5", featuresCol="x", labelCol="label", predictionCol="p", seed=seed, subsamplingRate=0.8
+    )
 
 
 def fit(train: DataFrame, kind: str, rounds: int = 300):
@@ -61,38 +61,3 @@ def holdout(matrix: DataFrame, kind: str, into: str, n: int = 30, rounds: int =
     model = fit(marked.where(F.col("_back") > n), kind, rounds)
     out = predict(model, marked.where(F.col("_back") <= n), into)
     return out.select(KEY, F.col("target_day").alias("ds"), F.col("close").alias("previous"), F.col("target_next_close").alias("actual"), into)
-
-
-def importances(model, kind: str):
-    """``model, feature, importance`` of a fitted pipeline."""
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    return [(kind, name, float(v)) for name, v in zip([*FEATURES, "ticker_index"], values)]
-
-
-def forecast(model, bars: DataFrame, matrix: DataFrame, name: str, n: int = 7, width: float = 0.02) -> DataFrame:
-    """Recursive forecast of the next n business days of all series at once, bounds of ``width``.
-
-    Each round predicts from the last bar, appends the prediction as a bar and
-    computes the price features again; the other features stay those of the last
-    bar.  The last 40 bars of a series are enough for all windows.
-    """
-    frozen = [f for f in FEATURES if f not in ("open", "high", "low", "volume", "hl_range", "volume_change") and not f.startswith(("close_lag", "return_", "rolling_"))]
-    tail = bars.withColumn("_back", position(time="ds", last=True)).where("_back <= 40").select(KEY, "ds", "open", "high", "low", "close", "volume")
-    other = matrix.groupBy(KEY).agg(F.max_by(F.struct(*frozen), "ds").alias("o")).select(KEY, "o.*")
-    tail, other = cut(tail), cut(other)
-    last_day = tail.groupBy(KEY).agg(F.max("ds").alias("last"))
-    for _ in range(n):
-        rows = price_features(tail).withColumn("_back", position(time="ds", last=True)).where("_back = 1")
-        scored = model.transform(relative(rows.withColumn("_close", F.col("close")).join(other, KEY)))
-        new = scored.select(KEY, business_days("ds", 1)[0].alias("ds"), (F.col("_close") * (1 + F.col("p"))).alias("p"))
-        volume = tail.groupBy(KEY).agg(F.max_by("volume", "ds").alias("volume"))
-        new = new.join(volume, KEY).select(KEY, "ds", *[F.col("p").alias(c) for c in ("open", "high", "low", "close")], "volume")
-        tail = cut(tail.unionByName(new))
-    ahead = tail.join(last_day, KEY).where(F.col("ds") > F.col("last"))
-    p = F.col("close")
-    return ahead.select(KEY, F.lit(name).alias("model"), F.col("ds").alias("forecast_date"), p.alias("predicted_close"), (p * (1 - width)).alias("lower_bound"), (p * (1 + width)).alias("upper_bound"))
-
-
-def last_rows(matrix: DataFrame, n: int) -> DataFrame:
-    window = Window.partitionBy(KEY).orderBy(F.col("ds").desc())
-    return matrix.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= n).drop("_n")

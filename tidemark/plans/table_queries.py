@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from ..functions.lineage import cut, once, scratch
+from ..functions import lineage
+from ..functions.lineage import cut, scratch
 from ..functions.series import GATES, KEY, long_enough
-from ..operators import ensemble, forecasts, linear, sentiment, serving, strategy, trees
+from ..operators import boosting, changepoints, ensemble, factors, forecasts, linear, sentiment, serving, strategy, trees
 from ..sources import keyed, landed, stored, tables
 from ..streaming import bars as streams
 from .registry import BARS, DAILY_SENTIMENT, HEADLINES, INTRADAY, query, recurrences, rounded
@@ -173,7 +175,8 @@ def ticker_keywords(spark, sf_dir):
 
 # --- models: rows are checked by the tests against closed forms ---
 
-MODELS = ["ar5", "trend_season", "gbt", "forest"]
+MODELS = ["ar5", "trend_season", "gbt", "leafwise"]
+TREES = ["gbt", "leafwise"]
 
 
 @query(f"""WITH {BARS}, d AS (SELECT ticker, ds, close - lag(close) OVER w AS y FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY ds)),
@@ -186,87 +189,173 @@ def least_squares_sums(spark, sf_dir):
     return g.select(KEY, "n", cell(5, 5, "yy"), cell(0, 5, "x1y"), cell(0, 4, "x1x5"))
 
 
+CROSS = f"""WITH {BARS}, d AS (SELECT ticker, ds, close - lag(close) OVER w AS y FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY ds)),
+x AS (SELECT *, lag(y, 1) OVER w AS x1, lag(y, 5) OVER w AS x5 FROM d WINDOW w AS (PARTITION BY ticker ORDER BY ds))
+SELECT ticker, count(*) AS n, {', '.join(f"round(sign(sum({e})) * log10(1 + abs(sum({e}))), 6) AS {a}" for e, a in (("y * y", "yy"), ("x1 * y", "x1y"), ("x1 * x5", "x1x5")))}
+FROM x WHERE x5 IS NOT NULL AND y IS NOT NULL GROUP BY 1"""
+
+
+@query(CROSS)
+def least_squares_update(spark, sf_dir):
+    """Factors of the bars before 1997 are stored and take in those since; their cross products are those of all bars."""
+    rows = linear.ar_rows(tables.daily_bars(spark, sf_dir))
+    old, new = (rows.where(f"year(ds) {sign} 1997") for sign in ("<", ">="))
+    found = factors.update(lineage.stored(factors.factors(old), "factors"), new)
+    column = lambda j: F.array(*[F.col("r")[6 * i + j] for i in range(6)])
+    dot = lambda i, j: F.aggregate(F.zip_with(column(i), column(j), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    cell = lambda i, j, name: F.round(F.signum(dot(i, j)) * F.log10(1 + F.abs(dot(i, j))), 6).alias(name)
+    return found.select(KEY, "n", cell(5, 5, "yy"), cell(0, 5, "x1y"), cell(0, 4, "x1x5"))
+
+
+@query(f"""WITH {BARS}, span AS (SELECT ticker, min(ds) AS a, max(ds) AS b, max(abs(close)) AS m FROM bars GROUP BY 1),
+x AS (SELECT ticker, m, close / m AS y, (ds - a) / greatest(b - a, 1)::double AS t FROM bars JOIN span USING (ticker)),
+h AS (SELECT *, greatest(t - 0.4, 0) AS h FROM x),
+c AS (SELECT ticker, any_value(m) AS m, count(*) AS n, avg(y) AS y, avg(t) AS t, avg(h) AS h, regr_sxx(t, t) AS tt, regr_sxx(h, h) AS hh, regr_sxy(h, t) AS th, regr_sxy(y, t) AS ty, regr_sxy(y, h) AS hy FROM h GROUP BY 1),
+p AS (SELECT *, hh - th * th / tt AS own, hy - th * ty / tt AS pull FROM c),
+w AS (SELECT *, sign(pull) * greatest(abs(pull) - 0.5, 0) / own AS hinge FROM p)
+SELECT ticker, n, round((y - (ty - th * hinge) / tt * t - hinge * h), 6) AS level, round((ty - th * hinge) / tt, 6) AS slope, round(hinge, 6) AS hinge FROM w""")
+def one_hinge_trend(spark, sf_dir):
+    """A line with one hinge under an L1 penalty, in units of the largest close: a closed form."""
+    bars = tables.daily_bars(spark, sf_dir)
+    span = bars.groupBy(KEY).agg(F.min("ds").alias("first"), F.max("ds").alias("last"), F.max(F.abs("close")).alias("top"))
+    rows = changepoints.design(bars.join(span.select(KEY, "top"), KEY).select(KEY, "ds", (F.col("close") / F.col("top")).alias("y")), span, changes=1, weekly=0, yearly=0)
+    return rounded(changepoints.lasso_of(factors.factors(rows), [0.0, 0.0, 0.5]), level=6, slope=6, hinge=6)
+
+
 @query()
 def ar5_forecast(spark, sf_dir):
     return linear.ar_forecast(long_enough(tables.daily_bars(spark, sf_dir), GATES["forecast"]))
 
 
+@query(f"""WITH {BARS}, d AS (SELECT ticker, ds, close, close - lag(close) OVER w AS y FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY ds)),
+x AS (SELECT *, lag(y) OVER w AS x FROM d WINDOW w AS (PARTITION BY ticker ORDER BY ds)),
+f AS (SELECT ticker, max(ds) AS ds, arg_max(close, ds) AS close, arg_max(y, ds) AS y, count(x) AS n, sum(x * y) / sum(x * x) AS b, sum(y * y) FILTER (x IS NOT NULL) - sum(x * y) * sum(x * y) / sum(x * x) AS rss FROM x GROUP BY 1 HAVING count(*) >= 60),
+s AS (SELECT *, unnest(range(1, 8)) AS h FROM f),
+v AS (SELECT *, sqrt(rss / (n - 1)) * sqrt(list_sum(list_transform(range(1, h + 1), lambda i: pow((1 - pow(b, i)) / (1 - b), 2)))) AS se, close + y * b * (1 - pow(b, h)) / (1 - b) AS p FROM s),
+days AS (SELECT ticker, list_filter(list_transform(range(1, 15), lambda i: CAST(ds + CAST(i AS INT) AS DATE)), lambda d: isodow(d) < 6) AS days FROM f)
+SELECT ticker, 'ar1' AS model, days[h] AS forecast_date, round(p, 4) AS predicted_close, round(p - {linear.Z95} * se, 4) AS lower_bound, round(p + {linear.Z95} * se, 4) AS upper_bound FROM v JOIN days USING (ticker)""")
+def ar1_forecast(spark, sf_dir):
+    """One lag, where coefficient, path and error have closed forms."""
+    bars = long_enough(tables.daily_bars(spark, sf_dir), GATES["forecast"])
+    return rounded(linear.ar_forecast(bars, p=1), predicted_close=4, lower_bound=4, upper_bound=4)
+
+
 @query()
 def trend_season_forecast(spark, sf_dir):
     return linear.trend_forecast(long_enough(tables.daily_bars(spark, sf_dir), GATES["forecast"]))
 
 
-def _table(spark, sf_dir, name, make):
-    """A table that several of these queries read; made once per application and input."""
-    inputs = [f"{sf_dir}/{t}.parquet" for t in ("orders", "documents")]
-    return spark.read.parquet(once(spark, name, inputs, lambda path: make().write.parquet(path)))
-
+class Fits:
+    """The tree models of one call, fitted in step when the first is asked for, and the matrix they are read from.
 
-def _matrix(spark, sf_dir):
-    return _table(spark, sf_dir, "matrix", lambda: matrix(spark, sf_dir, labelled=False))
+    ``held``: False for models that have not seen the held-out rows, True for those that have seen all.  Nothing outlives
+    the object: a query makes its own, unless the caller hands one in as ``models``.
+    """
 
+    def __init__(self, spark, sf_dir, kinds=TREES, held=(False,), rounds=300):
+        self.matrix = lineage.stored(matrix(spark, sf_dir, labelled=False), "matrix")
+        self.labelled = long_enough(self.matrix.where("target_next_close is not null"), GATES["trees"])
+        self.wanted = {(k, h): replace(boosting.KINDS[k], held=h, rounds=rounds) for k in kinds for h in held}
+        self.found = None
 
-def _labelled(rows):
-    return rows.where("target_next_close is not null")
+    def _fitted(self, held):
+        self.found = self.found or boosting.learn(self.labelled, self.wanted)
+        return {k: m for (k, h), m in self.found.items() if h == held}
 
+    def holdout(self, kinds=TREES):
+        found = self._fitted(False)
+        return boosting.holdout({k: found[k] for k in kinds}, self.labelled)
 
-def _holdout(spark, sf_dir, kind):
-    return _table(spark, sf_dir, f"holdout-{kind}", lambda: trees.holdout(long_enough(_labelled(_matrix(spark, sf_dir)), GATES["trees"]), kind, kind))
+    def whole(self):
+        """The models that have seen all rows."""
+        return self._fitted(True)
 
 
-def _model(spark, sf_dir, kind):
-    """The model fitted on all rows, saved with the library's own writer."""
-    inputs = [f"{sf_dir}/{t}.parquet" for t in ("orders", "documents")]
-    fit = lambda: trees.fit(long_enough(_labelled(_matrix(spark, sf_dir)), GATES["trees"]), kind)
-    return PipelineModel.load(once(spark, f"model-{kind}", inputs, lambda path: fit().save(path)))
+@query()
+def gbt_holdout(spark, sf_dir, models=None):
+    """Second-order boosting on the held-out bars."""
+    return (models or Fits(spark, sf_dir, ["gbt"])).holdout(["gbt"]).withColumn("naive", F.col("previous"))
 
 
 @query()
-def gbt_holdout(spark, sf_dir):
-    return _holdout(spark, sf_dir, "gbt").withColumn("naive", F.col("previous"))
+def leafwise_holdout(spark, sf_dir, models=None):
+    """Leaf-wise boosting on the held-out bars."""
+    return (models or Fits(spark, sf_dir, ["leafwise"])).holdout(["leafwise"])
 
 
 @query()
 def rf_holdout(spark, sf_dir):
-    return _holdout(spark, sf_dir, "forest")
+    """A random forest on the held-out bars."""
+    rows = lineage.stored(matrix(spark, sf_dir), "matrix")
+    return trees.holdout(long_enough(rows, GATES["trees"]), "forest", "forest")
+
+
+#: What the stumps see of a bar: columns with few values.
+STUMP = {"weekday": "dayofweek(ds)", "month": "month(ds)", "orders": "volume", "earlier": "lag(volume) OVER (PARTITION BY ticker ORDER BY ds)"}
+STUMP_SQL = BARS + """,
+x AS (SELECT dayofweek(ds) + 1 AS weekday, month(ds) AS month, volume AS orders, coalesce(lag(volume) OVER w, 0) AS earlier, lead(close) OVER w / close - 1 AS y FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY ds)),
+long AS (SELECT unnest(['weekday','month','orders','earlier']) AS feature, unnest([weekday, month, orders, earlier]) AS v, (SELECT avg(y) FROM x) - y AS g FROM x WHERE y IS NOT NULL),
+cells AS (SELECT feature, v AS edge, sum(g) AS g, count(*) AS n FROM long GROUP BY 1, 2),
+sums AS (SELECT feature, edge, sum(g) OVER w AS gl, sum(n) OVER w AS nl, sum(g) OVER (PARTITION BY feature) AS g, sum(n) OVER (PARTITION BY feature) AS n FROM cells WINDOW w AS (PARTITION BY feature ORDER BY edge)),
+kinds AS (SELECT unnest(['gbt','leafwise']) AS model, unnest([1, 0]) AS l2, unnest([1, 20]) AS least),
+gains AS (SELECT *, (gl * gl / (nl + l2) + (g - gl) * (g - gl) / (n - nl + l2) - g * g / (n + l2)) / 2 AS gain FROM sums, kinds WHERE nl >= least AND n - nl >= least),
+best AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY gain DESC) AS k FROM gains)
+SELECT model, feature, edge::double AS edge, round(gain, 4) AS gain, round(-gl / (nl + l2), 6) AS left_weight, round(-(g - gl) / (n - nl + l2), 6) AS right_weight FROM best WHERE k = 1"""
+
+
+@query(f"WITH {STUMP_SQL}")
+def boosted_stumps(spark, sf_dir):
+    """The first split of both growers over all bars: feature, edge, gain and the weights of the two leaves."""
+    bars = tables.daily_bars(spark, sf_dir)
+    ahead = "lead(close) OVER (PARTITION BY ticker ORDER BY ds) / close - 1 as y"
+    rows = bars.selectExpr("ticker", "ds", *[f"cast(coalesce({e}, 0) as double) as {c}" for c, e in STUMP.items()], ahead)
+    made = boosting.blocks(lineage.stored(rows, "stump-rows"), list(STUMP), "y", ["ticker", "ds"])
+    found = boosting.fit(made, [replace(boosting.KINDS[k], rounds=1, depth=1, rate=1.0, rows=1.0, columns=1.0) for k in TREES])
+    out = []
+    for name, tree in zip(TREES, found, strict=True):
+        f, b = int(tree.feature[0, 0]), int(tree.bin[0, 0])
+        out.append((name, made.inputs[f], float(made.edges[f][b]), float(tree.gain[0, 0]), float(tree.value[0, 1]), float(tree.value[0, 2])))
+    rows = spark.createDataFrame(out, "model string, feature string, edge double, gain double, left_weight double, right_weight double")
+    return rounded(rows, gain=4, left_weight=6, right_weight=6)
 
 
 @query()
-def feature_importance_top5(spark, sf_dir):
-    found = [x for kind in ("gbt", "forest") for x in trees.importances(_model(spark, sf_dir, kind), kind)]
-    return forecasts.top_features(spark.createDataFrame(found, "model string, feature string, importance double"))
+def feature_importance_top5(spark, sf_dir, models=None):
+    """By share of the gain of all splits."""
+    models = models or Fits(spark, sf_dir, held=(True,))
+    return forecasts.top_features(boosting.importances(models.whole(), spark))
 
 
-def _tree_forecasts(spark, sf_dir):
-    bars, rows = tables.daily_bars(spark, sf_dir), _matrix(spark, sf_dir)
-    parts = [_table(spark, sf_dir, f"forecast-{kind}", lambda: trees.forecast(_model(spark, sf_dir, kind), bars, rows, kind)) for kind in ("gbt", "forest")]
-    return parts[0].unionByName(parts[1])
+def _tree_forecasts(spark, sf_dir, models):
+    return boosting.forecast(models.whole(), tables.daily_bars(spark, sf_dir), models.matrix)
 
 
 @query()
-def tree_forecast_7d(spark, sf_dir):
-    return _tree_forecasts(spark, sf_dir)
+def tree_forecast_7d(spark, sf_dir, models=None):
+    return _tree_forecasts(spark, sf_dir, models or Fits(spark, sf_dir, held=(True,)))
 
 
-def _stack(spark, sf_dir):
+def _stack(spark, sf_dir, models=None):
+    """The held-out predictions of all models, stored as they are read several times."""
+    models = models or Fits(spark, sf_dir)
     bars = long_enough(tables.daily_bars(spark, sf_dir), GATES["stack"])
-    return _table(spark, sf_dir, "stack", lambda: ensemble.stack([*[_holdout(spark, sf_dir, kind) for kind in ("gbt", "forest")], linear.linear_holdout(bars)]))
+    return lineage.stored(ensemble.stack([models.holdout(), linear.linear_holdout(bars)]), "stack")
 
 
 @query()
-def holdout_stack(spark, sf_dir):
-    return _stack(spark, sf_dir)
+def holdout_stack(spark, sf_dir, models=None):
+    return _stack(spark, sf_dir, models)
 
 
 @query()
-def ridge_meta_weights(spark, sf_dir):
-    return ensemble.meta_weights(_stack(spark, sf_dir), MODELS)
+def ridge_meta_weights(spark, sf_dir, models=None):
+    return ensemble.meta_weights(_stack(spark, sf_dir, models), MODELS)
 
 
 @query()
-def model_comparison(spark, sf_dir):
+def model_comparison(spark, sf_dir, models=None):
     """Errors of all models and the ensemble; horizon: steps ahead of the forecast that is scored."""
-    stacked = _stack(spark, sf_dir)
+    stacked = _stack(spark, sf_dir, models)
     wide = ensemble.combine(stacked, ensemble.meta_weights(stacked, MODELS), MODELS)
     long = wide.unpivot([KEY, "ds", "actual"], [*MODELS, "ensemble"], "model", "predicted")
     scores = forecasts.comparison(forecasts.errors(long, [KEY, "model"]))
@@ -275,17 +364,18 @@ def model_comparison(spark, sf_dir):
 
 
 @query()
-def ensemble_forecast(spark, sf_dir):
+def ensemble_forecast(spark, sf_dir, models=None):
+    models = models or Fits(spark, sf_dir, held=(False, True))
     bars = tables.daily_bars(spark, sf_dir)
-    weights = ensemble.meta_weights(_stack(spark, sf_dir), MODELS)
-    base = _tree_forecasts(spark, sf_dir).unionByName(linear.ar_forecast(bars)).unionByName(linear.trend_forecast(bars))
+    weights = ensemble.meta_weights(_stack(spark, sf_dir, models), MODELS)
+    base = _tree_forecasts(spark, sf_dir, models).unionByName(linear.ar_forecast(bars)).unionByName(linear.trend_forecast(bars))
     return ensemble.forecast(base, weights, MODELS)
 
 
 @query()
-def ensemble_strategy(spark, sf_dir):
+def ensemble_strategy(spark, sf_dir, models=None):
     """Strategy metrics of trading on every model and on the ensemble over the held-out bars."""
-    stacked = _stack(spark, sf_dir)
+    stacked = _stack(spark, sf_dir, models)
     wide = ensemble.combine(stacked, ensemble.meta_weights(stacked, MODELS), MODELS)
     return serving.ranked(strategy.metrics(wide.unpivot([KEY, "ds", "actual", "previous"], [*MODELS, "ensemble"], "model", "predicted")), "alpha")
 
@@ -349,16 +439,29 @@ FROM ind WINDOW z AS (PARTITION BY ticker ORDER BY ts ROWS 29 PRECEDING))
 SELECT ticker, ts, close, round(rsi_14, 6) AS rsi_14, round(macd, 8) AS macd, round(macd_signal, 8) AS macd_signal, round(macd_hist, 8) AS macd_hist, round(bb_middle, 8) AS bb_middle,
 round(bb_upper, 6) AS bb_upper, round(bb_lower, 6) AS bb_lower, round(zscore, 6) AS zscore, CASE WHEN zscore >= 2.0 THEN 'HIGH' WHEN zscore <= -2.0 THEN 'LOW' END AS flag
 FROM ind JOIN zs USING (ticker, ts)""")
-def stream_indicators(spark, sf_dir):
-    """All bars land at random in one batch, with a closing row that takes the watermark past the last of them."""
-    bars = tables.intraday_bars(spark, sf_dir).select(KEY, "ts", "close")
-    path, _ = _landed(bars.unionByName(streams.closing(bars)), "bars")
+def stream_indicators(spark, sf_dir, batches=8):
+    """Bars land up to four days late, in ``batches`` micro-batches, so every batch brings bars of days that earlier ones have begun.
+
+    The stream is stopped after half of them and started again from its checkpoint.  A closing row takes the watermark past the last bar.
+    """
+    bars = lineage.stored(tables.intraday_bars(spark, sf_dir).select(KEY, "ts", "close"), "bars")
+    landing = F.col("ts") + F.make_dt_interval(secs=F.pmod(F.xxhash64(KEY, "ts"), F.lit(4 * 86400)).cast("decimal(18,6)"))
+    first, last = bars.agg(F.min("ts"), F.max("ts") + F.expr("interval 4 days")).first()
+    rows = bars.withColumn("_landing", landing)
+    path, target = scratch(spark, "bars"), scratch(spark, "indicators")
+    files = bars.rdd.getNumPartitions()
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        stream = streams.indicators(streams.read(spark, path, bars.schema, files=1 << 20), late="1 hour")
-        rows = streams.run_available(stream, scratch(spark, "indicators"), [KEY, "ts"], "append")
+        for half in range(2):
+            for k in range(half * batches // 2, (half + 1) * batches // 2):
+                edges = [F.lit(first + (last - first) * i / batches) for i in (k, k + 1)] if first else [F.lit(None)] * 2
+                part = rows.where((F.col("_landing") >= edges[0]) & ((F.col("_landing") < edges[1]) | F.lit(k + 1 == batches))).drop("_landing")
+                part = part.unionByName(streams.closing(bars, after="7 days")) if k + 1 == batches else part
+                part.repartition(files).write.mode("append").parquet(path)
+            stream = streams.indicators(streams.read(spark, path, bars.schema, files=files))
+            found = streams.run_available(stream, target, [KEY, "ts"], "append")
     finally:
         spark.conf.set(provider, before)
-    return rounded(rows, rsi_14=6, macd=8, macd_signal=8, macd_hist=8, bb_middle=8, bb_upper=6, bb_lower=6, zscore=6)
+    return rounded(found, rsi_14=6, macd=8, macd_signal=8, macd_hist=8, bb_middle=8, bb_upper=6, bb_lower=6, zscore=6)
