@@ -109,7 +109,7 @@ def test_leaves_and_gain_have_closed_forms(spark, table):
 
 def test_same_trees_however_rows_are_dealt(spark, table, monkeypatch):
     whole = boosting.fit(dealt(spark, table, 1), [SETTINGS["leaves"]])[0]
-    monkeypatch.setattr(boosting, "BLOCK", 37)
+    monkeypatch.setattr(boosting, "BLOCK", 37)  # several blocks, so that every pass is a job
     made = dealt(spark, table.sample(frac=1, random_state=4), 7)
     assert made.frame.count() > 7
     again = boosting.fit(made, [SETTINGS["leaves"], SETTINGS["few"]])[0]

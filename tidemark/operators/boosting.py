@@ -13,7 +13,7 @@ only the smaller is counted, the other is their parent minus it.
     them.  A leaf that is not among as many best ones as may still be split can never be reached, so one pass counts for all
     that can, and the order is settled on the driver.
 
-Gradients are whole numbers (multiples of ``2 ** -36`` of the largest label), so sums do not depend
+Gradients are whole numbers (multiples of some ``2 ** -35`` of the largest label), so sums do not depend
 on how rows are dealt out: the same rows give the same trees.  Rows and features are drawn per tree, rows by a
 hash of their key.  Predictions live in the Python workers only as a memo: a task that does not find them
 computes them from the trees that come with the pass, so a lost executor costs time alone.
@@ -26,7 +26,7 @@ from __future__ import annotations
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -277,32 +277,54 @@ def best_split(hist: np.ndarray, columns: np.ndarray, s: Settings, scale: float)
 
 
 def fit(blocks: Blocks, models: list[Settings], bins: int = BINS) -> list[Trees]:
-    """Grow all models in step."""
-    parts = blocks.parts().cache()  # lost parts are read again from the stored blocks
-    spark, run = blocks.frame.sparkSession, uuid.uuid4().hex
-    width = len(blocks.inputs)
-
-    def total(f, zero):
-        return parts.mapPartitions(lambda it: [f(it)]).treeReduce(lambda a, b: a + b, depth=2) if blocks.rows else zero
-
-    def labels(it):
-        out = np.zeros((2, 2))
-        for _, _, y, _, held in it:
-            for k in (0, 1):
-                out[k] += (y[held == k].sum(), (held == k).sum())
-        return out
-
-    sums = total(labels, np.zeros((2, 2)))
-    # the largest label that each model may see
-    wide = parts.map(lambda b: [float(np.abs(b[2][b[4] <= k]).max(initial=0.0)) for k in (0, 1)]).fold([0.0, 0.0], lambda a, b: [max(p) for p in zip(a, b)]) if blocks.rows else [0.0, 0.0]
+    """Grow all models in step.
 
-    def start(s: Settings) -> Trees:
-        y, n = sums[0] + (sums[1] if s.held else 0)
+    A pass is a job over all blocks.  Rows that fill no more than one block have nothing to be added up across tasks, so all
+    passes then run beside that block, by the same code and to the same trees.
+    """
+    run, names = uuid.uuid4().hex, blocks.inputs
+    if not blocks.rows:
+        fitted = _grown(lambda f: f(iter(())), len(names), models, bins, run)
+    elif blocks.rows <= BLOCK:
+
+        def beside(it) -> list[list[Trees]]:
+            held = list(it)
+            return [_grown(lambda f: f(iter(held)), len(names), models, bins, run)]
+
+        fitted = blocks.parts().coalesce(1).mapPartitions(beside).collect()[0]
+    else:
+        parts = blocks.parts().cache()  # lost parts are read again from the stored blocks
+        fitted = _grown(lambda f: parts.mapPartitions(lambda it: [f(it)]).treeReduce(lambda a, b: a + b, depth=2), len(names), models, bins, run)
+        parts.unpersist()
+    return [replace(t, edges=blocks.edges, inputs=names) for t in fitted]
+
+
+def _sums(it) -> np.ndarray:
+    """Sum of labels, rows, and largest label as a count of powers of two, of rows not held out and of held-out ones."""
+    out = np.zeros((2, 2 + 4096))
+    for _, _, y, _, held in it:
+        for k in (0, 1):
+            mine = y[held == k]
+            out[k, :2] += (mine.sum(), len(mine))
+            if top := np.abs(mine).max(initial=0.0):
+                out[k, 2 + 2048 + int(np.frexp(top)[1])] += 1
+    return out
+
+
+def _grown(total, width: int, models: list[Settings], bins: int, run: str) -> list[Trees]:
+    """The growing itself; ``total`` applies a function to every part of the blocks and adds up what it gives."""
+    sums = total(_sums)
+
+    def start(s: Settings) -> tuple[Trees, float]:
+        own = sums[0] + (sums[1] if s.held else 0)
         most = 2 * min(s.leaves or 1 << s.depth, 1 << s.depth) - 1
         flat = lambda d, v=0: np.full((s.rounds, most), v, d)
-        return Trees(float(y / n) if n else 0.0, blocks.edges, flat(np.int16, -1), flat(np.uint8), flat(np.int32), flat(float), flat(float), blocks.inputs)
+        trees = Trees(float(own[0] / own[1]) if own[1] else 0.0, [], flat(np.int16, -1), flat(np.uint8), flat(np.int32), flat(float), flat(float))
+        # a power of two, so that 2 ** 16 gradients of a block add up without rounding
+        top = np.flatnonzero(own[2:])
+        return trees, 2.0 ** (35 - int(top[-1] - 2048 if len(top) else 0))
 
-    fitted, scale = [start(s) for s in models], [2.0**36 / (wide[s.held] or 1.0) for s in models]
+    fitted, scale = zip(*map(start, models), strict=True) if models else ((), ())
 
     def histograms(asks: list[tuple]) -> np.ndarray:
         def count(it) -> np.ndarray:
@@ -324,7 +346,7 @@ def fit(blocks: Blocks, models: list[Settings], bins: int = BINS) -> list[Trees]
                     out[:, 1] += np.bincount(cell, minlength=size)
             return np.concatenate(outs)
 
-        return total(count, np.zeros((sum(len(a[3]) for a in asks) * width * bins, 2), np.int64))
+        return total(count)
 
     for tree in range(max((s.rounds for s in models), default=0)):
         growing = []
@@ -344,8 +366,7 @@ def fit(blocks: Blocks, models: list[Settings], bins: int = BINS) -> list[Trees]
             t, k = fitted[m], len(g.feature)
             for into, values in ((t.feature, g.feature), (t.bin, g.bin), (t.left, g.left), (t.value, g.value), (t.gain, g.gain)):
                 into[tree, :k] = values
-    parts.unpersist()
-    return fitted
+    return list(fitted)
 
 
 def _grow(g: _Growing, found: np.ndarray) -> None:
