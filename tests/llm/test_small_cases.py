@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import arrow_files, chat, contamination, flat, html_text, line_quality, ngram_rules, packing, shards, simhash, substrings
 from tidemark.llm.tokens import TextEncoder, public_path
@@ -284,16 +285,53 @@ def test_ngram_rules(spark, sf_dir, monkeypatch, place_bits):
     data = ODD + [(20, "a b c a b c a b c d"), (21, "x x x x x\nx\n\nx\n #<>|")] + [(i + 100, t) for i, t in docs.itertuples(index=False)][:80]
     df = rows(spark, data)
     trusted = spark.createDataFrame([(i,) for i in range(100, 140)] + [(100,), (None,)], "doc_id long")
-    got = ngram_rules.judge(df, trusted, 42, buckets=512, threshold=-0.05).collect()
+    got = ngram_rules.judge(df, trusted, 42, buckets=512, at=-0.05).collect()
     weight = ngram_rules.weights(ngram_rules.bucket_counts(df, trusted, 42, 512), 512)
     want = Counter()
     for i, t in data:
         base = brute_base(t)
         failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
-        r = brute_ratio(t, weight, 512)
+        half = xxhash.xxh64_intdigest(b"fold", xxhash.xxh64_intdigest((t or "").encode(), 42)) & 1
+        r = brute_ratio(t, weight[half], 512)
         want[(i, *base, failed, not failed and r >= -0.05)] += 1
     assert Counter(tuple(r[c] for c in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")) for r in got) == want
     assert ngram_rules.judge(rows(spark, []), trusted, 42, buckets=64).count() == 0
+    # the other fold's trusted texts are all that a weight knows
+    kept = Counter()
+    for i, t in data:
+        if i in set(range(100, 140)):
+            words = [w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w]
+            half = xxhash.xxh64_intdigest(b"fold", xxhash.xxh64_intdigest((t or "").encode(), 42)) & 1
+            kept[half] += max(0, 2 * len(words) - 1)
+    counts = ngram_rules.bucket_counts(df, trusted, 42, 512).agg({"target_0": "sum", "target_1": "sum"}).first()
+    assert {counts["sum(target_0)"], counts["sum(target_1)"]} == {kept[0], kept[1]} and counts["sum(target_0)"] == kept[0]
+
+
+def test_ngram_verdict_can_be_filtered_and_ignores_the_own_label(spark, sf_dir):
+
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    good = labels.where("quality = 1")
+    judged = ngram_rules.judge(docs, good, good.count())
+    began = time.perf_counter()
+    whole = judged.collect()
+    took = time.perf_counter() - began
+    began = time.perf_counter()
+    assert judged.where("kept and not base_failed").count() == sum(r.kept for r in whole)
+    assert time.perf_counter() - began < 2 * took + 5
+    # a row's ratio is the same whether the row itself is trusted or not
+    one = good.orderBy("doc_id").first().doc_id
+    with_, without = (ngram_rules.judge(docs, t, 1, buckets=4096, at=0.0).where(F.col("doc_id") == one).first().ratio for t in (good, good.where(F.col("doc_id") != one)))
+    assert with_ == without
+
+
+def test_ngram_threshold_loses_its_share(spark):
+    texts = spark.createDataFrame([(f"w{i} w{i + 1} w{i % 7}",) for i in range(300)] + [(None,), ("",)], "text string")
+    weight = ngram_rules.weights(ngram_rules.bucket_counts(texts.selectExpr("1 as doc_id", "text"), texts.selectExpr("1 as doc_id").limit(1), 1, 64), 64)
+    ratios = sorted(r[0] for r in ngram_rules.with_words(texts.selectExpr("1 as doc_id", "text")).withColumn("fold", ngram_rules.fold()).select(ngram_rules.ratio(weight)).where("size(words) > 0").collect())
+    for lost in (0.0, 0.1, 0.5):
+        at = ngram_rules.threshold(texts, weight, lost)
+        assert at <= ratios[int(lost * 300)] < at + 0.001 + 1e-12
+    assert ngram_rules.threshold(texts.limit(0), weight) == 0.0
 
 
 def test_chat(spark):
@@ -427,7 +465,7 @@ def test_ngram_threshold_on_rows_left_out(spark):
     trusted = labels.where(~part & (line_quality.F.col("quality") == 1))
     got = ngram_rules.judge(docs.repartition(8), trusted, trusted.count()).join(labels.where(part), "doc_id").toPandas()
     good, bad = got[got.quality == 1], got[got.quality == 0]
-    assert len(good) > 500 and (good.ratio >= ngram_rules.THRESHOLD).mean() > 0.98 and bad.kept.mean() < 0.02
+    assert len(good) > 500 and good[~good.base_failed].kept.mean() > 0.98 and bad.kept.mean() < 0.02
 
 
 def test_line_features_agree_with_single_rows():

@@ -1,17 +1,23 @@
 """Quality rules: base counts and a hashed n-gram log-likelihood ratio, in DataFrame expressions only.
 
 Every unigram and bigram of a text falls into one of ``buckets`` hash buckets.
-Two multinomials over the buckets are counted on all rows: of the raw corpus,
+Multinomials over the buckets are counted on all rows: of the raw corpus,
 and of the trusted target rows.  A text's ratio is the mean over its n-grams of
 ``ln p_target - ln p_raw`` (add-one smoothing), so it does not depend on length;
-the text is kept if the ratio reaches ``threshold`` and no base rule fails.
+the text is kept if the ratio reaches the threshold and no base rule fails.
 
-The bucket weights are one array of fixed length in the plan.  Everything about
-one text is computed inside its row; only bucket counts are shuffled.
+A text must not be judged by its own words.  So texts fall into two folds by a hash, equal texts into one,
+and a text is judged by the trusted rows of the other fold; whether it is
+trusted itself changes nothing.  The threshold is a rule, not a number: that under which ``LOST`` of the
+trusted rows fall, judged in this way, to a thousandth.
+
+The bucket weights are two arrays of fixed length in the plan.  Everything about
+one text is computed inside its row; only bucket counts are shuffled.  The row comes out of a
+generator, so a filter on the verdict works on what has been computed and is not pushed into it.
 
 Rows: a null text has no words, like an empty one, and fails the base rules;
 repeated rows are judged alike; a null ``doc_id`` is never trusted; other columns
-are not read; an empty corpus or target leaves all ratios defined (smoothing).
+are not read; an empty corpus or target leaves all ratios defined (smoothing), and without trusted rows the threshold is 0.
 """
 
 from __future__ import annotations
@@ -24,7 +30,9 @@ from .common import small, table
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 #: Parameters of the registered query.
-BUCKETS, THRESHOLD = 1 << 16, -0.1
+BUCKETS, LOST = 1 << 16, 0.01
+#: Ratios are told apart to this many parts of 1 when the threshold is chosen.
+STEPS = 1000
 #: Bits of a window's place in a text beside its hash.
 PLACE_BITS = 20
 
@@ -41,34 +49,47 @@ def with_words(docs: DataFrame) -> DataFrame:
     return docs.withColumn("words", F.array_remove(F.split("text", SPACE), ""))
 
 
-def _gram_counts(docs: DataFrame, buckets: int, into: str) -> DataFrame:
-    """``bucket`` and the number of unigrams and bigrams of all texts in it."""
-    rows = docs.select(F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE), "").alias("words"))
-    rows = rows.select("words", F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("next"))
-    pairs = rows.select(F.explode(F.arrays_zip("words", "next")).alias("p"))
+def fold(text: str = "text") -> Column:
+    """0 or 1 by a hash of the text."""
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit("")), F.lit("fold")), F.lit(2)).cast("int")
+
+
+def _gram_counts(docs: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, fold`` and the number ``n`` of unigrams and bigrams of all texts of a fold in it."""
+    rows = docs.select(fold().alias("fold"), F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE), "").alias("words"))
+    rows = rows.select("fold", "words", F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("next"))
+    pairs = rows.select("fold", F.explode(F.arrays_zip("words", "next")).alias("p"))
     uni = F.pmod(F.xxhash64("p.words"), F.lit(buckets)).cast("int")
     bi = F.pmod(F.xxhash64("p.words", "p.next"), F.lit(buckets)).cast("int")
     both = F.when(F.col("p.next").isNull(), F.array(uni)).otherwise(F.array(uni, bi))
-    return pairs.select(F.explode(both).alias("bucket")).groupBy("bucket").agg(F.count("*").alias(into))
+    return pairs.select("fold", F.explode(both).alias("bucket")).groupBy("bucket", "fold").agg(F.count("*").alias("n"))
 
 
-def bucket_counts(docs: DataFrame, trusted: DataFrame, trusted_rows: int, buckets: int = BUCKETS) -> DataFrame:
-    """``bucket, raw, target``: n-gram counts over all rows, without a join, and over rows whose ``doc_id`` is in ``trusted``."""
+def trusted_texts(docs: DataFrame, trusted: DataFrame, trusted_rows: int) -> DataFrame:
+    """``text`` of the rows whose ``doc_id`` is in ``trusted``."""
     marks = small(trusted.select("doc_id").where("doc_id is not null").distinct(), trusted_rows, 32)
-    raw = _gram_counts(docs.select("text"), buckets, "raw")
-    target = _gram_counts(docs.select("doc_id", "text").where("doc_id is not null").join(marks, "doc_id", "left_semi"), buckets, "target")
-    return raw.join(target, "bucket", "left").select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    return rows.join(marks, "doc_id", "left_semi").select("text")
 
 
-def weights(counts: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """The log-ratio of every bucket; ``counts`` has at most ``buckets`` rows, whatever the corpus."""
+def bucket_counts(docs: DataFrame, trusted: DataFrame, trusted_rows: int, buckets: int = BUCKETS) -> DataFrame:
+    """``bucket, raw, target_0, target_1``: n-gram counts over all rows, without a join, and over the trusted rows of each fold."""
+    raw = _gram_counts(docs.select(F.col("text").cast("string").alias("text")), buckets).select("bucket", "n", F.lit(0).alias("t0"), F.lit(0).alias("t1"))
+    target = _gram_counts(trusted_texts(docs, trusted, trusted_rows), buckets)
+    target = target.select("bucket", F.lit(0).alias("n"), F.when(F.col("fold") == 0, F.col("n")).otherwise(0).alias("t0"), F.when(F.col("fold") == 1, F.col("n")).otherwise(0).alias("t1"))
+    both = raw.unionByName(target).groupBy("bucket")
+    return both.agg(F.sum("n").alias("raw"), F.sum("t0").alias("target_0"), F.sum("t1").alias("target_1"))
+
+
+def weights(counts: DataFrame, buckets: int = BUCKETS) -> tuple[list[float], list[float]]:
+    """The log-ratio of every bucket for texts of fold 0 and of fold 1, each from the other's trusted rows; ``counts`` has at most ``buckets`` rows."""
     from math import log
 
-    rows = {r.bucket: (r.raw, r.target) for r in counts.collect()}
-    raw = sum(r for r, _ in rows.values()) + buckets
-    target = sum(t for _, t in rows.values()) + buckets
-    none = (0, 0)
-    return [log((rows.get(b, none)[1] + 1) / target) - log((rows.get(b, none)[0] + 1) / raw) for b in range(buckets)]
+    rows = {r.bucket: (r.raw, r.target_1, r.target_0) for r in counts.collect()}
+    all_raw, *targets = (sum(r[i] for r in rows.values()) + buckets for i in range(3))
+    none = (0, 0, 0)
+    of = lambda i: [log((rows.get(b, none)[i] + 1) / targets[i - 1]) - log((rows.get(b, none)[0] + 1) / all_raw) for b in range(buckets)]
+    return of(1), of(2)
 
 
 def base_rules(words: DataFrame) -> DataFrame:
@@ -106,10 +127,10 @@ def base_rules(words: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", failed)
 
 
-def ratio(weight: list[float]) -> Column:
-    """Mean log-ratio over the n-grams of ``words``; null without words."""
-    held = F.split(F.lit(",".join(map(repr, weight))), ",").cast("array<double>")
-    n = len(weight)
+def ratio(weight: tuple[list[float], list[float]]) -> Column:
+    """Mean log-ratio over the n-grams of ``words`` by the weights of ``fold``; null without words."""
+    first, second = (F.split(F.lit(",".join(map(repr, w))), ",").cast("array<double>") for w in weight)
+    held, n = F.when(F.col("fold") == 0, first).otherwise(second), len(weight[0])
 
     def add(total: Column, i: Column) -> Column:
         word, following = F.get("words", i), F.get("words", i + 1)
@@ -121,11 +142,28 @@ def ratio(weight: list[float]) -> Column:
     return F.when(F.size("words") > 0, total / (2 * F.size("words") - 1))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, trusted_rows: int, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """Base counts, ``ratio`` and ``kept`` of every row of ``docs``."""
+def threshold(texts: DataFrame, weight: tuple[list[float], list[float]], lost: float = LOST) -> float:
+    """The ratio under which a share ``lost`` of the texts with words falls, rounded down; 0 if there is none."""
+    words = with_words(texts.select(F.lit(0).alias("doc_id"), "text")).withColumn("fold", fold())
+    ratios = words.select(F.inline(F.array(F.struct(ratio(weight).alias("ratio")))))
+    scored = ratios.where("ratio is not null").select(F.floor(F.col("ratio") * STEPS).alias("step"))
+    # ratios lie between the logarithms of the counts: some ten thousand steps at most
+    steps = sorted((r.step, r.n) for r in scored.groupBy("step").agg(F.count("*").alias("n")).collect())
+    left = lost * sum(n for _, n in steps)
+    for step, n in steps:
+        left -= n
+        if left < 0:
+            return step / STEPS
+    return 0.0
+
+
+def judge(docs: DataFrame, trusted: DataFrame, trusted_rows: int, buckets: int = BUCKETS, lost: float = LOST, at: float | None = None) -> DataFrame:
+    """Base counts, ``ratio`` and ``kept`` of every row of ``docs``; ``at`` sets the threshold by hand."""
     weight = weights(bucket_counts(docs, trusted, trusted_rows, buckets), buckets)
-    judged = base_rules(with_words(docs)).withColumn("ratio", ratio(weight)).drop("words", "text")
-    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("ratio") >= threshold, F.lit(False)))
+    at = threshold(trusted_texts(docs, trusted, trusted_rows), weight, lost) if at is None else at
+    judged = base_rules(with_words(docs)).withColumn("fold", fold()).withColumn("ratio", ratio(weight)).drop("words", "text", "fold")
+    judged = judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("ratio") >= at, F.lit(False)))
+    return judged.select(F.inline(F.array(F.struct(*judged.columns))))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
