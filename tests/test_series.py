@@ -136,7 +136,7 @@ def test_landed_payloads(spark):
 
 def test_sentiment(spark):
     df = spark.createDataFrame([("A", "s", "the for was thing"), ("A", "s", "that from"), ("B", "s", ""), ("B", "s", None), ("B", "s", "zzz")], "ticker string, source string, headline string")
-    rows = [(r.sentiment, r.score_pos, r.score_neg, r.compound) for r in sentiment.score(df).collect()]
+    rows = [(r.sentiment, r.score_pos, r.score_neg, r.compound) for r in sentiment.by_lexicon(df).collect()]
     assert rows[:2] == [("positive", 0.75, 0.0, 0.75), ("negative", 0.0, 1.0, -1.0)] and rows[2] == ("neutral", 0.33, 0.33, 0.0) and rows[4][0] == "neutral"
     calls = sentiment.score(df.union(df), scorer=lambda texts: [(0.2, 0.7, 0.1) if t == "zzz" else None for t in texts])
     got = calls.collect()

@@ -38,15 +38,18 @@ def labelled(scored: DataFrame) -> DataFrame:
     return rows.withColumn("sentiment", label).withColumns({c: F.round(c, 4) for c in SCORES})
 
 
-def score(headlines: DataFrame, scorer: Callable[[list[str]], Iterable[tuple[float, float, float]]] | None = None, clip: int | None = None) -> DataFrame:
-    """Score headlines by the lexicon inside the plan, or by a batch function.
+def by_lexicon(headlines: DataFrame) -> DataFrame:
+    """Scores by the lexicon inside the plan."""
+    return labelled(lexicon_scores(headlines))
 
-    A batch function runs once per distinct headline, on Arrow batches, and its scores
-    are joined back; null scores give the fallback.  ``clip`` is for a model with an input
+
+def score(headlines: DataFrame, scorer: Callable[[list[str]], Iterable[tuple[float, float, float]]], clip: int | None = None) -> DataFrame:
+    """Score headlines by a batch function; :mod:`headline_model` scores by a trained one, :func:`by_lexicon` by words.
+
+    The function runs once per distinct headline, on Arrow batches, and its scores
+    are joined back by a 64-bit hash beside the text; null scores give the fallback.  ``clip`` is for a model with an input
     limit: it sees that many characters; by default whole texts are scored.
     """
-    if scorer is None:
-        return labelled(lexicon_scores(headlines))
 
     def run(batches: Iterator) -> Iterator:
         for frame in batches:
@@ -55,16 +58,16 @@ def score(headlines: DataFrame, scorer: Callable[[list[str]], Iterable[tuple[flo
                 frame[c] = [float("nan") if g is None else float(g[k]) for g in got]
             yield frame
 
-    clipped = headlines.withColumn("_clip", F.left("headline", F.lit(clip)) if clip else F.col("headline"))
-    texts = clipped.select("_clip").where("_clip is not null").distinct()
-    scores = texts.mapInPandas(run, "_clip string, score_pos double, score_neg double, score_neu double")
-    joined = clipped.join(scores, "_clip", "left").drop("_clip")
+    clipped = headlines.withColumn("_clip", F.left("headline", F.lit(clip)) if clip else F.col("headline")).withColumn("_hash", F.xxhash64("_clip"))
+    texts = clipped.select("_hash", "_clip").where("_clip is not null").dropDuplicates(["_hash", "_clip"])
+    scores = texts.mapInPandas(run, "_hash long, _clip string, score_pos double, score_neg double, score_neu double")
+    joined = clipped.join(scores, ["_hash", "_clip"], "left").drop("_hash", "_clip")
     return labelled(joined.withColumns({c: F.coalesce(F.nanvl(c, F.lit(None)), F.lit(FALLBACK[c])) for c in SCORES}))
 
 
-def score_new(stored: DataFrame, headlines: DataFrame, **how) -> DataFrame:
-    """Scores of the headlines that are not stored yet; a headline without a date is known by ticker and text."""
-    return score(new_rows(stored, headlines, ["ticker", "headline", "published_at"], ["source"]), **how)
+def score_new(stored: DataFrame, headlines: DataFrame, how: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Scores, by ``how``, of the headlines that are not stored yet; a headline without a date is known by ticker and text."""
+    return how(new_rows(stored, headlines, ["ticker", "headline", "published_at"], ["source"]))
 
 
 def daily(scored: DataFrame) -> DataFrame:

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import functions as F
 
+from ..functions import runs
 from ..functions.lineage import scratch
 from ..functions.long_series import numbered, rolling_blocks
 from ..functions.recurrence import ewm
 from ..functions.series import KEY
-from ..operators import anomalies, forecasts, sentiment, serving
+from ..operators import anomalies, forecasts, headline_model, sentiment, serving
 from ..sources import keyed, tables
+from ..streaming import bars as streams
 from .registry import BARS, FLAGS, FORECASTS, SCORED, ZFLAGS, query, rounded
 
 
@@ -32,7 +35,7 @@ def forecast_csv_artifacts(spark, sf_dir):
 SELECT ticker, count(*) FILTER (sentiment = 'positive') AS positive, count(*) FILTER (sentiment = 'negative') AS negative, count(*) FILTER (sentiment = 'neutral') AS neutral,
 round(avg(compound), 8) AS avg_compound FROM k WHERE back <= 20 GROUP BY 1""")
 def sentiment_shown_counts(spark, sf_dir):
-    shown = serving.latest(sentiment.score(tables.headlines(spark, sf_dir)), 20, "published_at", ["headline", "source"])
+    shown = serving.latest(sentiment.by_lexicon(tables.headlines(spark, sf_dir)), 20, "published_at", ["headline", "source"])
     count = lambda name: F.count_if(F.col("sentiment") == name).alias(name)
     return rounded(shown.groupBy(KEY).agg(count("positive"), count("negative"), count("neutral"), F.avg("compound").alias("avg_compound")), avg_compound=8)
 
@@ -56,10 +59,58 @@ def headline_scores_batch(spark, sf_dir):
 @query(f"""WITH {BARS}, {FLAGS} SELECT 'bars' AS stage, count(*) AS n_rows FROM bars UNION ALL SELECT 'zscore', count(*) FROM zflags UNION ALL SELECT 'iqr', count(*) FROM qflags
 UNION ALL SELECT 'merged', count(*) FROM flags""")
 def stage_counts(spark, sf_dir):
-    """Rows of each stage of the anomaly run, counted in one pass over its result."""
+    """Rows of each stage of the anomaly run, observed while its flags are written; nothing is read again to count."""
     rows = anomalies.all_flags(tables.daily_bars(spark, sf_dir), time="ds")
-    counts = {"bars": F.count("*"), "zscore": F.count_if("by_z"), "iqr": F.count_if("by_fence"), "merged": F.count("flag")}
-    return rows.agg(*[n.alias(c) for c, n in counts.items()]).unpivot([], list(counts), "stage", "n_rows")
+    counted = runs.Counted(rows, "anomalies", bars=F.count(F.lit(1)), zscore=F.count_if("by_z"), iqr=F.count_if("by_fence"), merged=F.count("flag"))
+    counted.frame.where("flag is not null").write.parquet(scratch(spark, "flags"))
+    return counted.rows().select(F.col("name").alias("stage"), F.col("value").cast("long").alias("n_rows"))
+
+
+@query("SELECT 'bars' AS name, count(*)::double AS value FROM events UNION ALL SELECT 'volume', sum(event_id % 100) FROM events UNION ALL SELECT 'input', count(*) FROM events")
+def stream_run_counts(spark, sf_dir):
+    """What the batches of a stream report of themselves, summed over the run."""
+    events = tables.table(spark, sf_dir, "events")
+    path, target = scratch(spark, "events"), scratch(spark, "counted")
+    events.repartition(6).write.parquet(path)
+    log = runs.RunLog()
+    spark.streams.addListener(log)
+    try:
+        stream = streams.read(spark, path, events.schema, files=2)
+        stream = stream.observe("ingest", F.count(F.lit(1)).alias("bars"), F.sum(F.col("event_id") % 100).alias("volume"))
+        query_ = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{target}/progress").format("parquet").start(f"{target}/table")
+        query_.awaitTermination()
+        # the listener hears of the last batch a moment later
+        deadline = time.time() + 30
+        while time.time() < deadline and len(log.held) < query_.lastProgress.batchId + 1:
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(log)
+    log.write(spark, f"{target}/runs")
+    return spark.read.parquet(f"{target}/runs").groupBy("name").agg(F.sum("value").alias("value"))
+
+
+def _classes(spark, sf_dir):
+    """Documents as headlines with a class of their labels: toxic ones negative, good ones positive, the rest neutral; and whether a row is left out of learning."""
+    labels = tables.table(spark, sf_dir, "labels").where("doc_id is not null")
+    labels = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    kind = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
+    rows = tables.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("headline")).join(labels, "doc_id")
+    return rows.select("headline", kind.alias("class"), (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("left_out"))
+
+
+@query()
+def headline_scores_trained(spark, sf_dir):
+    """Scores of all headlines by a model learned from the labels, without those left out."""
+    model = headline_model.learn(_classes(spark, sf_dir).where("not left_out"))
+    return headline_model.score(model, tables.headlines(spark, sf_dir))
+
+
+@query()
+def headline_model_left_out(spark, sf_dir):
+    """The model on the labelled rows it has not seen: rows by class and by the class of the largest share, with the mean of that share."""
+    rows = _classes(spark, sf_dir)
+    found = headline_model.score(headline_model.learn(rows.where("not left_out")), rows.where("left_out"))
+    return found.groupBy("class", "sentiment").agg(F.count("*").alias("n_rows"), F.avg(F.greatest(*sentiment.SCORES)).alias("mean_share"))
 
 
 CUT = "1996-06-30"

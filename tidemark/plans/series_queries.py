@@ -189,14 +189,14 @@ CASE WHEN avg_compound > 0.1 THEN 'POSITIVE' WHEN avg_compound < -0.1 THEN 'NEGA
 FROM moved m LEFT JOIN (SELECT * FROM li WHERE back = 1) l USING (ticker) LEFT JOIN cf USING (ticker) LEFT JOIN recent USING (ticker)""".replace(
     "SELECT m.*, round(rsi_14", "SELECT m.ticker, m.ds, m.close, m.high, m.low, m.previous, m.change, m.change_pct, round(rsi_14"))
 def header_metrics(spark, sf_dir):
-    mood = sentiment.summary(sentiment.score(tables.headlines(spark, sf_dir)), F.lit(AS_OF).cast("timestamp"))
+    mood = sentiment.summary(sentiment.by_lexicon(tables.headlines(spark, sf_dir)), F.lit(AS_OF).cast("timestamp"))
     rows = serving.header(features.flagged_frame(_bars(spark, sf_dir)), mood)
     return rounded(rows, change=4, change_pct=6, rsi_14=4, avg_compound=8)
 
 
 @query(f"WITH {SCORED} SELECT * FROM scored")
 def headline_scores_lexicon(spark, sf_dir):
-    return sentiment.score(tables.headlines(spark, sf_dir))
+    return sentiment.by_lexicon(tables.headlines(spark, sf_dir))
 
 
 @query("SELECT doc_id, CASE WHEN quality = 1 THEN 0.7 ELSE 0.1 END AS score_pos, CASE WHEN toxic = 1 THEN 0.8 ELSE 0.2 END AS score_neg, 0.1::double AS score_neu, "
@@ -210,19 +210,19 @@ def class_score_labels(spark, sf_dir):
 
 @query(f"WITH {DAILY_SENTIMENT} SELECT ticker, ds, round(sentiment_compound, 8) AS sentiment_compound, pos_count, neg_count, article_count FROM mood")
 def sentiment_daily(spark, sf_dir):
-    return rounded(sentiment.daily(sentiment.score(tables.headlines(spark, sf_dir))), sentiment_compound=8)
+    return rounded(sentiment.daily(sentiment.by_lexicon(tables.headlines(spark, sf_dir))), sentiment_compound=8)
 
 
 @query(f"WITH {SCORED}, {MOOD} SELECT ticker, round(avg_compound, 8) AS avg_compound, positive, negative, neutral, total, latest FROM recent")
 def sentiment_summary(spark, sf_dir):
-    rows = sentiment.summary(sentiment.score(tables.headlines(spark, sf_dir)), F.lit(AS_OF).cast("timestamp"))
+    rows = sentiment.summary(sentiment.by_lexicon(tables.headlines(spark, sf_dir)), F.lit(AS_OF).cast("timestamp"))
     return serving.ranked(rounded(rows, avg_compound=8), "avg_compound")
 
 
 @query(f"""WITH {SCORED}, k AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY published_at DESC, headline, source) AS back FROM scored)
 SELECT ticker, source, published_at, headline, compound, sentiment FROM k WHERE back <= 15""")
 def sentiment_tail(spark, sf_dir):
-    rows = serving.latest(sentiment.score(tables.headlines(spark, sf_dir)), 15, "published_at", ["headline", "source"])
+    rows = serving.latest(sentiment.by_lexicon(tables.headlines(spark, sf_dir)), 15, "published_at", ["headline", "source"])
     return rows.select(KEY, "source", "published_at", "headline", "compound", "sentiment")
 
 
@@ -233,7 +233,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY ticker, headline, published_at O
 SELECT * EXCLUDE (n) FROM k WHERE n = 1""")
 def score_only_new(spark, sf_dir):
     rows = tables.headlines(spark, sf_dir)
-    return sentiment.score_new(rows.where("published_at < timestamp '1995-03-01'"), rows)
+    return sentiment.score_new(rows.where("published_at < timestamp '1995-03-01'"), rows, sentiment.by_lexicon)
 
 
 @query(f"""{INDICATORS}, {FLAGS} SELECT b.ticker, b.ds, b.open, b.high, b.low, b.close, b.volume, round(rsi_14, 4) AS rsi_14, round(macd, 2) AS macd, round(macd_signal, 2) AS macd_signal,
@@ -252,7 +252,7 @@ FEATURE_DIGITS = {
 
 
 def matrix(spark, sf_dir, labelled=True):
-    mood = sentiment.daily(sentiment.score(tables.headlines(spark, sf_dir)))
+    mood = sentiment.daily(sentiment.by_lexicon(tables.headlines(spark, sf_dir)))
     return features.feature_matrix(features.flagged_frame(_bars(spark, sf_dir), mood), labelled=labelled)
 
 

@@ -151,7 +151,7 @@ def news_json_headlines(spark, sf_dir):
 SELECT ticker, bar AS ds, round(sum(sentiment_compound * article_count) / sum(article_count), 8) AS sentiment_compound, sum(pos_count)::bigint AS pos_count, sum(neg_count)::bigint AS neg_count,
 sum(article_count)::bigint AS article_count FROM to_day WHERE bar IS NOT NULL GROUP BY 1, 2""")
 def sentiment_roll_forward(spark, sf_dir):
-    mood = sentiment.daily(sentiment.score(tables.headlines(spark, sf_dir)))
+    mood = sentiment.daily(sentiment.by_lexicon(tables.headlines(spark, sf_dir)))
     return rounded(sentiment.roll_forward(mood, tables.daily_bars(spark, sf_dir).select(KEY, "ds")), sentiment_compound=8)
 
 
@@ -430,7 +430,7 @@ def stream_late_backfill(spark, sf_dir):
 def stream_sentiment_daily(spark, sf_dir):
     rows = tables.headlines(spark, sf_dir)
     path, files = _landed(rows, "headlines")
-    stream = streams.daily_sentiment(sentiment.score(streams.read(spark, path, rows.schema, files)), late="400 days")
+    stream = streams.daily_sentiment(sentiment.by_lexicon(streams.read(spark, path, rows.schema, files)), late="400 days")
     return rounded(streams.run_available(stream, scratch(spark, "mood"), KEYS), sentiment_compound=8)
 
 
