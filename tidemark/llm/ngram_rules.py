@@ -145,7 +145,7 @@ def ratio(weight: tuple[list[float], list[float]]) -> Column:
 def threshold(texts: DataFrame, weight: tuple[list[float], list[float]], lost: float = LOST) -> float:
     """The ratio under which a share ``lost`` of the texts with words falls, rounded down; 0 if there is none."""
     words = with_words(texts.select(F.lit(0).alias("doc_id"), "text")).withColumn("fold", fold())
-    ratios = words.select(F.inline(F.array(F.struct(ratio(weight).alias("ratio")))))
+    ratios = words.select(F.inline_outer(F.array(F.struct(ratio(weight).alias("ratio")))))
     scored = ratios.where("ratio is not null").select(F.floor(F.col("ratio") * STEPS).alias("step"))
     # ratios lie between the logarithms of the counts: some ten thousand steps at most
     steps = sorted((r.step, r.n) for r in scored.groupBy("step").agg(F.count("*").alias("n")).collect())
@@ -163,7 +163,8 @@ def judge(docs: DataFrame, trusted: DataFrame, trusted_rows: int, buckets: int =
     at = threshold(trusted_texts(docs, trusted, trusted_rows), weight, lost) if at is None else at
     judged = base_rules(with_words(docs)).withColumn("fold", fold()).withColumn("ratio", ratio(weight)).drop("words", "text", "fold")
     judged = judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("ratio") >= at, F.lit(False)))
-    return judged.select(F.inline(F.array(F.struct(*judged.columns))))
+    # the outer form: the other has a filter on its input, which would be pushed below and computed twice
+    return judged.select(F.inline_outer(F.array(F.struct(*judged.columns))))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
