@@ -26,8 +26,8 @@ def test_accuracy_and_shares_on_rows_left_out(rows):
 
 def test_odd_rows(spark):
     good = [("fine good day", "positive"), ("bad awful day", "negative")] * 20
-    model = headline_model.learn(spark.createDataFrame([*good, ("x", None), (None, "positive")], "headline string, class string"))
-    odd = spark.createDataFrame([("good fine", 1, "a"), ("awful", 2, "b"), (None, 3, "c"), ("", 4, "d"), ("Good FINE", 5, "e")], "headline string, id int, _p string")
+    model = headline_model.learn(spark.createDataFrame([*good, ("x", None), (None, "positive"), (None, "negative")], "headline string, class string"))
+    odd = spark.createDataFrame([("good fine", 1, "a"), ("awful bad", 2, "b"), (None, 3, "c"), ("", 4, "d"), ("Good FINE", 5, "e")], "headline string, id int, _p string")
     got = {r.id: r for r in headline_model.score(model, odd).collect()}
     assert got[1].sentiment == "positive" and got[2].sentiment == "negative" and got[5].score_pos == got[1].score_pos and got[1]._p == "a"
     assert got[3].score_pos == got[4].score_pos and all(r.score_neu == 0 for r in got.values())
