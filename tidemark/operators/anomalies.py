@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import day_sketches
 from ..functions.lineage import stored
 from ..functions.long_series import dealt
 from ..functions.quantiles import exact_quantiles
@@ -34,10 +35,27 @@ def fences(rows: DataFrame, k: float = 1.5, fit_until: Column | None = None, key
     else:
         means = fit.groupBy(F.col(key).alias("_k")).agg(*spread)
         q = exact_quantiles(fit, "r", [0.25, 0.75], key).join(means, F.col(key).eqNullSafe(F.col("_k")))
+    return _edges(q, k, key)
+
+
+def _edges(q: DataFrame, k: float, key: str) -> DataFrame:
     edge = F.lit(k) * (F.col("q")[1] - F.col("q")[0])
     return q.select(key, (F.col("q")[0] - edge).alias("fence_low"), (F.col("q")[1] + edge).alias("fence_high"), "fence_mean", "fence_sd")
 
 
+def add_returns(rows: DataFrame, path: str, period: Column, key: str = KEY, files: int = 8) -> None:
+    """Add the returns ``r`` of whole periods to a store of summaries; what it holds of other periods is not read."""
+    day_sketches.add(rows, path, "r", period, key, files)
+
+
+def stored_fences(spark: SparkSession, path: str, k: float = 1.5, first: str | None = None, last: str | None = None, kind: str = "string", key: str = KEY) -> DataFrame:
+    """:func:`fences` of the periods from ``first`` to ``last`` of a store: equal quartiles; of the returns only the cells of a quartile are read."""
+    q = day_sketches.quantiles(spark, path, [0.25, 0.75], kind, key, first, last)
+    spread = day_sketches.moments(day_sketches.span_summaries(spark, path, kind, first, last), "_wk")
+    spread = spread.select("_wk", F.col("mean").alias("fence_mean"), F.col("sd").alias("fence_sd"))
+    return _edges(q.join(spread, F.col(key).eqNullSafe(F.col("_wk"))), k, key)
+
+
 def flagged(rows: DataFrame, limits: DataFrame, threshold: float = THRESHOLD, key: str = KEY) -> DataFrame:
     """Rows with ``z`` and ``r`` get ``zscore, flag, by_z, by_fence``; of a row that both rules flag the z-score counts; null where neither does."""
     limits = limits.withColumnRenamed(key, "_k")
