@@ -64,3 +64,11 @@ def test_a_series_of_a_million_rows_is_many_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert busiest < 0.5 * n
+
+
+def test_numbers_from_the_end(spark):
+    from tidemark.functions.long_series import from_end
+
+    rows = [("A", t, float(t or 0)) for t in [*range(100), None]] + [("B", 5, 1.0), ("B", 5, 2.0), ("B", 4, 3.0), (None, 9, 4.0)]
+    found = from_end(spark.createDataFrame(rows, "ticker string, ds int, close double"), 3, time="ds").collect()
+    assert {(r.ticker, r.ds): r._back for r in found if r._back} == {("A", 99): 1, ("A", 98): 2, ("A", 97): 3, ("B", 5): 1, ("B", 4): 3, (None, 9): 1} and len(found) == len(rows)

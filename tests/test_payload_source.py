@@ -61,6 +61,15 @@ def test_equal_to_the_built_in_reader(spark, tmp_path):
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_rejects_of_both_readers(spark, tmp_path):
+    kinds = ["{", None, "", "{}", '{"Note": "limit"}', '{"Information": "key"}', "5", "null", fetch("x", {})]
+    land(tmp_path / "in", "a.json", *[json.dumps({"ticker": str(k), "payload": p}) for k, p in enumerate(kinds)])
+    got = payload_source.payloads(spark, str(tmp_path / "in"), SERIES, rows="rejects").collect()
+    payloads = spark.read.schema("ticker string, payload string").json(str(tmp_path / "in"))
+    want = landed.series_bars(payloads, SERIES, "UTC", "15m", "landed")[1].collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and {r.reason for r in got} == {"not JSON", "no series", "limit", "key"}
+
+
 def test_nothing_landed(spark, tmp_path):
     assert payload_source.payloads(spark, str(tmp_path / "none"), SERIES).count() == 0
 

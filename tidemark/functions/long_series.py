@@ -39,6 +39,18 @@ def rolling_blocks(df: DataFrame, columns: dict[str, tuple], n: int, index: str
     return own(rows.withColumns({name: rolling(aggregate, column, n, inside(key), index) for name, (aggregate, column) in columns.items()})).select(*names, *columns)
 
 
+def from_end(rows: DataFrame, n: int, into: str = "_back", key: str = KEY, time: str = TIME) -> DataFrame:
+    """Number the last n rows of each series from 1, the last one; null before them and in rows without a time.
+
+    Rows of equal time share a number.  Each task keeps the last n times of its rows, so no task holds a whole series.
+    """
+    newest = Window.partitionBy(key).orderBy(F.col(time).desc())
+    ends = rows.select(key, time).where(F.col(time).isNotNull()).withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= n)
+    ends = ends.groupBy(F.col(key).alias("_k")).agg(F.sort_array(F.collect_list(time), asc=False).alias("_times"))
+    at = F.nullif(F.array_position("_times", F.col(time)), F.lit(0)).cast("int")
+    return rows.join(ends, F.col(key).eqNullSafe(F.col("_k")), "left").withColumn(into, at).drop("_k", "_times")
+
+
 def month(time: str) -> Column:
     return F.date_trunc("month", F.col(time))
 

@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.lineage import stored
-from ..functions.series import KEY, business_days, position
+from ..functions.long_series import from_end
+from ..functions.series import KEY, business_days
 from .features import FEATURES, LAGS, WINDOWS
 from .trees import relative
 
@@ -446,7 +447,7 @@ def _finish(g: _Growing) -> None:
 
 def learn(matrix: DataFrame, wanted: dict[str, Settings], held: int = 30) -> dict[str, Trees]:
     """Fit models on stored rows of the feature matrix; the last ``held`` rows of a series are seen only by those with ``held``."""
-    marked = matrix.withColumn("_held", position(time="ds", last=True) <= held)
+    marked = from_end(matrix, held, time="ds").withColumn("_held", F.col("_back").isNotNull()).drop("_back")
     rows = stored(inputs(marked).select(KEY, "ds", *INPUTS, "label", "_held"), "tree-rows")
     fitted = fit(blocks(rows, INPUTS, "label", [KEY, "ds"], "_held"), list(wanted.values()))
     return dict(zip(wanted, fitted, strict=True))
@@ -476,7 +477,7 @@ def holdout(models: dict[str, Trees], matrix: DataFrame, n: int = 30) -> DataFra
 
     The models must not have seen these rows; ``ds`` is the day that is predicted, ``previous`` the close before it.
     """
-    last = matrix.withColumn("_back", position(time="ds", last=True)).where(F.col("_back") <= n)
+    last = from_end(matrix, n, time="ds").where("_back is not null")
     out = predict(models, last)
     return out.select(KEY, F.col("target_day").alias("ds"), F.col("close").alias("previous"), F.col("target_next_close").alias("actual"), *models)
 
@@ -514,7 +515,7 @@ def forecast(models: dict[str, Trees], bars: DataFrame, matrix: DataFrame, n: in
     other features stay those of the series' last row of the matrix.  The recursion runs over many series at a time inside one stage:
     a row is a series with its last ``TAIL`` bars.
     """
-    tail = bars.withColumn("_back", position(time="ds", last=True)).where(F.col("_back") <= TAIL)
+    tail = from_end(bars, TAIL, time="ds").where("_back is not null")
     tail = tail.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("ds", "open", "high", "low", "close", "volume"))).alias("b"))
     other = matrix.groupBy(KEY).agg(F.max_by(F.struct(*FROZEN), "ds").alias("o"))
     list_of = lambda c: F.transform("b", lambda x: x[c].cast("double")).alias(f"_{c}")

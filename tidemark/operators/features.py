@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import stored
-from ..functions.long_series import month, numbered
+from ..functions.long_series import from_end, month, numbered
 from ..functions.recurrence import deal, inside, own
-from ..functions.series import KEY, change, lag, ordered, position, rolling
+from ..functions.series import KEY, change, lag, ordered, rolling
 from .anomalies import fences, flagged, with_scores
 from .indicators import ALPHAS, WARM_UP, look_back, with_indicators
 
@@ -94,5 +94,5 @@ def feature_matrix(rows: DataFrame, time: str = "ds", labelled: bool = True) ->
 
 
 def holdout(rows: DataFrame, n: int = 30, time: str = "ds") -> DataFrame:
-    """Mark the last n rows of each series."""
-    return rows.withColumn("is_holdout", position(time=time, last=True) <= n)
+    """Mark the last n rows of each series; rows of equal time count as one, a row without a time is not among them."""
+    return from_end(rows, n, time=time).withColumn("is_holdout", F.col("_back").isNotNull()).drop("_back")

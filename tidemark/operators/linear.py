@@ -13,7 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.series import KEY, business_days, lag, position
+from ..functions.long_series import dealt, from_end
+from ..functions.recurrence import inside, own
+from ..functions.series import KEY, business_days, lag
 from . import changepoints, factors
 
 Z95 = 1.959963984540054
@@ -59,9 +61,10 @@ def solve(sums: DataFrame, penalty: list[float] | float = 0.0, key: str = KEY) -
 
 
 def ar_rows(bars: DataFrame, p: int = 5, time: str = "ds") -> DataFrame:
-    """First differences as ``y`` and their p lags as ``x``."""
-    rows = bars.select(KEY, time, "close", (F.col("close") - lag("close", 1, time=time)).alias("y"))
-    return rows.withColumn("x", F.array(*[lag("y", k, time=time) for k in range(1, p + 1)]))
+    """First differences as ``y`` and their p lags as ``x``, in blocks of a series."""
+    rows, at = dealt(bars.select(KEY, time, "close"), p + 1, time=time), (inside(KEY), "_i")
+    rows = rows.withColumn("y", F.col("close") - lag("close", 1, *at))
+    return own(rows.withColumn("x", F.array(*[lag("y", k, *at) for k in range(1, p + 1)]))).drop("_i")
 
 
 def ar_paths(bars: DataFrame, steps: int, p: int = 5, time: str = "ds") -> DataFrame:
@@ -117,8 +120,8 @@ def linear_holdout(bars: DataFrame, n: int = 30, time: str = "ds") -> DataFrame:
 
     Aligned by date: step h of the autoregression belongs to the h-th held-out bar.
     """
-    marked = bars.withColumn("_back", position(time=time, last=True))
-    before, held = marked.where(F.col("_back") > n), marked.where(F.col("_back") <= n)
+    marked = from_end(bars, n, time=time)
+    before, held = marked.where("_back is null"), marked.where("_back is not null")
     held = held.select(KEY, time, F.col("close").alias("actual"), (n + 1 - F.col("_back")).alias("step"))
     ar = ar_paths(before, n, time=time).select(KEY, "step", F.col("predicted").alias("ar5"))
     trend = changepoints.predict(before, held, time).select(KEY, time, F.col("predicted").alias("trend_season"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.series import KEY, lag
+from ..functions.series import KEY
 from .indicators import readings
 from .sentiment import zone
 
@@ -27,10 +27,15 @@ def latest_price(bars: DataFrame, time: str = "ds") -> DataFrame:
 
 
 def price_change(bars: DataFrame, time: str = "ds") -> DataFrame:
-    """Last bar against the one before: change and percent; null without one before."""
-    before = lag("close", 1, time=time)
-    rows = bars.withColumns({"previous": before, "change": F.col("close") - before, "change_pct": 100 * F.try_divide(F.col("close") - before, before)})
-    return latest(rows, 1, time).select(KEY, time, "close", "high", "low", "previous", "change", "change_pct")
+    """Last bar against the one before: change and percent; null without one before.
+
+    Only the last two bars of a ticker leave the task that reads them.
+    """
+    two = latest(bars.select(KEY, time, "close", "high", "low"), 2, time)
+    ends = two.groupBy(KEY).agg(F.max_by(F.struct(time, "close", "high", "low"), time).alias("s"), F.min_by("close", time).alias("_first"), F.count("*").alias("_n"))
+    rows = ends.select(KEY, "s.*", F.when(F.col("_n") == 2, F.col("_first")).alias("previous"))
+    move = F.col("close") - F.col("previous")
+    return rows.withColumns({"change": move, "change_pct": 100 * F.try_divide(move, "previous")})
 
 
 def rows_per_source(rows: DataFrame) -> DataFrame:

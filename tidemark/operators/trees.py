@@ -8,7 +8,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.series import KEY, position
+from ..functions.long_series import from_end
+from ..functions.series import KEY
 from .features import FEATURES
 
 PRICES = [f for f in FEATURES if f.startswith(("close_lag", "rolling_mean")) or f in ("open", "high", "low")]
@@ -57,7 +58,7 @@ def holdout(matrix: DataFrame, kind: str, into: str, n: int = 30, rounds: int =
 
     ``ds`` is the day that is predicted, ``previous`` the close before it.
     """
-    marked = matrix.withColumn("_back", position(time="ds", last=True))
-    model = fit(marked.where(F.col("_back") > n), kind, rounds)
-    out = predict(model, marked.where(F.col("_back") <= n), into)
+    marked = from_end(matrix, n, time="ds")
+    model = fit(marked.where("_back is null"), kind, rounds)
+    out = predict(model, marked.where("_back is not null"), into)
     return out.select(KEY, F.col("target_day").alias("ds"), F.col("close").alias("previous"), F.col("target_next_close").alias("actual"), into)

@@ -12,10 +12,10 @@ def series_bars(payloads: DataFrame, series: str, zone: str, interval: str, sour
     """Nested time-series JSON (``ticker, payload``) to bars, and the payloads without the series with their notice.
 
     ``zone`` is the zone of the time keys.  Numbers that cannot be read become
-    null; rows without a close are dropped.
+    null; rows without a close are dropped.  A payload that is no JSON and one that lacks the series have different notices.
     """
     kind = f"struct<`{series}`:map<string,{_POINT}>,`Note`:string,`Information`:string>"
-    read = payloads.select("ticker", F.from_json("payload", kind).alias("p"))
+    read = payloads.select("ticker", "payload", F.from_json("payload", kind).alias("p"))
     points = read.where(F.col(f"p.`{series}`").isNotNull()).select("ticker", F.explode(f"p.`{series}`").alias("at", "v"))
     number = lambda name, to: F.col(f"v.`{name}`").try_cast(to)
     bars = points.select(
@@ -29,7 +29,8 @@ def series_bars(payloads: DataFrame, series: str, zone: str, interval: str, sour
         number("4. close", "double").alias("close"),
         number("5. volume", "long").alias("volume"),
     )
-    rejects = read.where(F.col(f"p.`{series}`").isNull()).select("ticker", F.coalesce("p.Note", "p.Information", F.lit("no series")).alias("reason"))
+    unread = F.when(F.expr("try_parse_json(payload) is null"), "not JSON").otherwise("no series")
+    rejects = read.where(F.col(f"p.`{series}`").isNull()).select("ticker", F.coalesce("p.Note", "p.Information", unread).alias("reason"))
     return bars.where("close is not null and ts is not null"), rejects
 
 
