@@ -84,3 +84,27 @@ def test_rows_that_share_an_id_are_documents_of_their_own(spark):
     got = substrings.dedup_spans(spark.createDataFrame(data, "doc_id long, text string").repartition(4), removed="gone", run=substrings.RUN).collect()
     assert len(got) == len(data) and sum(passage in (r.text or "") for r in got) == 1
     assert sum(r.text == "" for r in got) == 2 and sum(r.text == "x y z" for r in got) == 2 and sum(r.text is None for r in got) == 2
+
+
+def test_spans_are_whole_sentences(spark, sf_dir):
+    """Every range begins at the first word of a sentence and ends at the last word of one."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    found = substrings.repeats(docs).collect()
+    assert len(found) > 5
+    for r in found:
+        raw = texts[r._doc].encode()
+        for start, end in substrings.passages(texts[r._doc], r.ranges, None):
+            before, after = raw[:start], raw[end:]
+            assert not before.split() or before.rstrip()[-1:] in b".!?" or b"\n" in before[len(before.rstrip()) :]
+            assert not after.split() or raw[end - 1 : end] in b".!?" or b"\n" in after[: len(after) - len(after.lstrip())]
+
+
+def test_long_words_end_sentences_if_asked(spark):
+    shared = "some extraordinary words of one two three four five unquestionably six seven eight nine ten interchangeable eleven twelve"
+    data = [(1, f"begin {shared} end"), (2, f"other start {shared} and other end"), (3, "nothing shared here")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = lambda **how: {r.doc_id: r.text for r in substrings.dedup_spans(docs, **how).collect()}
+    assert got() == dict(data)
+    cut = got(long_word=9, sentences=2, min_words=10)
+    assert cut[1] == data[0][1] and cut[3] == data[2][1] and cut[2] == "other start some extraordinary eleven twelve and other end"

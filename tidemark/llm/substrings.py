@@ -1,9 +1,9 @@
 r"""Substring dedup by sliding sentence spans.
 
 A text is cut into sentences: after a word that ends in ``. ! ?``, and at every
-newline.  As a repeated passage may begin in the middle of a sentence, a word of
-``long_word`` or more bytes also ends a sentence; such ends depend on the word
-alone, so a passage falls into the same sentences wherever it stands.
+newline.  With ``long_word``, a word of that many bytes also ends a sentence, which
+finds shorter passages that begin in the middle of one, and cuts there; by default
+no word does, so spans are whole sentences.
 
 From every sentence a span runs over at least ``sentences`` consecutive sentences
 and on until it holds ``min_words`` words; it is hashed to 64 bits of its words.
@@ -46,7 +46,8 @@ from .common import fresh, small, stash, table
 from .flat import bytes_of, parts, range_hash
 from .flat import words as words_of
 
-SENTENCES, MIN_WORDS, LONG_WORD = 3, 15, 9
+SENTENCES, MIN_WORDS = 3, 15
+LONG_WORD = 1 << 31  # no word is as long
 RUN, GRAM = 50, 26  # a gram is longer than the distance of two marks, so the marks of a passage cover it but for its ends
 _GRAM_RANGE = 1 << 31  # in a packed range: a gram, not a span
 _END = _GRAM_RANGE - 1
