@@ -1,9 +1,11 @@
 """The trained headline scorer: held-out accuracy, calibration and odd rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import headline_model
 from tidemark.plans import extra_queries
+from tidemark.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +33,19 @@ def test_odd_rows(spark):
     got = {r.id: r for r in headline_model.score(model, odd).collect()}
     assert got[1].sentiment == "positive" and got[2].sentiment == "negative" and got[5].score_pos == got[1].score_pos and got[1]._p == "a"
     assert got[3].score_pos == got[4].score_pos and all(r.score_neu == 0 for r in got.values())
+
+
+def test_texts_are_cut_once_and_dealt_out(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(text):
+        seen.add(1)
+        return text
+
+    good = [(f"fine good day {k}", "positive") for k in range(300)] + [(f"bad awful day {k}", "negative") for k in range(300)]
+    rows = spark.createDataFrame(good, "headline string, class string").select(F.udf(look)("headline").alias("headline"), "class")
+    headline_model.learn(rows, size=64, steps=2)
+    assert seen.value <= 2 * len(good)  # at most once for the words and once for the draw
+    # one file with one row group is read by one task; what follows is not
+    parts = tables.headlines(spark, "/root/testdata/sf0.01").select(F.spark_partition_id().alias("p"), "headline").where("length(headline) > 0")
+    assert parts.select("p").distinct().count() > 1

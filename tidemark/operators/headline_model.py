@@ -7,13 +7,14 @@ words and gets the shares of the intercepts.  Rows without a class are not learn
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import stored
 from .sentiment import SCORES, labelled
 
 CLASSES = ["positive", "negative", "neutral"]
@@ -35,21 +36,23 @@ def learn(rows: DataFrame, size: int = SIZE, penalty: float = PENALTY, steps: in
     known = words(rows).where(F.col("class").isin(CLASSES))
     kept = F.pmod(F.xxhash64(F.coalesce("headline", F.lit("")), F.lit("shares")), F.lit(4)) == 0
     known = known.select("_words", target.cast("double").alias("_class"), kept.alias("_kept"))
-    enough = known.where("_kept").count() >= ENOUGH
     regression = {"family": "multinomial", "labelCol": "_class", "maxIter": steps, "regParam": penalty, "standardization": False}
-    stages = [
+    cut = [
         NGram(n=2, inputCol="_words", outputCol="_pairs"),
         HashingTF(numFeatures=size, binary=True, inputCol="_words", outputCol="_one"),
         HashingTF(numFeatures=size, binary=True, inputCol="_pairs", outputCol="_two"),
         VectorAssembler(inputCols=["_one", "_two"], outputCol="_x"),
-        LogisticRegression(featuresCol="_x", probabilityCol="_first" if enough else "_p", rawPredictionCol="_raw", predictionCol="_best", **regression),
     ]
-    model = Pipeline(stages=stages).fit(known.where("not _kept") if enough else known)
+    # each regression reads its rows several times: texts are cut once, what follows reads the stored vectors
+    known = stored(PipelineModel(stages=cut).transform(known).select("_x", "_class", "_kept"), "headline-vectors")
+    enough = known.where("_kept").count() >= ENOUGH
+    first = LogisticRegression(featuresCol="_x", probabilityCol="_first" if enough else "_p", rawPredictionCol="_raw", predictionCol="_best", **regression)
+    model = first.fit(known.where("not _kept") if enough else known)
     if not enough:
-        return model
+        return PipelineModel(stages=[*cut, model])
     second = LogisticRegression(featuresCol="_raw", probabilityCol="_p", rawPredictionCol="_raw_2", predictionCol="_best_2", **regression)
     shares = second.fit(model.transform(known.where("_kept")).select("_raw", "_class"))
-    return PipelineModel(stages=[*model.stages, shares])
+    return PipelineModel(stages=[*cut, model, shares])
 
 
 def score(model: PipelineModel, headlines: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ def _classes(spark, sf_dir):
     labels = tables.table(spark, sf_dir, "labels").where("doc_id is not null")
     labels = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     kind = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
-    rows = tables.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("headline")).join(labels, "doc_id")
+    rows = tables.texts(spark, sf_dir).select("doc_id", F.col("text").alias("headline")).join(labels, "doc_id")
     return rows.select("headline", kind.alias("class"), (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("left_out"))
 
 

@@ -14,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return utc(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` dealt out to all cores, whatever their files and row groups: a file of one row group is one task, and the work on a text far outweighs its move."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.repartition(max(docs.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
+
+
 def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars from ``orders``: ticker = priority, price = total price, open and close by order key."""
     orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderdate", "o_totalprice", "o_orderkey")
@@ -48,7 +54,7 @@ def intraday_bars(spark: SparkSession, sf_dir: str, width: str = "15 minutes") -
 
 def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headlines from ``documents``, whole texts: ticker and time follow from the id; both are null without one."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     names = F.array(*map(F.lit, TICKERS))
     at = F.lit("1995-01-01").cast("timestamp") + F.make_dt_interval(F.col("doc_id") % 200, F.lit(0), F.lit(0), (F.col("doc_id") % 86400).cast("decimal(18,6)"))
     return docs.select(F.get(names, (F.col("doc_id") % 5).cast("int")).alias("ticker"), "source", at.alias("published_at"), F.col("text").alias("headline"))
