@@ -222,9 +222,14 @@ def one_hinge_trend(spark, sf_dir):
     return rounded(changepoints.lasso_of(factors.factors(rows), [0.0, 0.0, 0.5]), level=6, slope=6, hinge=6)
 
 
+def _bars(spark, sf_dir):
+    """Daily bars, stored: the models read them many times, and each time would read all orders."""
+    return lineage.stored(tables.daily_bars(spark, sf_dir), "bars")
+
+
 @query()
 def ar5_forecast(spark, sf_dir):
-    return linear.ar_forecast(long_enough(tables.daily_bars(spark, sf_dir), GATES["forecast"]))
+    return linear.ar_forecast(long_enough(_bars(spark, sf_dir), GATES["forecast"]))
 
 
 @query(f"""WITH {BARS}, d AS (SELECT ticker, ds, close, close - lag(close) OVER w AS y FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY ds)),
@@ -236,13 +241,13 @@ days AS (SELECT ticker, list_filter(list_transform(range(1, 15), lambda i: CAST(
 SELECT ticker, 'ar1' AS model, days[h] AS forecast_date, round(p, 4) AS predicted_close, round(p - {linear.Z95} * se, 4) AS lower_bound, round(p + {linear.Z95} * se, 4) AS upper_bound FROM v JOIN days USING (ticker)""")
 def ar1_forecast(spark, sf_dir):
     """One lag, where coefficient, path and error have closed forms."""
-    bars = long_enough(tables.daily_bars(spark, sf_dir), GATES["forecast"])
+    bars = long_enough(_bars(spark, sf_dir), GATES["forecast"])
     return rounded(linear.ar_forecast(bars, p=1), predicted_close=4, lower_bound=4, upper_bound=4)
 
 
 @query()
 def trend_season_forecast(spark, sf_dir):
-    return linear.trend_forecast(long_enough(tables.daily_bars(spark, sf_dir), GATES["forecast"]))
+    return linear.trend_forecast(long_enough(_bars(spark, sf_dir), GATES["forecast"]))
 
 
 class Fits:
@@ -326,8 +331,8 @@ def feature_importance_top5(spark, sf_dir, models=None):
     return forecasts.top_features(boosting.importances(models.whole(), spark))
 
 
-def _tree_forecasts(spark, sf_dir, models):
-    return boosting.forecast(models.whole(), tables.daily_bars(spark, sf_dir), models.matrix)
+def _tree_forecasts(spark, sf_dir, models, bars=None):
+    return boosting.forecast(models.whole(), bars or _bars(spark, sf_dir), models.matrix)
 
 
 @query()
@@ -335,10 +340,10 @@ def tree_forecast_7d(spark, sf_dir, models=None):
     return _tree_forecasts(spark, sf_dir, models or Fits(spark, sf_dir, held=(True,)))
 
 
-def _stack(spark, sf_dir, models=None):
+def _stack(spark, sf_dir, models=None, bars=None):
     """The held-out predictions of all models, stored as they are read several times."""
     models = models or Fits(spark, sf_dir)
-    bars = long_enough(tables.daily_bars(spark, sf_dir), GATES["stack"])
+    bars = long_enough(bars or _bars(spark, sf_dir), GATES["stack"])
     return lineage.stored(ensemble.stack([models.holdout(), linear.linear_holdout(bars)]), "stack")
 
 
@@ -366,9 +371,9 @@ def model_comparison(spark, sf_dir, models=None):
 @query()
 def ensemble_forecast(spark, sf_dir, models=None):
     models = models or Fits(spark, sf_dir, held=(False, True))
-    bars = tables.daily_bars(spark, sf_dir)
-    weights = ensemble.meta_weights(_stack(spark, sf_dir, models), MODELS)
-    base = _tree_forecasts(spark, sf_dir, models).unionByName(linear.ar_forecast(bars)).unionByName(linear.trend_forecast(bars))
+    bars = _bars(spark, sf_dir)
+    weights = ensemble.meta_weights(_stack(spark, sf_dir, models, bars), MODELS)
+    base = _tree_forecasts(spark, sf_dir, models, bars).unionByName(linear.ar_forecast(bars)).unionByName(linear.trend_forecast(bars))
     return ensemble.forecast(base, weights, MODELS)
 
 
